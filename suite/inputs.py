@@ -22,33 +22,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shop_type() -> Column:
-    return F.when(F.col("event_type") == "click", "cart").otherwise(F.col("event_type"))
-
-
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rows in the raw layout, times typed."""
-    rows = table(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp"))
-    late = (F.col("event_id") * 7919 + 13) % 100 < 5
-    delay = F.when(late, 120 + (F.col("event_id") * 104729 + 7) % 781)
-    number = F.get_json_object("props", "$.k")
-    return rows.select(
-        F.col("event_id").cast("string").alias("event_id"),
-        F.col("at").alias("event_time"),
-        plus_seconds(F.col("at"), F.coalesce(delay, F.lit(1))).alias("arrival_time"),
-        shop_type().alias("event_type"),
-        number.alias("product_id"),
-        (number.cast("int") % 10).cast("string").alias("category_id"),
-        F.lit(None).cast("string").alias("category_code"),
-        F.when(number.cast("int") % 7 != 0, F.concat(F.lit("brand"), number)).alias("brand"),
-        F.col("value").alias("price"),
-        F.col("user_id").cast("string").alias("user_id"),
-        F.concat(
-            F.lit("s"), F.col("user_id").cast("string"), F.lit("_"),
-            F.floor(F.unix_seconds("at") / SIX_HOURS).cast("string"),
-        ).alias("session_id"),
-        late.alias("is_late_arrival"),
-        delay.cast("bigint").alias("late_arrival_delay_seconds"),
+    late = "(event_id * 7919 + 13) % 100 < 5"
+    delay = f"CASE WHEN {late} THEN 120 + (event_id * 104729 + 7) % 781 END"
+    number = "get_json_object(props, '$.k')"
+    return table(spark, sf_dir, "events").withColumn("at", F.expr("CAST(ts AS timestamp)")).selectExpr(
+        "CAST(event_id AS string) AS event_id",
+        "at AS event_time",
+        f"timestamp_micros(unix_micros(at) + coalesce({delay}, 1) * 1000000) AS arrival_time",
+        "CASE WHEN event_type = 'click' THEN 'cart' ELSE event_type END AS event_type",
+        f"{number} AS product_id",
+        f"CAST(CAST({number} AS int) % 10 AS string) AS category_id",
+        "CAST(NULL AS string) AS category_code",
+        f"CASE WHEN CAST({number} AS int) % 7 <> 0 THEN concat('brand', {number}) END AS brand",
+        "value AS price",
+        "CAST(user_id AS string) AS user_id",
+        f"concat('s', user_id, '_', CAST(floor(unix_seconds(at) / {SIX_HOURS}) AS string)) AS session_id",
+        f"{late} AS is_late_arrival",
+        f"CAST({delay} AS bigint) AS late_arrival_delay_seconds",
     )
 
 
@@ -172,16 +164,21 @@ def landed(spark: SparkSession, sf_dir: str, kind: str) -> str:
     return _landed[slot]
 
 
+def _by_arrival(rows: DataFrame) -> DataFrame:
+    """Rows in arrival order over several tasks, as a stream delivers them."""
+    return rows.repartitionByRange(16, "arrival_time")
+
+
 def _land_events(spark: SparkSession, sf_dir: str, path: str) -> None:
-    sink.write_events(raw_events(spark, sf_dir), path)
+    sink.write_events(_by_arrival(raw_events(spark, sf_dir)), path)
 
 
 def _land_late(spark: SparkSession, sf_dir: str, path: str) -> None:
-    sink.write_events(ev.late_events(raw_events(spark, sf_dir)), path)
+    sink.write_events(_by_arrival(ev.late_events(raw_events(spark, sf_dir))), path)
 
 
 def _land_lines(spark: SparkSession, sf_dir: str, path: str) -> None:
-    json_lines(spark, sf_dir).select("value").write.text(path)
+    _by_arrival(json_lines(spark, sf_dir)).select("value").write.text(path)
 
 
 def _land_columnar(spark: SparkSession, sf_dir: str, path: str) -> None:

@@ -224,7 +224,7 @@ def late_by_threshold(spark, sf_dir):
 def safe_price(spark, sf_dir):
     from tidemark.functions.money import safe_price as cleaned
 
-    return inputs.dirty_events(spark, sf_dir).select("event_id", cleaned(F.col("price")).alias("price"))
+    return inputs.dirty_events(spark, sf_dir).select("event_id", cleaned("price").alias("price"))
 
 
 @query
@@ -263,7 +263,7 @@ def hour_partitions(spark, sf_dir):
 @query
 def stable_event_ids(spark, sf_dir):
     rows = inputs.raw_events(spark, sf_dir)
-    made = ev.stable_event_id(F.col("event_id"), F.col("event_type"), F.col("user_id"), F.col("category_code"))
+    made = ev.stable_event_id("event_id", "event_type", "user_id", "category_code")
     return rows.select("event_id", made.alias("stable_id"))
 
 

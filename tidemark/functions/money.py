@@ -8,19 +8,30 @@ from pyspark.sql import functions as F
 from tidemark.schemas import MONEY, PRICE_LIMIT
 
 
-def safe_price(price: Column) -> Column:
+def safe_price_sql(column: str) -> str:
+    value = f"try_cast({column} AS double)"
+    return f"CASE WHEN NOT isnan({value}) AND {value} >= 0 AND {value} < {PRICE_LIMIT!r} THEN {value} ELSE 0D END"
+
+
+def safe_price(column: str) -> Column:
     """Null, NaN, negative and absurd prices count as 0.
 
     NaN is tested by name: in Spark it compares as larger than every number.
     """
-    value = price.try_cast("double")
-    usable = value.isNotNull() & ~F.isnan(value) & (value >= 0) & (value < F.lit(PRICE_LIMIT))
-    return F.when(usable, value).otherwise(F.lit(0.0))
+    return F.expr(safe_price_sql(column))
 
 
-def exact(price: Column) -> Column:
+def exact(column: str) -> Column:
     """Cleaned price as a decimal, ready to be summed."""
-    return safe_price(price).cast(MONEY)
+    return F.expr(f"CAST({safe_price_sql(column)} AS {MONEY.simpleString()})")
+
+
+def exact_if(condition: str, column: str = "price") -> Column:
+    """Cleaned price where the condition holds, else 0, as a decimal."""
+    kind = MONEY.simpleString()
+    return F.expr(
+        f"CASE WHEN {condition} THEN CAST({safe_price_sql(column)} AS {kind}) ELSE CAST(0 AS {kind}) END"
+    )
 
 
 def amount(value: Column, digits: int = 2) -> Column:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import safe_price
+from tidemark.functions.money import safe_price_sql
 from tidemark.functions.times import (
     effective_time,
     parse_time,
@@ -26,29 +26,24 @@ from tidemark.schemas import (
 )
 
 
-def _present(df: DataFrame, name: str) -> Column:
-    return F.col(name) if name in df.columns else F.lit(None)
+# A text that is one of the missing-value spellings of a CSV reader.
+_MISSING_TEXTS = ", ".join(f"'{text}'" for text in CSV_MISSING)
+_DOMAIN = ", ".join(f"'{kind}'" for kind in EVENT_TYPES)
 
 
-def _text_or_null(value: Column) -> Column:
-    text = value.cast("string")
-    return F.when(~text.isin(*CSV_MISSING), text)
-
-
-def normal_event_type(value: Column) -> Column:
-    return F.lower(F.trim(value))
+def _text_or_null(column: str) -> str:
+    return f"CASE WHEN CAST({column} AS string) NOT IN ({_MISSING_TEXTS}) THEN CAST({column} AS string) END"
 
 
 def keep_event_domain(df: DataFrame) -> DataFrame:
     """Event types trimmed and lower-cased; rows of any other type dropped."""
-    return df.withColumn("event_type", normal_event_type(F.col("event_type"))).filter(
-        F.col("event_type").isin(*EVENT_TYPES)
-    )
+    return df.withColumn("event_type", F.expr("lower(trim(event_type))")).filter(f"event_type IN ({_DOMAIN})")
 
 
-def stable_event_id(*parts: Column) -> Column:
+def stable_event_id(*columns: str) -> Column:
     """Event id from the row's content, the same again when a task is retried."""
-    return F.sha2(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]), 256)
+    parts = ", ".join(f"coalesce(CAST({c} AS string), '')" for c in columns)
+    return F.expr(f"sha2(concat_ws('|', {parts}), 256)")
 
 
 def canonical_events(df: DataFrame) -> DataFrame:
@@ -60,27 +55,28 @@ def canonical_events(df: DataFrame) -> DataFrame:
     session = "session_id" if "session_id" in df.columns else "user_session"
     arrival = "arrival_time" if "arrival_time" in df.columns else "event_time"
     rows = keep_event_domain(df)
-    if "event_id" in df.columns:
-        event_id = F.col("event_id").cast("string")
-    else:
-        event_id = stable_event_id(
-            F.col("event_time"), F.col("event_type"), F.col("product_id"),
-            F.col("price"), F.col("user_id"), F.col(session),
-        )
-    rows = rows.select(
-        event_id.alias("event_id"),
-        parse_time(F.col("event_time")).alias("event_time"),
-        parse_time(F.col(arrival)).alias("arrival_time"),
-        F.col("event_type"),
-        F.col("product_id").cast("string").alias("product_id"),
-        F.nullif(_text_or_null(_present(df, "category_id")), F.lit("0")).alias("category_id"),
-        _text_or_null(_present(df, "category_code")).alias("category_code"),
-        _text_or_null(_present(df, "brand")).alias("brand"),
-        safe_price(F.col("price")).alias("price"),
-        F.col("user_id").cast("string").alias("user_id"),
-        F.col(session).cast("string").alias("session_id"),
-        F.coalesce(_present(df, "is_late_arrival").cast("boolean"), F.lit(False)).alias("is_late_arrival"),
-        _present(df, "late_arrival_delay_seconds").cast("long").alias("late_arrival_delay_seconds"),
+    if "event_id" not in df.columns:
+        made_from = ("event_time", "event_type", "product_id", "price", "user_id", session)
+        rows = rows.withColumn("event_id", stable_event_id(*made_from))
+
+    def optional(name: str, expression: str) -> str:
+        return f"{expression if name in df.columns else 'NULL'}"
+
+    rows = rows.selectExpr(
+        "CAST(event_id AS string) AS event_id",
+        "try_to_timestamp(event_time) AS event_time",
+        f"try_to_timestamp({arrival}) AS arrival_time",
+        "event_type",
+        "CAST(product_id AS string) AS product_id",
+        f"nullif(CAST({optional('category_id', _text_or_null('category_id'))} AS string), '0') AS category_id",
+        f"CAST({optional('category_code', _text_or_null('category_code'))} AS string) AS category_code",
+        f"CAST({optional('brand', _text_or_null('brand'))} AS string) AS brand",
+        f"{safe_price_sql('price')} AS price",
+        "CAST(user_id AS string) AS user_id",
+        f"CAST({session} AS string) AS session_id",
+        f"coalesce(CAST({optional('is_late_arrival', 'is_late_arrival')} AS boolean), false) AS is_late_arrival",
+        f"CAST({optional('late_arrival_delay_seconds', 'late_arrival_delay_seconds')} AS bigint)"
+        " AS late_arrival_delay_seconds",
     )
     return add_effective_time(rows)
 

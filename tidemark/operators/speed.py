@@ -11,38 +11,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import amount, exact
-from tidemark.functions.times import (
-    day_text,
-    micros_between,
-    plus_seconds,
-    seconds_between,
-    time_cell,
-)
+from tidemark.functions.money import amount, exact_if
+from tidemark.functions.times import micros_between, plus_seconds, time_cell
 from tidemark.operators.events import on_time_events, unknown_session_filled
 from tidemark.operators.stitch import SLICE_SECONDS, combined_measures, event_measures
 from tidemark.schemas import EVENT_TYPES, SESSION_TIMEOUT_SECONDS, STATE_TTL_SECONDS
 
 
-def _seen(kind: str) -> str:
-    return f"seen_{kind}"
+_STATE = {
+    "user_id": "max(user_id)",
+    "conversion_time": "max(CASE WHEN event_type = 'purchase' THEN effective_time END)",
+    **{f"seen_{kind}": f"max(event_type = '{kind}')" for kind in sorted(EVENT_TYPES)},
+}
 
 
 def _state_measures() -> list[Column]:
-    is_purchase = F.col("event_type") == "purchase"
-    return [
-        F.max("user_id").alias("user_id"),
-        F.max(F.when(is_purchase, F.col("effective_time"))).alias("conversion_time"),
-        *[F.max(F.col("event_type") == kind).alias(_seen(kind)) for kind in EVENT_TYPES],
-    ]
+    return [F.expr(f"{how} AS {name}") for name, how in _STATE.items()]
 
 
 def _combined_state() -> list[Column]:
-    return [
-        F.max("user_id").alias("user_id"),
-        F.max("conversion_time").alias("conversion_time"),
-        *[F.max(_seen(kind)).alias(_seen(kind)) for kind in EVENT_TYPES],
-    ]
+    return [F.expr(f"max({name}) AS {name}") for name in _STATE]
 
 
 def speed_segments(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) -> DataFrame:
@@ -60,23 +48,22 @@ def speed_segments(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) ->
         "opens", F.when(gap <= timeout * 1_000_000, 0).when(gap.isNull(), 0).otherwise(1)
     ).withColumn("segment", F.sum("opens").over(by_time))
     segments = numbered.groupBy("session_id", "segment").agg(*combined_measures(), *_combined_state())
-    last = F.max("segment").over(Window.partitionBy("session_id"))
-    return segments.withColumn("last_segment", F.col("segment") == last).select(
+    seen = ", ".join(f"CASE WHEN seen_{kind} THEN '{kind}' END" for kind in sorted(EVENT_TYPES))
+    return segments.selectExpr(
         "session_id",
         "segment",
-        "last_segment",
+        "segment = max(segment) OVER (PARTITION BY session_id) AS last_segment",
         "user_id",
         "event_count",
-        amount(F.col("cart_sum")).alias("cart_total"),
-        amount(F.col("purchase_sum")).alias("conversion_value"),
+        "round(CAST(cart_sum AS double), 2) AS cart_total",
+        "round(CAST(purchase_sum AS double), 2) AS conversion_value",
         "converted",
-        F.col("first_time").alias("session_start"),
-        F.col("last_time").alias("last_event_time"),
+        "first_time AS session_start",
+        "last_time AS last_event_time",
         "conversion_time",
-        seconds_between(F.col("last_time"), F.col("first_time")).alias("duration_seconds"),
-        F.array_compact(F.array(*[F.when(F.col(_seen(k)), F.lit(k)) for k in sorted(EVENT_TYPES)]))
-        .alias("event_types_seen"),
-        day_text(F.col("first_time")).alias("date_partition"),
+        "unix_seconds(last_time) - unix_seconds(first_time) AS duration_seconds",
+        f"array_compact(array({seen})) AS event_types_seen",
+        "date_format(first_time, 'yyyy-MM-dd') AS date_partition",
     )
 
 
@@ -98,16 +85,11 @@ def cart_totals(events: DataFrame, key: str = "session_id", removal_types: tuple
     Running sums are taken inside time slices and shifted by the slices before,
     so no key is ever sorted in one task.
     """
-    price = exact(F.col("price"))
-    zero = F.lit(0).cast("decimal(18,4)")
+    added = exact_if("event_type = 'cart'")
     if not removal_types:
-        added = F.when(F.col("event_type") == "cart", price).otherwise(zero)
         return events.groupBy(key).agg(amount(F.sum(added)).alias("cart_total"))
-    signed = (
-        F.when(F.col("event_type") == "cart", price)
-        .when(F.col("event_type").isin(*removal_types), -price)
-        .otherwise(zero)
-    )
+    removes = ", ".join(f"'{kind}'" for kind in removal_types)
+    signed = added - exact_if(f"event_type IN ({removes})")
     rows = events.select(
         key, "effective_time", "event_id", signed.alias("signed"),
         time_cell(F.col("effective_time"), SLICE_SECONDS).alias("slice"),

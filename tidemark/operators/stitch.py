@@ -13,9 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import exact
+from tidemark.functions.money import exact_if
 from tidemark.functions.times import seconds_between, time_cell
-from tidemark.operators.events import is_late
 from tidemark.schemas import INLINE_ID_LIMIT, SESSION_TIMEOUT_SECONDS
 
 # Width of the slices for operators that return every event: narrow enough to
@@ -23,34 +22,28 @@ from tidemark.schemas import INLINE_ID_LIMIT, SESSION_TIMEOUT_SECONDS
 SLICE_SECONDS = 60
 
 
-def _price_of(kind: str) -> Column:
-    return F.when(F.col("event_type") == kind, exact(F.col("price"))).otherwise(F.lit(0).cast("decimal(18,4)"))
-
-
 def event_measures() -> list[Column]:
     """Session measures over events; every one can be combined in parts."""
     return [
-        F.min("effective_time").alias("first_time"),
-        F.max("effective_time").alias("last_time"),
-        F.count(F.lit(1)).alias("event_count"),
-        F.sum(_price_of("cart")).alias("cart_sum"),
-        F.sum(_price_of("purchase")).alias("purchase_sum"),
-        F.max(F.col("event_type") == "purchase").alias("converted"),
-        F.sum(is_late().cast("int")).alias("late_count"),
+        F.expr("min(effective_time) AS first_time"),
+        F.expr("max(effective_time) AS last_time"),
+        F.expr("count(1) AS event_count"),
+        F.sum(exact_if("event_type = 'cart'")).alias("cart_sum"),
+        F.sum(exact_if("event_type = 'purchase'")).alias("purchase_sum"),
+        F.expr("max(event_type = 'purchase') AS converted"),
+        F.expr("count_if(is_late_arrival) AS late_count"),
     ]
 
 
+# How each measure combines over rows that already carry it.
+COMBINE = {
+    "first_time": "min", "last_time": "max", "event_count": "sum", "cart_sum": "sum",
+    "purchase_sum": "sum", "converted": "max", "late_count": "sum",
+}
+
+
 def combined_measures() -> list[Column]:
-    """The same measures over rows that already carry them."""
-    return [
-        F.min("first_time").alias("first_time"),
-        F.max("last_time").alias("last_time"),
-        F.sum("event_count").alias("event_count"),
-        F.sum("cart_sum").alias("cart_sum"),
-        F.sum("purchase_sum").alias("purchase_sum"),
-        F.max("converted").alias("converted"),
-        F.sum("late_count").alias("late_count"),
-    ]
+    return [F.expr(f"{how}({name}) AS {name}") for name, how in COMBINE.items()]
 
 
 def _numbered_cells(cells: DataFrame, timeout: int) -> DataFrame:
@@ -68,20 +61,20 @@ def _session_id() -> Column:
 
 
 def _session_columns() -> list[Column]:
-    return [
-        _session_id().alias("batch_session_id"),
-        F.col("user_id"),
-        F.col("first_time").alias("session_start"),
-        F.col("last_time").alias("session_end"),
-        F.col("event_count"),
-        F.col("cart_sum").cast("double").alias("cart_total"),
-        F.col("purchase_sum").cast("double").alias("conversion_value"),
-        F.col("converted"),
-        seconds_between(F.col("last_time"), F.col("first_time")).alias("duration_seconds"),
-        F.col("late_count").alias("late_arrival_count"),
-        (F.col("late_count") > 0).alias("had_restatement"),
-        F.to_date("first_time").alias("session_date"),
-    ]
+    return [F.expr(e) for e in (
+        "concat_ws('_', user_id, CAST(user_session_seq AS string)) AS batch_session_id",
+        "user_id",
+        "first_time AS session_start",
+        "last_time AS session_end",
+        "event_count",
+        "CAST(cart_sum AS double) AS cart_total",
+        "CAST(purchase_sum AS double) AS conversion_value",
+        "converted",
+        "unix_seconds(last_time) - unix_seconds(first_time) AS duration_seconds",
+        "late_count AS late_arrival_count",
+        "late_count > 0 AS had_restatement",
+        "to_date(first_time) AS session_date",
+    )]
 
 
 def batch_session_facts(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) -> DataFrame:
@@ -110,17 +103,12 @@ def _session_totals_per_cell(events: DataFrame, timeout: int) -> DataFrame:
     cells = parts.groupBy("user_id", "cell").agg(
         *combined_measures(), F.count("session_id").alias("ids")
     )
-    whole = Window.partitionBy("user_id", "user_session_seq")
-    totals = {
-        "first_time": F.min("first_time"), "last_time": F.max("last_time"),
-        "event_count": F.sum("event_count"), "cart_sum": F.sum("cart_sum"),
-        "purchase_sum": F.sum("purchase_sum"), "converted": F.max("converted"),
-        "late_count": F.sum("late_count"), "id_bound": F.sum("ids"),
-    }
-    return _numbered_cells(cells, timeout).select(
+    whole = "OVER (PARTITION BY user_id, user_session_seq)"
+    totals = {**COMBINE, "ids": "sum"}
+    return _numbered_cells(cells, timeout).selectExpr(
         "user_id", "cell", "user_session_seq",
-        *[total.over(whole).alias(name) for name, total in totals.items()],
-    )
+        *[f"{how}({name}) {whole} AS {name}" for name, how in totals.items()],
+    ).withColumnRenamed("ids", "id_bound")
 
 
 def _ids_with_totals(events: DataFrame, timeout: int) -> DataFrame:
@@ -151,7 +139,7 @@ def batch_sessions(
     return (
         rows.groupBy("batch_session_id", "user_id")
         .agg(
-            *[F.max(c).alias(c) for c in facts],
+            *[F.expr(f"max({c}) AS {c}") for c in facts],
             F.max("id_bound").alias("id_bound"),
             F.collect_set(F.when(inline, F.col("session_id"))).alias("ids"),
         )
@@ -160,38 +148,36 @@ def batch_sessions(
     )
 
 
+# Session column -> its name on a link row.
+LINK_COLUMNS = {
+    "cart_total": "batch_cart_total",
+    "conversion_value": "batch_conversion_value",
+    "event_count": "batch_event_count",
+    "converted": "batch_converted",
+    "duration_seconds": "batch_duration_seconds",
+    "late_arrival_count": "late_arrival_count",
+    "had_restatement": "had_restatement",
+    "session_date": "batch_session_date",
+}
+
+
 def session_links(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) -> DataFrame:
     """One row per (source session id, batch session) with the batch values.
 
     This is the exploded form of the id set, built without ever making the set.
     """
-    rows = _ids_with_totals(events, timeout).filter(F.col("session_id").isNotNull())
+    rows = _ids_with_totals(events, timeout).filter("session_id IS NOT NULL")
     return rows.groupBy("session_id", "batch_session_id").agg(
-        F.max("cart_total").alias("batch_cart_total"),
-        F.max("conversion_value").alias("batch_conversion_value"),
-        F.max("event_count").alias("batch_event_count"),
-        F.max("converted").alias("batch_converted"),
-        F.max("duration_seconds").alias("batch_duration_seconds"),
-        F.max("late_arrival_count").alias("late_arrival_count"),
-        F.max("had_restatement").alias("had_restatement"),
-        F.max("session_date").alias("batch_session_date"),
+        *[F.expr(f"max({name}) AS {out}") for name, out in LINK_COLUMNS.items()]
     )
 
 
 def exploded_links(sessions: DataFrame) -> DataFrame:
     """Links out of the id arrays of stored sessions; null and empty arrays
     give no row."""
-    return sessions.select(
-        F.explode("original_session_ids").alias("session_id"),
-        "batch_session_id",
-        F.col("cart_total").alias("batch_cart_total"),
-        F.col("conversion_value").alias("batch_conversion_value"),
-        F.col("event_count").alias("batch_event_count"),
-        F.col("converted").alias("batch_converted"),
-        F.col("duration_seconds").alias("batch_duration_seconds"),
-        "late_arrival_count",
-        "had_restatement",
-        F.col("session_date").alias("batch_session_date"),
+    return sessions.selectExpr(
+        "explode(original_session_ids) AS session_id", "batch_session_id",
+        *[f"{name} AS {out}" for name, out in LINK_COLUMNS.items()],
     )
 
 

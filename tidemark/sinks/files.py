@@ -87,12 +87,17 @@ def columnar_text(events: DataFrame) -> DataFrame:
     })
 
 
-def write_events(events: DataFrame, base: str, fmt: str = "json", batch_id: int | None = None) -> None:
+def write_events(
+    events: DataFrame, base: str, fmt: str = "json", batch_id: int | None = None, resize: bool = False
+) -> None:
     """Events into hour folders by arrival time.
 
     With ``batch_id`` the rows go to a folder of that batch inside each hour,
-    and a retried batch replaces exactly what its first attempt wrote. Hours
-    are spread by AQE, so a busy hour is several files, not one task.
+    and a retried batch replaces exactly what its first attempt wrote.
+
+    Every task writes its own rows, so nothing is shuffled and a busy hour is
+    written by all tasks that read it. ``resize`` adds a shuffle that evens
+    out file sizes, for bulk loads from many small inputs.
     """
     rows = columnar_text(events) if fmt == "parquet" else raw_text(events)
     rows = rows.withColumns(padded_hours(F.try_to_timestamp("arrival_time")))
@@ -100,7 +105,9 @@ def write_events(events: DataFrame, base: str, fmt: str = "json", batch_id: int
     if batch_id is not None:
         rows = rows.withColumn("batch_id", F.lit(batch_id))
         keys.append("batch_id")
-    writer = rows.hint("rebalance", *HOUR_KEYS).write.partitionBy(*keys)
+    if resize:
+        rows = rows.hint("rebalance", *HOUR_KEYS)
+    writer = rows.write.partitionBy(*keys).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic") if batch_id is not None \
         else writer.mode("append")
     if fmt == "json":

@@ -57,7 +57,7 @@ def _combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def summaries(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) -> DataFrame:
     """On-time events as summary rows per session and cell, not yet shuffled."""
     at = F.unix_micros("effective_time")
-    units = (exact(F.col("price")) * F.lit(UNITS)).cast("bigint")
+    units = (exact("price") * F.lit(UNITS)).cast("bigint")
     kind = F.col("event_type")
     zero = F.lit(0).cast("bigint")
     rows = unknown_session_filled(on_time_events(events)).filter(F.col("effective_time").isNotNull()).select(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.money import exact_if
 from tidemark.schemas import TRIGGER_INTERVAL
 
 # Inside one batch a session can be closed and reopened; the later start wins,
@@ -62,9 +63,6 @@ def compact_state(spark: SparkSession, path: str, target: str) -> None:
 
 def cart_counters(events: DataFrame) -> DataFrame:
     """Streaming counter per session: the sum of its cart additions."""
-    from tidemark.functions.money import exact
-
-    added = F.when(F.col("event_type") == "cart", exact(F.col("price"))).otherwise(F.lit(0).cast("decimal(18,4)"))
     return events.groupBy("session_id").agg(
-        F.sum(added).alias("cart_total"), F.count(F.lit(1)).alias("event_count")
+        F.sum(exact_if("event_type = 'cart'")).alias("cart_total"), F.count(F.lit(1)).alias("event_count")
     )
