@@ -65,7 +65,7 @@ def main() -> int:
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     chosen = args[1:] or list(QUERIES)
     spark = spark_session("compare", **{
-        "spark.master": f"local[{os.environ.get('BENCH_CPUS', '8')}]", "spark.ui.enabled": "false",
+        "spark.master": f"local[{os.environ.get('BENCH_CPUS', '8')}]", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
     })
     spark.sparkContext.setLogLevel("ERROR")

@@ -237,8 +237,7 @@ def realtime_sessions_view(spark, sf_dir):
 
 @query
 def batch_sessions_view(spark, sf_dir):
-    return report.batch_sessions_view(source.stored_sessions(spark, inputs.landed(spark, sf_dir, "sessions"))).drop(
-        "original_session_count")
+    return report.batch_sessions_view(source.stored_sessions(spark, inputs.landed(spark, sf_dir, "sessions")))
 
 
 @query

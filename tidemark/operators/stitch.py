@@ -111,8 +111,12 @@ def _session_totals_per_cell(events: DataFrame, timeout: int) -> DataFrame:
     ).withColumnRenamed("ids", "id_bound")
 
 
-def _ids_with_totals(events: DataFrame, timeout: int) -> DataFrame:
-    """One row per (user, cell, source id) with its session's columns."""
+def stitched_ids(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) -> DataFrame:
+    """One row per (user, cell, source id) with the columns of its session.
+
+    Sessions and links are both plain groupings of these rows. A job that needs
+    both writes them once and reads them twice.
+    """
     ids = events.select(
         "user_id", time_cell(F.col("effective_time"), timeout).alias("cell"), "session_id"
     ).distinct()
@@ -121,19 +125,14 @@ def _ids_with_totals(events: DataFrame, timeout: int) -> DataFrame:
     )
 
 
-def batch_sessions(
-    events: DataFrame,
-    timeout: int = SESSION_TIMEOUT_SECONDS,
-    inline_limit: int = INLINE_ID_LIMIT,
-) -> DataFrame:
-    """Sessions with the set of source session ids they were stitched from.
+def sessions_of(rows: DataFrame, inline_limit: int = INLINE_ID_LIMIT) -> DataFrame:
+    """Sessions out of :func:`stitched_ids`.
 
     ``original_session_ids`` is filled where the session cannot have more than
-    ``inline_limit`` ids. Above that the column is null and
-    :func:`session_links`, complete for every session, holds the ids row by
-    row: an id list of unknown length is never gathered into one row.
+    ``inline_limit`` ids. Above that the column is null and the links, complete
+    for every session, hold the ids row by row: an id list of unknown length
+    is never gathered into one row.
     """
-    rows = _ids_with_totals(events, timeout)
     facts = [c for c in rows.columns if c not in ("session_id", "id_bound", "batch_session_id", "user_id")]
     inline = F.col("id_bound") <= inline_limit
     return (
@@ -148,6 +147,15 @@ def batch_sessions(
     )
 
 
+def batch_sessions(
+    events: DataFrame,
+    timeout: int = SESSION_TIMEOUT_SECONDS,
+    inline_limit: int = INLINE_ID_LIMIT,
+) -> DataFrame:
+    """Sessions with the set of source session ids they were stitched from."""
+    return sessions_of(stitched_ids(events, timeout), inline_limit)
+
+
 # Session column -> its name on a link row.
 LINK_COLUMNS = {
     "cart_total": "batch_cart_total",
@@ -161,17 +169,18 @@ LINK_COLUMNS = {
 }
 
 
-def session_links(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) -> DataFrame:
-    """One row per (source session id, batch session) with the batch values.
-
-    This is the exploded form of the id set, built without ever making the set.
-    """
-    rows = _ids_with_totals(events, timeout).filter("session_id IS NOT NULL")
-    return rows.groupBy("session_id", "batch_session_id").agg(
+def links_of(rows: DataFrame) -> DataFrame:
+    """One row per (source session id, batch session) with the batch values:
+    the exploded form of the id set, built without ever making the set."""
+    return rows.filter("session_id IS NOT NULL").groupBy("session_id", "batch_session_id").agg(
         *[F.expr(f"max({name}) AS {out}") for name, out in LINK_COLUMNS.items()]
     )
 
 
+def session_links(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) -> DataFrame:
+    return links_of(stitched_ids(events, timeout))
+
+
 def exploded_links(sessions: DataFrame) -> DataFrame:
     """Links out of the id arrays of stored sessions; null and empty arrays
     give no row."""

@@ -85,7 +85,6 @@ BATCH_SESSION = T.StructType([
     T.StructField("late_arrival_count", T.LongType()),
     T.StructField("had_restatement", T.BooleanType()),
     T.StructField("original_session_ids", T.ArrayType(T.StringType())),
-    T.StructField("original_session_count", T.LongType()),
     T.StructField("session_date", T.DateType()),
 ])
 
