@@ -10,8 +10,9 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.events import canonical_events, timed_events, valid_events
+from tidemark.operators.events import canonical_events, timed_events
 from tidemark.operators.quarantine import events_of, parse_lines
+from tidemark.schemas import CANONICAL_EVENT, TRIGGER_INTERVAL
 from tidemark.session import spark_session
 from tidemark.sinks.files import write_snapshot
 from tidemark.streaming.counters import counted
@@ -22,25 +23,40 @@ from tidemark.streaming.state_table import latest_state, start_upserts, state_ch
 from tidemark.streaming.windows import dedup_stream
 
 
-def state_query(lines: DataFrame) -> DataFrame:
-    """Lines to state changes: decode, remove repeats, fold on-time events."""
-    events = timed_events(valid_events(canonical_events(events_of(parse_lines(lines)))))
-    return session_updates(dedup_stream(counted(events)))
+def once_delivered(lines: DataFrame) -> DataFrame:
+    """Lines to canonical events without repeats. Events without a session id
+    stay; the session state keeps them under one placeholder id."""
+    return dedup_stream(counted(timed_events(canonical_events(events_of(parse_lines(lines))))))
+
+
+def start_dedup(lines: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    writer = once_delivered(lines).writeStream.format("parquet").option("path", path) \
+        .option("checkpointLocation", checkpoint).outputMode("append")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=TRIGGER_INTERVAL)
+    return writer.start()
 
 
 def start(
     spark: SparkSession, source: str, root: str, checkpoints: str,
     max_files: int | None = None, available_now: bool = False,
 ) -> list[StreamingQuery]:
-    """Two queries over the same source. They fail and restart on their own, so
-    trouble with the state never holds back the raw store."""
+    """Three queries that fail and restart on their own.
+
+    Routing keeps every line whatever its age. Removing repeats and folding
+    sessions each have a watermark of their own, so a small table lies between
+    them; what falls behind those watermarks is left to the batch answer.
+    """
     root, checkpoints = root.rstrip("/"), checkpoints.rstrip("/")
     routing = start_routing(
         file_lines(spark, source, max_files), root, f"{checkpoints}/routing", available_now=available_now)
+    once = f"{root}/delivered-once"
+    dedup = start_dedup(file_lines(spark, source, max_files), once, f"{checkpoints}/dedup", available_now)
+    if available_now:
+        dedup.awaitTermination()
+    events = spark.readStream.schema(CANONICAL_EVENT).parquet(once)
     state = start_upserts(
-        state_query(file_lines(spark, source, max_files)), f"{root}/session-state",
-        f"{checkpoints}/state", available_now=available_now)
-    return [routing, state]
+        session_updates(events), f"{root}/session-state", f"{checkpoints}/state", available_now=available_now)
+    return [routing, dedup, state]
 
 
 def export_snapshot(spark: SparkSession, root: str, day: str | None = None) -> None:

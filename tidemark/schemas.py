@@ -60,6 +60,12 @@ RAW_EVENT = T.StructType([
     T.StructField("late_arrival_delay_seconds", T.LongType()),
 ])
 
+# Raw events with times as timestamps, and the time that orders them.
+CANONICAL_EVENT = T.StructType([
+    T.StructField(f.name, T.TimestampType() if f.name in ("event_time", "arrival_time") else f.dataType)
+    for f in RAW_EVENT.fields
+] + [T.StructField("effective_time", T.TimestampType())])
+
 SHOP_CSV = T.StructType([
     T.StructField("event_time", T.StringType()),
     T.StructField("event_type", T.StringType()),
