@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import plus_seconds
 from tidemark.operators import events as ev
+from tidemark.schemas import RAW_EVENT
 from tidemark.session import scratch_path
 from tidemark.sinks import files as sink
 
@@ -56,7 +57,7 @@ def _text_id() -> Column:
     return F.concat_ws("-", *[F.substring(digest, start, length) for start, length in cuts])
 
 
-def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _dirty_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rows in raw text form, with faults planted by row number."""
     number = F.col("number")
 
@@ -81,38 +82,54 @@ def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     }).drop("number")
 
 
-def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All rows as JSON text with their arrival time; some lines are broken."""
+def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(RAW_EVENT).parquet(landed(spark, sf_dir, "dirty"))
+
+
+def _wire_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows as JSON text with their arrival time; some lines are broken.
+    With them the same as records of a stream, some of which are no base64."""
     rows = raw_events(spark, sf_dir)
     text = sink.raw_text(rows)
     broken = F.col("event_id").cast("bigint") % 97 == 0
     line = F.to_json(F.struct(*text.columns), {"ignoreNullFields": "false"})
-    return text.select(
+    lines = text.select(
         F.when(broken, F.concat(F.lit("NOT JSON {{{"), F.col("event_id"))).otherwise(line).alias("value"),
         F.try_to_timestamp("arrival_time").alias("arrival_time"),
         "is_late_arrival",
-        "event_id",
+        F.col("event_id").cast("bigint").alias("number"),
     )
-
-
-def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows as stream records; some payloads are not base64."""
-    lines = json_lines(spark, sf_dir)
-    number = F.col("event_id").cast("bigint")
     return lines.select(
-        F.when(number % 59 == 0, F.concat(F.lit("!!not base64!!"), F.col("event_id")))
+        "*",
+        F.when(F.col("number") % 59 == 0, F.concat(F.lit("!!not base64!!"), F.col("number").cast("string")))
         .otherwise(F.base64(F.encode("value", "UTF-8"))).alias("data"),
-        F.concat(F.lit("seq"), F.col("event_id")).alias("sequence"),
+        F.concat(F.lit("seq"), F.col("number").cast("string")).alias("sequence"),
         (F.unix_micros("arrival_time") / 1e6).alias("arrival"),
-        "event_id",
     )
 
 
+def wire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(landed(spark, sf_dir, "wire"))
+
+
+def outcome_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines under the time they arrived, which a broken line has as well."""
+    return wire(spark, sf_dir).select("value", F.col("arrival_time").alias("arrived"),
+                                      F.col("is_late_arrival").alias("late"))
+
+
+def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wire(spark, sf_dir).select("data", "sequence", "arrival", "number")
+
+
 def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(landed(spark, sf_dir, "letters"))
+
+
+def _letter_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dead letters of up to four records; some only name a batch, some are
     broken text."""
-    number = F.col("event_id").cast("bigint")
-    records = stream_records(spark, sf_dir).withColumn("letter", F.floor(number / 4))
+    records = stream_records(spark, sf_dir).withColumn("letter", F.floor(F.col("number") / 4))
     one = F.struct(F.struct(
         F.col("sequence").alias("sequenceNumber"), "data", F.col("arrival").alias("approximateArrivalTimestamp"),
     ).alias("kinesis"))
@@ -178,7 +195,7 @@ def _land_late(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 
 def _land_lines(spark: SparkSession, sf_dir: str, path: str) -> None:
-    _by_arrival(json_lines(spark, sf_dir)).select("value").write.text(path)
+    _by_arrival(wire(spark, sf_dir)).select("value").write.text(path)
 
 
 def _land_columnar(spark: SparkSession, sf_dir: str, path: str) -> None:
@@ -219,7 +236,22 @@ def _land_two_layouts(spark: SparkSession, sf_dir: str, path: str) -> None:
     ev.late_events(rows).write.parquet(f"{path}/layout=2")
 
 
+def _land_dirty(spark: SparkSession, sf_dir: str, path: str) -> None:
+    _dirty_rows(spark, sf_dir).write.parquet(path)
+
+
+def _land_wire(spark: SparkSession, sf_dir: str, path: str) -> None:
+    _wire_rows(spark, sf_dir).write.parquet(path)
+
+
+def _land_letters(spark: SparkSession, sf_dir: str, path: str) -> None:
+    _letter_rows(spark, sf_dir).write.parquet(path)
+
+
 _WRITERS = {
+    "dirty": _land_dirty,
+    "wire": _land_wire,
+    "letters": _land_letters,
     "events": _land_events,
     "late-arrivals": _land_late,
     "lines": _land_lines,

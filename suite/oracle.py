@@ -383,7 +383,7 @@ WHERE last_event_time + 7200000000 > epoch_us(TIMESTAMP '{DAY} 12:00:00')""",
     || '","category_code":null,"brand":' || CASE WHEN CAST(product_id AS INT) % 7 <> 0 THEN '"brand' || product_id || '"' ELSE 'null' END
     || ',"price":' || price || ',"user_id":"' || user_id || '","session_id":"' || session_id || '","is_late_arrival":' || is_late
     || ',"late_arrival_delay_seconds":' || coalesce(CAST(delay AS VARCHAR), 'null') || '}}') AS bytes FROM raw)
-SELECT event_id, CAST(bytes AS INT) AS bytes FROM sized WHERE bytes <= 340""",
+SELECT event_id, CAST(bytes AS INT) AS bytes FROM sized WHERE bytes <= 315""",
     # duplicates
     "dedup_events": f"WITH {RAW} SELECT event_id, epoch_us(arrival_time) AS arrival_time, event_type, price, session_id FROM raw",
     "union_all_events": f"WITH {RAW} SELECT event_id, is_late AS is_late_arrival, price FROM raw",

@@ -244,7 +244,7 @@ def batch_sessions_view(spark, sf_dir):
 def payload_size_filter(spark, sf_dir):
     """Events whose JSON form stays below a limit that cuts this data."""
     rows = sink.raw_text(inputs.raw_events(spark, sf_dir)).withColumn("bytes", ev.payload_bytes(inputs.raw_events(spark, sf_dir)))
-    return ev.within_payload_limit(rows, 340).select("event_id", "bytes")
+    return ev.within_payload_limit(rows, 315).select("event_id", "bytes")
 
 
 @query
@@ -274,7 +274,7 @@ def sessions_by_user(spark, sf_dir):
 
 @query
 def live_sessions(spark, sf_dir):
-    state = speed.speed_sessions(inputs.shop_events(spark, sf_dir))
+    state = speed.speed_sessions(inputs.shop_events(spark, sf_dir), with_user=False)
     as_of = F.lit(f"{REPORT_DAY} 12:00:00").cast("timestamp")
     return speed.live_sessions(state, as_of).select("session_id", "last_event_time", "event_count")
 
@@ -373,7 +373,7 @@ def cart_totals_with_removals(spark, sf_dir):
 # --- reconciliation --------------------------------------------------------------------
 def _sides(spark, sf_dir, timeout):
     rows = inputs.shop_events(spark, sf_dir)
-    return stitch.session_links(rows, timeout), speed.speed_sessions(rows, timeout), rows.select("session_id")
+    return stitch.session_links(rows, timeout), speed.speed_sessions(rows, timeout, with_user=False), rows.select("session_id")
 
 
 def _deltas(spark, sf_dir, timeout=1800, **options):
@@ -467,7 +467,7 @@ def late_event_match(spark, sf_dir):
 # --- reports ---------------------------------------------------------------------------
 def _layers(spark, sf_dir):
     rows = inputs.shop_events(spark, sf_dir)
-    return speed.speed_sessions(rows), stitch.batch_session_facts(rows)
+    return speed.speed_sessions(rows, with_user=False), stitch.batch_session_facts(rows)
 
 
 @query
@@ -517,8 +517,8 @@ def late_rate_by_hour(spark, sf_dir):
 
 
 def _line_outcomes(spark, sf_dir):
-    lines = quarantine.parse_lines(inputs.json_lines(spark, sf_dir))
-    return lines.select("arrival_time", "is_late_arrival", "malformed")
+    lines = quarantine.parse_lines(inputs.outcome_lines(spark, sf_dir))
+    return lines.select(F.col("arrived").alias("arrival_time"), F.col("late").alias("is_late_arrival"), "malformed")
 
 
 @query
@@ -624,4 +624,4 @@ def stream_cart_counters(spark, sf_dir):
         state_table.cart_counters(_shop_stream(spark, sf_dir)), path, scratch_path(spark, "carts-cp"),
         available_now=True))
     rows = state_table.latest_rows(state_table.state_changes(spark, path), "session_id", ("batch_id",))
-    return rows.select("session_id", F.col("cart_total").cast("double").alias("cart_total"), "event_count")
+    return rows.select("session_id", "cart_total", "event_count")

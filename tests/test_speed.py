@@ -99,3 +99,16 @@ def test_live_rows_and_lookups(canonical):
     assert [r.session_id for r in speed.live_sessions(state, as_of).collect()] == ["s2"]
     assert speed.session_by_id(state, "s1").count() == 1
     assert [r.session_id for r in speed.sessions_by_user(state, "u2").collect()] == ["s2"]
+
+
+def test_id_shared_by_many_users_is_one_state(canonical):
+    """The per-session window sees one row per cell, however many users."""
+    df = canonical([{"event_time": at(i % 3), "session_id": None, "user_id": f"u{i}"} for i in range(40)])
+    rows = speed.speed_sessions(df).collect()
+    assert [(r.session_id, r.event_count, r.user_id) for r in rows] == [("unknown", 40, "u9")]
+    assert "user_id" not in speed.speed_sessions(df, with_user=False).columns
+
+
+def test_aggregation_of_events_is_hash_based(canonical):
+    plan = speed.speed_sessions(canonical([{}]), with_user=False)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan

@@ -153,7 +153,7 @@ def test_cart_counter(spark, tmp_path):
     counters = state_table.cart_counters(clean(file_events(spark, folder, max_files=1)))
     finish(state_table.start_upserts(counters, str(tmp_path / "s"), str(tmp_path / "cp"), available_now=True))
     row = state_table.latest_rows(state_table.state_changes(spark, str(tmp_path / "s")), "session_id", ("batch_id",)).collect()[0]
-    assert float(row.cart_total) == 0.3 and row.event_count == 3
+    assert row.cart_total == 0.3 and row.event_count == 3
 
 
 def test_counters_per_batch(spark, tmp_path):

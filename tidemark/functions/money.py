@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.schemas import MONEY, PRICE_LIMIT
+from tidemark.schemas import MONEY_UNITS, PRICE_LIMIT
 
 
 def safe_price_sql(column: str) -> str:
@@ -21,21 +21,29 @@ def safe_price(column: str) -> Column:
     return F.expr(safe_price_sql(column))
 
 
-def exact(column: str) -> Column:
-    """Cleaned price as a decimal, ready to be summed."""
-    return F.expr(f"CAST({safe_price_sql(column)} AS {MONEY.simpleString()})")
+def units(column: str) -> Column:
+    """Cleaned price in whole ten-thousandths, ready to be summed."""
+    return units_if("true", column)
 
 
-def exact_if(condition: str, column: str = "price") -> Column:
-    """Cleaned price where the condition holds, else 0, as a decimal."""
-    kind = MONEY.simpleString()
+def units_if(condition: str, column: str = "price") -> Column:
+    """Cleaned price in ten-thousandths where the condition holds, else 0."""
     return F.expr(
-        f"CASE WHEN {condition} THEN CAST({safe_price_sql(column)} AS {kind}) ELSE CAST(0 AS {kind}) END"
+        f"CASE WHEN {condition} THEN floor({safe_price_sql(column)} * {MONEY_UNITS}D + 0.5D) ELSE 0L END"
     )
 
 
+def from_units_sql(column: str) -> str:
+    return f"{column} / {MONEY_UNITS}D"
+
+
+def from_units(total: Column) -> Column:
+    """Sum of ten-thousandths as a double."""
+    return total / F.lit(float(MONEY_UNITS))
+
+
 def amount(value: Column, digits: int = 2) -> Column:
-    """Decimal or double money for output, rounded half up."""
+    """Money for output, rounded half up."""
     return F.round(value.cast("double"), digits)
 
 

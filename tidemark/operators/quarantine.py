@@ -19,28 +19,37 @@ def parse_event(text: Column) -> Column:
     return F.from_json(text, _EVENT, {"columnNameOfCorruptRecord": _CORRUPT})
 
 
-def not_an_event(event: Column) -> Column:
-    """True when nothing could be read from the text.
+_FIELDS = [f.name for f in RAW_EVENT.fields]
 
-    A field of the wrong type alone is no reason: it is null, the rest of the
-    event stays, and the schema rules decide about it.
-    """
-    members = [event[f.name].cast("string") for f in RAW_EVENT.fields]
-    return event.isNull() | (event[_CORRUPT].isNotNull() & F.coalesce(*members).isNull())
 
+def with_event(rows: DataFrame, text: Column) -> DataFrame:
+    """Adds the members of the parsed event, and ``malformed`` where nothing
+    could be read from the text.
 
-def _event_columns() -> list[Column]:
-    return [F.col(f"event.{f.name}").alias(f.name) for f in RAW_EVENT.fields]
+    A field of the wrong type alone is no reason: it is null, the rest of the
+    event stays, and the schema rules decide about it. The event leaves a
+    generator, below which Catalyst pushes no filter on it; a filter on
+    ``malformed`` would otherwise parse every text a second time.
+    """
+    keep = [F.col(c) for c in rows.columns]
+    empty = F.coalesce(F.trim(text) == "", F.lit(True))
+    parsed = rows.select(*keep, empty.alias("_empty"), F.inline(F.array(parse_event(text))))
+    nothing = F.expr(f"coalesce({', '.join(f'CAST({name} AS string)' for name in _FIELDS)}) IS NULL")
+    return parsed.withColumn(
+        "malformed", nothing & (F.col("_empty") | F.col(_CORRUPT).isNotNull())
+    ).drop("_empty", _CORRUPT)
 
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Text lines with the parsed ``event`` and the flag ``malformed``."""
-    parsed = lines.withColumnRenamed(column, "raw_line").withColumn("event", parse_event(F.col("raw_line")))
-    return parsed.withColumn("malformed", not_an_event(F.col("event")))
+    """Text lines as ``raw_line``, the event's members, and ``malformed``.
+    Columns of ``lines`` that an event has too are replaced by the event's."""
+    others = [c for c in lines.columns if c != column and c not in _FIELDS]
+    rows = lines.select(F.col(column).alias("raw_line"), *others)
+    return with_event(rows, F.col("raw_line"))
 
 
 def events_of(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(~F.col("malformed")).select(*_event_columns())
+    return parsed.filter(~F.col("malformed")).select(*_FIELDS)
 
 
 def malformed_split(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -56,15 +65,16 @@ def decode_payload(data: Column) -> Column:
 
 
 def parse_records(records: DataFrame) -> DataFrame:
-    """Stream records (``data``, ``sequence``, ``arrival``) with the parsed
-    ``event``, ``malformed`` where the payload cannot be decoded."""
-    parsed = records.withColumn("event", parse_event(decode_payload(F.col("data"))))
-    return parsed.withColumn("malformed", not_an_event(F.col("event")))
+    """Stream records (``data``, ``sequence``, ``arrival``) with the event's
+    members, ``malformed`` where the payload cannot be decoded."""
+    keep = [c for c in records.columns if c not in _FIELDS]
+    rows = records.select(*keep, decode_payload(F.col("data")).alias("payload"))
+    return with_event(rows, F.col("payload"))
 
 
 def decode_records(records: DataFrame) -> DataFrame:
     """The events of the records that decode, with sequence and arrival."""
-    return parse_records(records).filter(~F.col("malformed")).select(*_event_columns(), "sequence", "arrival")
+    return parse_records(records).filter(~F.col("malformed")).select(*_FIELDS, "sequence", "arrival")
 
 
 def undecodable_records(records: DataFrame) -> DataFrame:
@@ -110,7 +120,7 @@ def dead_letter_records(messages: DataFrame) -> DataFrame:
 def dlq_decode(messages: DataFrame) -> DataFrame:
     """Events embedded in dead letters; what does not decode is left out."""
     return parse_records(dead_letter_records(messages)).filter(~F.col("malformed")).select(
-        "message_id", *_event_columns()
+        "message_id", *_FIELDS
     )
 
 

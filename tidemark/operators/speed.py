@@ -11,52 +11,63 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import amount, exact_if
+from tidemark.functions.money import amount, from_units, from_units_sql, units_if
 from tidemark.functions.times import micros_between, plus_seconds, time_cell
 from tidemark.operators.events import on_time_events, unknown_session_filled
 from tidemark.operators.stitch import SLICE_SECONDS, combined_measures, event_measures
 from tidemark.schemas import EVENT_TYPES, SESSION_TIMEOUT_SECONDS, STATE_TTL_SECONDS
 
 
+# State beyond the session measures; all of it combines by max().
 _STATE = {
-    "user_id": "max(user_id)",
     "conversion_time": "max(CASE WHEN event_type = 'purchase' THEN effective_time END)",
     **{f"seen_{kind}": f"max(event_type = '{kind}')" for kind in sorted(EVENT_TYPES)},
 }
 
 
-def _state_measures() -> list[Column]:
-    return [F.expr(f"{how} AS {name}") for name, how in _STATE.items()]
+def session_users(events: DataFrame) -> DataFrame:
+    """The user of each session id (of several, the one sorted last)."""
+    pairs = unknown_session_filled(on_time_events(events)).select("session_id", "user_id").distinct()
+    return pairs.groupBy("session_id").agg(F.max("user_id").alias("user_id"))
 
 
-def _combined_state() -> list[Column]:
-    return [F.expr(f"max({name}) AS {name}") for name in _STATE]
-
-
-def speed_segments(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) -> DataFrame:
+def speed_segments(
+    events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS, with_user: bool = True
+) -> DataFrame:
     """Every uninterrupted stretch of each source session id, in order.
 
     ``last_segment`` is what the live state ends with; the others were closed.
+
+    The user is looked up beside the measures: a maximum over text among them
+    would turn the hash aggregation of all events into a sort, and a grouping
+    by user would let a session id that many users share grow without bound.
+    Comparisons that need no user leave the lookup out.
     """
     kept = unknown_session_filled(on_time_events(events))
     cells = kept.groupBy(
         "session_id", time_cell(F.col("effective_time"), timeout).alias("cell")
-    ).agg(*event_measures(), *_state_measures())
+    ).agg(*event_measures(), *[F.expr(f"{how} AS {name}") for name, how in _STATE.items()])
     by_time = Window.partitionBy("session_id").orderBy("cell")
     gap = micros_between(F.col("first_time"), F.lag("last_time").over(by_time))
     numbered = cells.withColumn(
-        "opens", F.when(gap <= timeout * 1_000_000, 0).when(gap.isNull(), 0).otherwise(1)
+        "opens", F.when(gap > timeout * 1_000_000, 1).otherwise(0)
     ).withColumn("segment", F.sum("opens").over(by_time))
-    segments = numbered.groupBy("session_id", "segment").agg(*combined_measures(), *_combined_state())
+    # Sorted by session id already, so this window needs no new sort.
+    numbered = numbered.withColumn("last_segment", F.expr("segment = max(segment) OVER (PARTITION BY session_id)"))
+    segments = numbered.groupBy("session_id", "segment", "last_segment").agg(
+        *combined_measures(), *[F.expr(f"max({name}) AS {name}") for name in _STATE]
+    )
+    if with_user:
+        segments = segments.join(session_users(events), "session_id")
     seen = ", ".join(f"CASE WHEN seen_{kind} THEN '{kind}' END" for kind in sorted(EVENT_TYPES))
     return segments.selectExpr(
         "session_id",
         "segment",
-        "segment = max(segment) OVER (PARTITION BY session_id) AS last_segment",
-        "user_id",
+        "last_segment",
+        *(["user_id"] if with_user else []),
         "event_count",
-        "round(CAST(cart_sum AS double), 2) AS cart_total",
-        "round(CAST(purchase_sum AS double), 2) AS conversion_value",
+        f"round({from_units_sql('cart_sum')}, 2) AS cart_total",
+        f"round({from_units_sql('purchase_sum')}, 2) AS conversion_value",
         "converted",
         "first_time AS session_start",
         "last_time AS last_event_time",
@@ -67,9 +78,11 @@ def speed_segments(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) ->
     )
 
 
-def speed_sessions(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) -> DataFrame:
+def speed_sessions(
+    events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS, with_user: bool = True
+) -> DataFrame:
     """Final state per source session id: the stretch after its last gap."""
-    return speed_segments(events, timeout).filter("last_segment").drop("segment", "last_segment")
+    return speed_segments(events, timeout, with_user).filter("last_segment").drop("segment", "last_segment")
 
 
 def closed_speed_sessions(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) -> DataFrame:
@@ -85,11 +98,11 @@ def cart_totals(events: DataFrame, key: str = "session_id", removal_types: tuple
     Running sums are taken inside time slices and shifted by the slices before,
     so no key is ever sorted in one task.
     """
-    added = exact_if("event_type = 'cart'")
+    added = units_if("event_type = 'cart'")
     if not removal_types:
-        return events.groupBy(key).agg(amount(F.sum(added)).alias("cart_total"))
+        return events.groupBy(key).agg(amount(from_units(F.sum(added))).alias("cart_total"))
     removes = ", ".join(f"'{kind}'" for kind in removal_types)
-    signed = added - exact_if(f"event_type IN ({removes})")
+    signed = added - units_if(f"event_type IN ({removes})")
     rows = events.select(
         key, "effective_time", "event_id", signed.alias("signed"),
         time_cell(F.col("effective_time"), SLICE_SECONDS).alias("slice"),
@@ -105,7 +118,7 @@ def cart_totals(events: DataFrame, key: str = "session_id", removal_types: tuple
         "lowest", F.col("lowest") + F.coalesce(F.sum("moved").over(before), F.lit(0))
     )
     return shifted.groupBy(key).agg(
-        amount(F.sum("moved") - F.least(F.lit(0), F.min("lowest"))).alias("cart_total")
+        amount(from_units(F.sum("moved") - F.least(F.lit(0), F.min("lowest")))).alias("cart_total")
     )
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import exact_if
+from tidemark.functions.money import from_units_sql, units_if
 from tidemark.functions.times import seconds_between, time_cell
 from tidemark.schemas import INLINE_ID_LIMIT, SESSION_TIMEOUT_SECONDS
 
@@ -28,8 +28,8 @@ def event_measures() -> list[Column]:
         F.expr("min(effective_time) AS first_time"),
         F.expr("max(effective_time) AS last_time"),
         F.expr("count(1) AS event_count"),
-        F.sum(exact_if("event_type = 'cart'")).alias("cart_sum"),
-        F.sum(exact_if("event_type = 'purchase'")).alias("purchase_sum"),
+        F.sum(units_if("event_type = 'cart'")).alias("cart_sum"),
+        F.sum(units_if("event_type = 'purchase'")).alias("purchase_sum"),
         F.expr("max(event_type = 'purchase') AS converted"),
         F.expr("count_if(is_late_arrival) AS late_count"),
     ]
@@ -67,8 +67,8 @@ def _session_columns() -> list[Column]:
         "first_time AS session_start",
         "last_time AS session_end",
         "event_count",
-        "CAST(cart_sum AS double) AS cart_total",
-        "CAST(purchase_sum AS double) AS conversion_value",
+        f"{from_units_sql('cart_sum')} AS cart_total",
+        f"{from_units_sql('purchase_sum')} AS conversion_value",
         "converted",
         "unix_seconds(last_time) - unix_seconds(first_time) AS duration_seconds",
         "late_count AS late_arrival_count",
@@ -83,35 +83,36 @@ def batch_session_facts(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECOND
     Two exchanges: partial aggregates by (user, cell), then the cell rows by
     user; the last grouping reuses the second one.
     """
-    cells = events.groupBy(
-        "user_id", time_cell(F.col("effective_time"), timeout).alias("cell")
-    ).agg(*event_measures())
     return (
-        _numbered_cells(cells, timeout)
+        _numbered_cells(_cells(events, timeout, count_ids=False), timeout)
         .groupBy("user_id", "user_session_seq")
         .agg(*combined_measures())
         .select(*_session_columns())
     )
 
 
-def _session_totals_per_cell(events: DataFrame, timeout: int) -> DataFrame:
-    """(user, cell) rows carrying the totals of the session they lie in, and
+def _cells(events: DataFrame, timeout: int, count_ids: bool) -> DataFrame:
+    """Measures per (user, cell). Counting distinct ids costs a second
+    grouping, so only those who need the count ask for it."""
+    cell = time_cell(F.col("effective_time"), timeout).alias("cell")
+    if not count_ids:
+        return events.groupBy("user_id", cell).agg(*event_measures())
+    parts = events.groupBy("user_id", cell, "session_id").agg(*event_measures())
+    return parts.groupBy("user_id", "cell").agg(*combined_measures(), F.count("session_id").alias("id_bound"))
+
+
+def _session_totals_per_cell(events: DataFrame, timeout: int, count_ids: bool) -> DataFrame:
+    """(user, cell) rows carrying the totals of the session they lie in; with
     ``id_bound``, an upper bound of that session's number of source ids."""
-    parts = events.groupBy(
-        "user_id", time_cell(F.col("effective_time"), timeout).alias("cell"), "session_id"
-    ).agg(*event_measures())
-    cells = parts.groupBy("user_id", "cell").agg(
-        *combined_measures(), F.count("session_id").alias("ids")
-    )
     whole = "OVER (PARTITION BY user_id, user_session_seq)"
-    totals = {**COMBINE, "ids": "sum"}
-    return _numbered_cells(cells, timeout).selectExpr(
+    totals = {**COMBINE, "id_bound": "sum"} if count_ids else COMBINE
+    return _numbered_cells(_cells(events, timeout, count_ids), timeout).selectExpr(
         "user_id", "cell", "user_session_seq",
         *[f"{how}({name}) {whole} AS {name}" for name, how in totals.items()],
-    ).withColumnRenamed("ids", "id_bound")
+    )
 
 
-def stitched_ids(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) -> DataFrame:
+def stitched_ids(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS, count_ids: bool = True) -> DataFrame:
     """One row per (user, cell, source id) with the columns of its session.
 
     Sessions and links are both plain groupings of these rows. A job that needs
@@ -120,8 +121,9 @@ def stitched_ids(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) -> D
     ids = events.select(
         "user_id", time_cell(F.col("effective_time"), timeout).alias("cell"), "session_id"
     ).distinct()
-    return ids.join(_session_totals_per_cell(events, timeout), ["user_id", "cell"]).select(
-        "session_id", "id_bound", *_session_columns()
+    bound = ["id_bound"] if count_ids else []
+    return ids.join(_session_totals_per_cell(events, timeout, count_ids), ["user_id", "cell"]).select(
+        "session_id", *bound, *_session_columns()
     )
 
 
@@ -178,7 +180,7 @@ def links_of(rows: DataFrame) -> DataFrame:
 
 
 def session_links(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) -> DataFrame:
-    return links_of(stitched_ids(events, timeout))
+    return links_of(stitched_ids(events, timeout, count_ids=False))
 
 
 def exploded_links(sessions: DataFrame) -> DataFrame:
@@ -270,9 +272,7 @@ def session_window_sessions(events: DataFrame, timeout: int = SESSION_TIMEOUT_SE
     The window runs over cell rows: each opens an interval from its first
     event to ``timeout`` after its last, and overlapping intervals merge.
     """
-    cells = events.groupBy(
-        "user_id", time_cell(F.col("effective_time"), timeout).alias("cell")
-    ).agg(*event_measures())
+    cells = _cells(events, timeout, count_ids=False)
     span = F.concat(
         (F.unix_micros("last_time") - F.unix_micros("first_time") + F.lit(timeout * 1_000_000)).cast("string"),
         F.lit(" microseconds"),
@@ -285,7 +285,7 @@ def session_window_sessions(events: DataFrame, timeout: int = SESSION_TIMEOUT_SE
             F.col("first_time").alias("session_start"),
             F.col("last_time").alias("session_end"),
             "event_count",
-            F.col("cart_sum").cast("double").alias("cart_total"),
+            F.expr(f"{from_units_sql('cart_sum')} AS cart_total"),
             F.col("converted"),
         )
     )

@@ -35,10 +35,11 @@ CSV_MISSING = (
 )
 # ---------------------------------------------------------------------------
 
-# Money is added as a decimal, so that sums do not depend on row order, and
-# handed out as double.
-MONEY = T.DecimalType(18, 4)
-PRICE_LIMIT = 1e10
+# Money is added as whole ten-thousandths: sums are exact, do not depend on row
+# order, and stay in the fixed-width buffers of the hash aggregation. Prices
+# from PRICE_LIMIT on are no prices, which keeps the sums inside a bigint.
+MONEY_UNITS = 10_000
+PRICE_LIMIT = 1e9
 
 # Sessions with more source ids than this carry them in the link table only;
 # that table is complete for every session.

@@ -17,12 +17,16 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tidemark.functions.money import exact
+from tidemark.functions.money import units_if
 from tidemark.operators.events import on_time_events, unknown_session_filled
-from tidemark.schemas import EVENT_TYPES, LATE_DELAY_MAX_SECONDS, SESSION_TIMEOUT_SECONDS, STATE_TTL_SECONDS
+from tidemark.schemas import (
+    EVENT_TYPES,
+    LATE_DELAY_MAX_SECONDS,
+    MONEY_UNITS,
+    SESSION_TIMEOUT_SECONDS,
+    STATE_TTL_SECONDS,
+)
 
-# Money inside the state is counted in ten-thousandths.
-UNITS = 10_000
 SEEN = [f"seen_{kind}" for kind in sorted(EVENT_TYPES)]
 
 SUMMARY_SCHEMA = (
@@ -57,9 +61,7 @@ def _combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def summaries(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) -> DataFrame:
     """On-time events as summary rows per session and cell, not yet shuffled."""
     at = F.unix_micros("effective_time")
-    units = (exact("price") * F.lit(UNITS)).cast("bigint")
     kind = F.col("event_type")
-    zero = F.lit(0).cast("bigint")
     rows = unknown_session_filled(on_time_events(events)).filter(F.col("effective_time").isNotNull()).select(
         "session_id",
         F.floor(at / F.lit(timeout * 1_000_000)).alias("cell"),
@@ -67,8 +69,8 @@ def summaries(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) -> Data
         at.alias("first_us"),
         at.alias("last_us"),
         F.lit(1).cast("bigint").alias("event_count"),
-        F.when(kind == "cart", units).otherwise(zero).alias("cart_units"),
-        F.when(kind == "purchase", units).otherwise(zero).alias("purchase_units"),
+        units_if("event_type = 'cart'").alias("cart_units"),
+        units_if("event_type = 'purchase'").alias("purchase_units"),
         F.when(kind == "purchase", at).otherwise(F.lit(_NEVER)).alias("conversion_us"),
         *[(kind == k).alias(name) for k, name in zip(sorted(EVENT_TYPES), SEEN)],
     )
@@ -130,8 +132,8 @@ class SessionProcessor(StatefulProcessor):
         converted = s["conversion_us"] != _NEVER
         return Row(
             session_id=key[0], user_id=s["user_id"], status=status, event_count=s["event_count"],
-            cart_total=round(s["cart_units"] / UNITS, 2),
-            conversion_value=round(s["purchase_units"] / UNITS, 2),
+            cart_total=round(s["cart_units"] / MONEY_UNITS, 2),
+            conversion_value=round(s["purchase_units"] / MONEY_UNITS, 2),
             converted=converted, session_start=at(s["first_us"]), last_event_time=at(s["last_us"]),
             conversion_time=at(s["conversion_us"]) if converted else None,
             duration_seconds=s["last_us"] // 1_000_000 - s["first_us"] // 1_000_000,
