@@ -117,7 +117,8 @@ SPEED_SNAPSHOT = T.StructType([
     )
 ])
 
-# One record of the stream: the payload is base64 text of one raw event.
+# One record of the stream: the payload is base64 text of one raw event. The
+# member names here and below are fixed values of the stored formats.
 STREAM_RECORD = T.StructType([
     T.StructField("eventID", T.StringType()),
     T.StructField("kinesis", T.StructType([
