@@ -31,4 +31,5 @@ def test_entry_is_batch_sessions(spark):
     from __spark_entry__ import entry, oracle_sql, queries
 
     assert "batch_session_id" in entry(spark).columns
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) <= set(queries())
+    assert set(ORACLE) <= set(oracle_sql()) <= set(queries())
