@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, url_filter
+from tidemark.llm import chat, simhash, token_counts, token_records, url_filter
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,18 @@ def query(function):
     return function
 
 
+def tokenizer_file(name: str) -> str:
+    """Where the public tokenizers' files lie on this cluster."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 @query
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules first; beyond them, pages are blocked whose canonical URL is that
@@ -33,6 +45,11 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged_urls(pages, listed, URL_RULES)
 
 
+@query
+def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_records.record_digests(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=1)
+
+
 @query
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
@@ -40,3 +57,8 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string",
     )
     return chat.digests(chat.formatted(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)))
+
+
+@query
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.edit_likeness(table(spark, sf_dir, "documents"))
