@@ -49,3 +49,33 @@ SELECT conv_id, count(*) AS n_turns,
         || replace(replace(replace(text, '\', '\b'), '<', '\l'), '#', '\h') || '</turn>') + 1) AS BIGINT) AS formatted_chars
 FROM turns GROUP BY conv_id
 """
+
+ORACLE["op5_mixing"] = r"""
+WITH sized AS (
+    SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+        md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS turn
+    FROM documents
+), sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS s, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM sized GROUP BY source
+), weighed AS (
+    SELECT *, [5, 2, 1][1 + (place - 1) % 3] AS w, sum(s) OVER () AS total FROM sources
+), lined AS (
+    SELECT *, coalesce(sum(2 * s) OVER (ORDER BY 2 * s / w, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below,
+        sum(w) OVER (ORDER BY 2 * s / w, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open
+    FROM weighed
+), rate AS (
+    SELECT 3 * total - 2 * below AS num, 2 * open AS den FROM lined WHERE w * (3 * total - 2 * below) <= 4 * s * open ORDER BY 2 * s / w, place LIMIT 1
+), targets AS (
+    SELECT source, s, CASE WHEN (SELECT num FROM rate) IS NULL OR w * (SELECT num FROM rate) > 2 * s * (SELECT den FROM rate) THEN CAST(2 * s AS DOUBLE)
+        ELSE CAST(w * (SELECT num FROM rate) AS DOUBLE) / CAST((SELECT den FROM rate) AS DOUBLE) END AS target
+    FROM weighed
+), quotas AS (
+    SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS words FROM targets
+), placed AS (
+    SELECT d.*, q.s, q.target, CASE WHEN q.s = 0 THEN 0 ELSE q.words // q.s END AS base, CASE WHEN q.s = 0 THEN 0 ELSE q.words % q.s END AS rest,
+        sum(size) OVER (PARTITION BY d.source ORDER BY turn, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS until
+    FROM sized d JOIN quotas q ON d.source IS NOT DISTINCT FROM q.source
+)
+SELECT doc_id, size, s AS source_size, target, source, CAST(size * (base + CASE WHEN 2 * until - size <= 2 * rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM placed
+"""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, simhash, token_counts, token_records, url_filter
-from tidemark.llm.common import table
+from tidemark.llm import chat, jaccard, mixing, simhash, token_counts, token_records, url_filter
+from tidemark.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -50,6 +50,17 @@ def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.record_digests(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=1)
 
 
+@query
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    rows = stored(mixing.keyed(docs, F.array("source"), "mix").drop("text"), "sized")
+    plan = mixing.plan_mix(rows)
+    taken = mixing.with_copies(rows, plan)
+    return taken.join(F.broadcast(mixing.targets_table(spark, plan)), F.col("source").eqNullSafe(F.col("mix_source"))).select(
+        "doc_id", F.col("mix_size").alias("size"), "source_size", "target", (F.col("mix_copies") * F.col("mix_size")).alias("taken"), "source",
+    )
+
+
 @query
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
@@ -62,3 +73,8 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edit_likeness(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90)
