@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, jaccard, mixing, simhash, token_counts, token_records, url_filter
+from tidemark.llm import chat, decontaminate, jaccard, mixing, simhash, token_counts, token_records, url_filter
 from tidemark.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,9 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item found in it; clean documents have none."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
