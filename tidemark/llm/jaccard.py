@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import WORD, stored
 from tidemark.llm.graph import components
 from tidemark.llm.shingles import U, mixed, shingle_set
 
@@ -72,12 +72,17 @@ def node_of(values: np.ndarray) -> bytes:
     return md5(values.tobytes()).digest()
 
 
+def text_key() -> Column:
+    """Tells rows with one id apart."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 # --- classes and sketch -------------------------------------------------------------
 def _profiles(size: int) -> Callable:
     """Rows (doc_id, n_shingles, node) and, at the task's end, parts of its sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
-        names = ["doc_id", "n_shingles", "node", "part", "counts"]
+        names = ["doc_id", "text_key", "n_shingles", "node", "part", "counts"]
         for batch in batches:
             counts, nodes, cells = [], [], []
             for text in _texts(batch):
@@ -89,13 +94,13 @@ def _profiles(size: int) -> Callable:
                 sketch += np.bincount(np.concatenate(cells).astype(np.int64), minlength=len(sketch)).astype(np.uint32)
             n = len(counts)
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(nodes, pa.binary()),
+                batch.column("doc_id"), batch.column("text_key"), pa.array(counts, pa.int64()), pa.array(nodes, pa.binary()),
                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
             ], names)
         if sketch.any():
             cut = [zlib.compress(part.tobytes(), 1) for part in np.split(sketch, SKETCH_PARTS)]
             yield pa.RecordBatch.from_arrays([
-                pa.nulls(len(cut), pa.int64()), pa.nulls(len(cut), pa.int64()), pa.nulls(len(cut), pa.binary()),
+                *[pa.nulls(len(cut), pa.int64())] * 3, pa.nulls(len(cut), pa.binary()),
                 pa.array(range(len(cut)), pa.int32()), pa.array(cut, pa.binary()),
             ], names)
 
@@ -403,13 +408,13 @@ def _verified(percent: int) -> Callable:
 
 
 def linked_classes(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(rows, classes). Rows: doc_id, n_shingles, node per document. Classes: node,
+    """(rows, classes). Rows: doc_id, text_key, n_shingles, node per document. Classes: node,
     root, links and copies for each distinct set with more than one document or
     with links; two sets have one root if a chain of links joins them."""
     spark = documents.sparkSession
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    profiles = stored(docs.mapInArrow(_profiles(size), "doc_id long, n_shingles long, node binary, part int, counts binary"), "shingle-profiles")
-    rows = profiles.where("part IS NULL").select("doc_id", "n_shingles", "node")
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
+    profiles = stored(docs.mapInArrow(_profiles(size), "doc_id long, text_key long, n_shingles long, node binary, part int, counts binary"), "shingle-profiles")
+    rows = profiles.where("part IS NULL").select("doc_id", "text_key", "n_shingles", "node")
     copies = stored(rows.where("node IS NOT NULL").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("held")), "shingle-classes")
 
     groups = stored(components(candidate_links(docs, frequent_cells(profiles), size, percent)), "candidates")
@@ -448,3 +453,21 @@ def jaccard_components(documents: DataFrame, size: int = 5, percent: int = 80) -
     return rows.join(labels, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
+
+
+def one_of_each_group(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """Documents without links, and of each component the one with the smallest id
+    (then text key); of identical rows the first by the remaining columns. All
+    columns stay as they came."""
+    rows, classes = linked_classes(documents, size, percent)
+    members = rows.where("node IS NOT NULL").join(stored(classes, "linked-classes").select("node", "root"), "node")
+    members = stored(members.select("root", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key").alias("who")), "members")
+    kept = members.groupBy("root").agg(F.min("who").alias("who"))
+    dropped = stored(members.join(kept, ["root", "who"], "left_anti").select("who.doc_id", "who.text_key").distinct(), "dropped")
+    spare = "llm_text_key"
+    docs = documents.withColumn(spare, text_key())
+    left = docs.join(dropped, docs["doc_id"].cast("long").eqNullSafe(dropped["doc_id"]) & (docs[spare] == dropped["text_key"]), "left_anti")
+    others = [c for c in documents.columns if c not in ("doc_id", "text")]
+    turn = F.row_number().over(Window.partitionBy("doc_id", spare).orderBy(*(others or [F.lit(0)])))
+    wordless = ~F.coalesce("text", F.lit("")).rlike(WORD)
+    return left.withColumn("llm_turn", turn).where((F.col("llm_turn") == 1) | wordless).select(*documents.columns)

@@ -28,7 +28,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD
+from tidemark.llm.common import WORD, stored
 
 CELL = 3
 
@@ -231,3 +231,11 @@ def targets_table(spark, plan: MixPlan) -> DataFrame:
         [(s, plan.sizes[s], plan.targets[s].numerator / plan.targets[s].denominator) for s in plan.sizes],
         "mix_source string, source_size long, target double",
     )
+
+
+def mixed_documents(documents: DataFrame, members: Column, seed: str, share: Fraction = Fraction(3, 2), most: int = 2) -> DataFrame:
+    """Each document as often as the mix takes it, all columns as they came."""
+    rows = keyed(documents, members, seed)
+    plan = plan_mix(stored(rows.select("mix_pattern", "mix_size", "mix_order"), "sized"), share=share, most=most)
+    copies = F.array_repeat(F.lit(0), F.col("mix_copies"))
+    return with_copies(rows, plan).withColumn("mix_copy", F.explode(copies)).select(*documents.columns)

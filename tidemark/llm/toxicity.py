@@ -31,13 +31,16 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HELD_OUT = 2
 FOLDS = 4
 THRESHOLD = 0.3
+#: No column of the input has this name.
+SCORE = "llm_toxicity"
 CACHED_WORDS = 200_000
 CHUNK = 2048
 _WORD = re.compile(r"[^\W\d_]+")
@@ -408,21 +411,27 @@ def fitted(documents: DataFrame, labels: DataFrame, settings: Settings = Setting
 
 
 def scored(documents: DataFrame, model: Model, columns: list[str]) -> DataFrame:
-    """``columns`` of each row and its ``score``."""
+    """``columns`` of each row and its score, in a column named SCORE."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = batch[columns].copy()
-            out["score"] = shared.value.scores([t if isinstance(t, str) else None for t in batch["text"]])
-            yield out
+            scores = shared.value.scores(batch.column(batch.num_columns - 1).to_pylist())
+            kept = [batch.column(i) for i in range(len(columns))]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(scores, pa.float64())], [*columns, SCORE])
 
-    rows = documents.select(*columns, *([] if "text" in columns else ["text"]))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*columns).schema) + ", score double"
-    return rows.mapInPandas(run, schema)
+    rows = documents.select(*columns, F.col("text").alias(f"{SCORE}_text"))
+    schema = T.StructType([*documents.select(*columns).schema.fields, T.StructField(SCORE, T.DoubleType())])
+    return rows.mapInArrow(run, schema)
 
 
 def judged(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, held_out, score and predicted of every row."""
     rows = scored(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), fitted(documents, labels, settings), ["doc_id"])
-    return rows.select("doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    return rows.select("doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), F.col(SCORE).alias("score"), (F.col(SCORE) >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def without_toxic(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Rows whose text is not predicted toxic, all columns as they came."""
+    rows = scored(documents, fitted(documents, labels, settings), documents.columns)
+    return rows.where(F.col(SCORE) < THRESHOLD).select(*documents.columns)
