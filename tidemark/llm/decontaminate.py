@@ -3,8 +3,8 @@
 Texts become template tokens: numbers, names and units turn into typed
 placeholders, all else is lower-cased without outer punctuation. A number is a
 run of digits with its marks, or a number word; a unit is a unit word right
-after a number; a name is a capitalised word inside a sentence, and neighbouring
-names are one. Windows of eight template tokens are joined by hash with those of
+after a number; a name is a capitalised word (not one in capitals throughout) inside a
+sentence, and neighbouring names are one. Windows of eight template tokens are joined by hash with those of
 the benchmark, so a question asked anew with other numbers or names still meets
 its original. Along each alignment of a document with an item, placeholders must
 be filled consistently: one filler of the item always by the same filler of the
@@ -75,7 +75,7 @@ class Words(dict):
         plain = word.strip(_EDGE)
         low = plain.lower()
         flags = IS_NUMBER * bool(_NUMBER.match(low) or low in _numbers) | MAY_BE_UNIT * (low in _units)
-        flags |= CAPITAL * plain[:1].isupper() | ENDS * (word.rstrip("\"'”’)»")[-1:] in (".", "!", "?", ":"))
+        flags |= CAPITAL * (plain[:1].isupper() and not plain[1:].isupper()) | ENDS * (word.rstrip("\"'”’)»")[-1:] in (".", "!", "?", ":"))
         value = self[word] = flags | (xxhash.xxh3_64_intdigest(low) & ~FLAGS if low else 0)
         return value
 

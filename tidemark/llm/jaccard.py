@@ -302,6 +302,8 @@ def _candidate_sets(size: int, possible) -> Callable:
 
 def _linked_pairs(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs (into left, into right) that link, a few rows of left at a time."""
+    if not left or not right:  # a block number that no set has
+        return
     sizes_l, sizes_r = np.array([len(v) for v in left]), np.array([len(v) for v in right])
     shared = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)))
     def columns(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:

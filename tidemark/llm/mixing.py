@@ -14,8 +14,8 @@ the cell where the flow ends), so that only the documents of one cell out of
 
 Defined cases: null or blank texts have size 0 and are taken 0 times; documents
 without a source form a source of their own, last in order; identical rows are
-separate documents; an empty table gives no rows; clashing column names are kept
-out by the prefix ``mix_``.
+separate documents; an empty table gives no rows; the input's columns travel in
+one struct, so no name can clash.
 """
 
 from __future__ import annotations
@@ -155,13 +155,14 @@ class MixPlan:
     last: dict[str, tuple[str, int]]
 
 
-def keyed(documents: DataFrame, members: Column, seed: str) -> DataFrame:
-    """Adds mix_pattern, mix_size and mix_order (a seeded hash of the id)."""
-    return documents.withColumns({
-        "mix_pattern": F.to_json(F.array_sort(F.array_distinct(members))),
-        "mix_size": word_count(F.col("text")),
-        "mix_order": F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))),
-    })
+def keyed(documents: DataFrame, members: Column, seed: str, keep: list[str] | None = None) -> DataFrame:
+    """Rows (mix_row, mix_id, mix_pattern, mix_size, mix_order): the columns to keep
+    (all), the id, the sources, the words and a seeded hash of the id."""
+    return documents.select(
+        F.struct(*(keep or documents.columns)).alias("mix_row"), F.col("doc_id").alias("mix_id"),
+        F.to_json(F.array_sort(F.array_distinct(members))).alias("mix_pattern"), word_count(F.col("text")).alias("mix_size"),
+        F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("mix_order"),
+    )
 
 
 def _ending_cells(rows: DataFrame, cell: Column, left: DataFrame) -> dict[str, tuple[str, int]]:
@@ -218,7 +219,7 @@ def with_copies(rows: DataFrame, plan: MixPlan) -> DataFrame:
     placed = rows.join(F.broadcast(ends), "mix_pattern").withColumn("mix_cell", F.substring("mix_order", 1, 2 * CELL))
     inside = F.col("mix_cell") == F.col("mix_end")
     clear = placed.where(~inside).withColumn("mix_extra", (F.col("mix_cell") < F.col("mix_end")).cast("int"))
-    line = Window.partitionBy("mix_pattern").orderBy("mix_order", "doc_id", "mix_size").rowsBetween(Window.unboundedPreceding, 0)
+    line = Window.partitionBy("mix_pattern").orderBy("mix_order", "mix_id", "mix_size").rowsBetween(Window.unboundedPreceding, 0)
     twice = 2 * (F.col("mix_before") + F.sum("mix_size").over(line)) - F.col("mix_size")
     edge = placed.where(inside).withColumn("mix_extra", (twice <= 2 * F.col("mix_rest")).cast("int"))
     both = clear.unionByName(edge).withColumn("mix_copies", F.col("mix_base") + F.col("mix_extra"))
@@ -238,4 +239,4 @@ def mixed_documents(documents: DataFrame, members: Column, seed: str, share: Fra
     rows = keyed(documents, members, seed)
     plan = plan_mix(stored(rows.select("mix_pattern", "mix_size", "mix_order"), "sized"), share=share, most=most)
     copies = F.array_repeat(F.lit(0), F.col("mix_copies"))
-    return with_copies(rows, plan).withColumn("mix_copy", F.explode(copies)).select(*documents.columns)
+    return with_copies(rows, plan).select("mix_row", F.explode(copies)).select("mix_row.*")

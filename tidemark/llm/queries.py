@@ -57,12 +57,13 @@ def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    rows = stored(mixing.keyed(docs, F.array("source"), "mix").drop("text"), "sized")
+    docs = table(spark, sf_dir, "documents")
+    rows = stored(mixing.keyed(docs, F.array("source"), "mix", keep=["source"]), "sized")
     plan = mixing.plan_mix(rows)
-    taken = mixing.with_copies(rows, plan)
-    return taken.join(F.broadcast(mixing.targets_table(spark, plan)), F.col("source").eqNullSafe(F.col("mix_source"))).select(
-        "doc_id", F.col("mix_size").alias("size"), "source_size", "target", (F.col("mix_copies") * F.col("mix_size")).alias("taken"), "source",
+    targets = F.broadcast(mixing.targets_table(spark, plan))
+    return mixing.with_copies(rows, plan).join(targets, F.col("mix_row.source").eqNullSafe(F.col("mix_source"))).select(
+        F.col("mix_id").alias("doc_id"), F.col("mix_size").alias("size"), "source_size", "target",
+        (F.col("mix_copies") * F.col("mix_size")).alias("taken"), "mix_row.source",
     )
 
 
