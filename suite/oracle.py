@@ -199,7 +199,7 @@ def label(x: str) -> str:
 
 
 REPORT = f""",
-st AS ({SPEED_DAY}), bt AS ({BATCH_DAY}), au AS ({STATS})
+st AS ({SPEED_DAY}), bt AS ({BATCH_DAY}), au AS ({STATS} WHERE batch_session_date = '{DAY}')
 SELECT round(st.converted_sessions::DOUBLE / st.total_sessions * 100, 2) AS rt_conversion_rate_pct,
        round(bt.converted_sessions::DOUBLE / bt.total_sessions * 100, 2) AS batch_conversion_rate_pct,
        {label('st.avg_session_duration_seconds')} AS rt_duration_label,

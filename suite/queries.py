@@ -506,7 +506,7 @@ def report_metrics(spark, sf_dir):
     fast, whole = _layers(spark, sf_dir)
     return report.report_metrics(
         report.speed_totals(fast, REPORT_DAY), report.batch_totals(whole, REPORT_DAY),
-        reconcile.restatement_stats(_deltas(spark, sf_dir)),
+        reconcile.restatement_stats(_deltas(spark, sf_dir).filter(F.col("batch_session_date") == F.lit(REPORT_DAY).cast("date"))),
     )
 
 

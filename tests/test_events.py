@@ -11,11 +11,23 @@ from tidemark.schemas import SHOP_CSV
 def test_safe_price(spark):
     values = [None, float("nan"), -10.0, 0.0, 12.5, float("inf")]
     rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, price double")
-    assert [r[0] for r in rows.orderBy("i").select(safe_price("price")).collect()] == [0, 0, 0, 0, 12.5, 0]
+    assert [r[0] for r in rows.orderBy("i").select(safe_price("price")).collect()] == [0, 0, 0, 0, 12.5, float("inf")]
     text = spark.createDataFrame([("3.5",), ("abc",), ("",), (None,)], "price string")
     assert [r[0] for r in text.select(safe_price("price")).collect()] == [3.5, 0, 0, 0]
 
 
+def test_large_prices_are_added_and_endless_ones_reported(spark, make_events):
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.money import as_double, price_if
+
+    values = [1e9, 4e12, 0.123456, 1e21, 1e22, float("inf")]
+    rows = make_events([{"price": v} for v in values])
+    assert rows.agg(as_double(F.sum(price_if("price < 1e20")))).first()[0] == 4001000000000.123456
+    broken = {r.price: r.reasons for r in ev.schema_violations(rows, check_formats=False).collect()}
+    assert [v for v in values if "price_too_large" in broken.get(v, [])] == [1e22, float("inf")]
+
+
 def test_canonical_cleans_and_types(canonical):
     row = canonical([{
         "event_time": "2024-10-15T10:00:00Z", "event_type": "  CART ", "category_id": "", "category_code": "NaN",

@@ -104,8 +104,8 @@ def test_summaries_shrink_a_hot_session(spark, canonical):
     rows = canonical([{"event_time": "2024-10-15 10:00:00", "event_type": "cart", "price": 0.01}])
     many = rows.crossJoin(spark.range(0, 30000, 1, 2)).drop("id")
     out = sessionizer.summaries(many).agg(F.count(F.lit(1)).alias("n"), F.sum("event_count").alias("events"),
-                                          F.sum("cart_units").alias("units")).collect()[0]
-    assert out.n <= 8 and out.events == 30000 and out.units == 30000 * 100
+                                          F.sum("cart_sum").alias("cart")).collect()[0]
+    assert out.n <= 8 and out.events == 30000 and out.cart == 300
 
 
 def test_routing_and_retry(spark, tmp_path):

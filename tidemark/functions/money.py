@@ -5,41 +5,41 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.schemas import MONEY_UNITS, PRICE_LIMIT
+from tidemark.schemas import PRICE_TYPE
 
 
 def safe_price_sql(column: str) -> str:
     value = f"try_cast({column} AS double)"
-    return f"CASE WHEN NOT isnan({value}) AND {value} >= 0 AND {value} < {PRICE_LIMIT!r} THEN {value} ELSE 0D END"
+    return f"CASE WHEN NOT isnan({value}) AND {value} >= 0 THEN {value} ELSE 0D END"
 
 
 def safe_price(column: str) -> Column:
-    """Null, NaN, negative and absurd prices count as 0.
+    """Null, NaN and negative prices count as 0.
 
     NaN is tested by name: in Spark it compares as larger than every number.
     """
     return F.expr(safe_price_sql(column))
 
 
-def units(column: str) -> Column:
-    """Cleaned price in whole ten-thousandths, ready to be summed."""
-    return units_if("true", column)
-
-
-def units_if(condition: str, column: str = "price") -> Column:
-    """Cleaned price in ten-thousandths where the condition holds, else 0."""
+def price_if(condition: str, column: str = "price") -> Column:
+    """Cleaned price as a decimal where the condition holds, else 0. A price that
+    has no decimal form adds nothing; ``schema_violations`` reports it."""
     return F.expr(
-        f"CASE WHEN {condition} THEN floor({safe_price_sql(column)} * {MONEY_UNITS}D + 0.5D) ELSE 0L END"
+        f"CASE WHEN {condition} THEN coalesce(try_cast({safe_price_sql(column)} AS {PRICE_TYPE}), 0) ELSE CAST(0 AS {PRICE_TYPE}) END"
     )
 
 
-def from_units_sql(column: str) -> str:
-    return f"{column} / {MONEY_UNITS}D"
+def has_no_decimal(column: str = "price") -> Column:
+    """A number that is too large (or infinite) to be added."""
+    return F.expr(f"NOT isnan({column}) AND {column} > 0 AND try_cast({column} AS {PRICE_TYPE}) IS NULL")
+
+
+def as_double_sql(column: str) -> str:
+    return f"CAST({column} AS double)"
 
 
-def from_units(total: Column) -> Column:
-    """Sum of ten-thousandths as a double."""
-    return total / F.lit(float(MONEY_UNITS))
+def as_double(total: Column) -> Column:
+    return total.cast("double")
 
 
 def amount(value: Column, digits: int = 2) -> Column:

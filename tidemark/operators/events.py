@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import safe_price_sql
+from tidemark.functions.money import has_no_decimal, safe_price_sql
 from tidemark.functions.times import (
     effective_time,
     parse_time,
@@ -131,6 +131,7 @@ def violation_reasons(df: DataFrame, check_formats: bool = True) -> Column:
         ("event_type_unknown", ~F.col("event_type").isin(*EVENT_TYPES)),
         ("price_not_a_number", F.isnan("price")),
         ("price_negative", F.col("price") < 0),
+        ("price_too_large", has_no_decimal()),
         ("delay_negative", F.col("late_arrival_delay_seconds") < 0),
     ]
     if check_formats:

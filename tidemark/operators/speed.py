@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import amount, from_units, from_units_sql, units_if
+from tidemark.functions.money import amount, as_double, as_double_sql, price_if
 from tidemark.functions.times import micros_between, plus_seconds, time_cell
 from tidemark.operators.events import on_time_events, unknown_session_filled
 from tidemark.operators.stitch import SLICE_SECONDS, combined_measures, event_measures
@@ -66,8 +66,8 @@ def speed_segments(
         "last_segment",
         *(["user_id"] if with_user else []),
         "event_count",
-        f"round({from_units_sql('cart_sum')}, 2) AS cart_total",
-        f"round({from_units_sql('purchase_sum')}, 2) AS conversion_value",
+        f"round({as_double_sql('cart_sum')}, 2) AS cart_total",
+        f"round({as_double_sql('purchase_sum')}, 2) AS conversion_value",
         "converted",
         "first_time AS session_start",
         "last_time AS last_event_time",
@@ -98,11 +98,11 @@ def cart_totals(events: DataFrame, key: str = "session_id", removal_types: tuple
     Running sums are taken inside time slices and shifted by the slices before,
     so no key is ever sorted in one task.
     """
-    added = units_if("event_type = 'cart'")
+    added = price_if("event_type = 'cart'")
     if not removal_types:
-        return events.groupBy(key).agg(amount(from_units(F.sum(added))).alias("cart_total"))
+        return events.groupBy(key).agg(amount(as_double(F.sum(added))).alias("cart_total"))
     removes = ", ".join(f"'{kind}'" for kind in removal_types)
-    signed = added - units_if(f"event_type IN ({removes})")
+    signed = added - price_if(f"event_type IN ({removes})")
     rows = events.select(
         key, "effective_time", "event_id", signed.alias("signed"),
         time_cell(F.col("effective_time"), SLICE_SECONDS).alias("slice"),
@@ -118,7 +118,7 @@ def cart_totals(events: DataFrame, key: str = "session_id", removal_types: tuple
         "lowest", F.col("lowest") + F.coalesce(F.sum("moved").over(before), F.lit(0))
     )
     return shifted.groupBy(key).agg(
-        amount(from_units(F.sum("moved") - F.least(F.lit(0), F.min("lowest")))).alias("cart_total")
+        amount(as_double(F.sum("moved") - F.least(F.lit(0), F.min("lowest")))).alias("cart_total")
     )
 
 

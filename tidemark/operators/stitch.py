@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import from_units_sql, units_if
+from tidemark.functions.money import as_double_sql, price_if
 from tidemark.functions.times import seconds_between, time_cell
 from tidemark.schemas import INLINE_ID_LIMIT, SESSION_TIMEOUT_SECONDS
 
@@ -28,8 +28,8 @@ def event_measures() -> list[Column]:
         F.expr("min(effective_time) AS first_time"),
         F.expr("max(effective_time) AS last_time"),
         F.expr("count(1) AS event_count"),
-        F.sum(units_if("event_type = 'cart'")).alias("cart_sum"),
-        F.sum(units_if("event_type = 'purchase'")).alias("purchase_sum"),
+        F.sum(price_if("event_type = 'cart'")).alias("cart_sum"),
+        F.sum(price_if("event_type = 'purchase'")).alias("purchase_sum"),
         F.expr("max(event_type = 'purchase') AS converted"),
         F.expr("count_if(is_late_arrival) AS late_count"),
     ]
@@ -67,8 +67,8 @@ def _session_columns() -> list[Column]:
         "first_time AS session_start",
         "last_time AS session_end",
         "event_count",
-        f"{from_units_sql('cart_sum')} AS cart_total",
-        f"{from_units_sql('purchase_sum')} AS conversion_value",
+        f"{as_double_sql('cart_sum')} AS cart_total",
+        f"{as_double_sql('purchase_sum')} AS conversion_value",
         "converted",
         "unix_seconds(last_time) - unix_seconds(first_time) AS duration_seconds",
         "late_count AS late_arrival_count",
@@ -285,7 +285,7 @@ def session_window_sessions(events: DataFrame, timeout: int = SESSION_TIMEOUT_SE
             F.col("first_time").alias("session_start"),
             F.col("last_time").alias("session_end"),
             "event_count",
-            F.expr(f"{from_units_sql('cart_sum')} AS cart_total"),
+            F.expr(f"{as_double_sql('cart_sum')} AS cart_total"),
             F.col("converted"),
         )
     )

@@ -35,11 +35,11 @@ CSV_MISSING = (
 )
 # ---------------------------------------------------------------------------
 
-# Money is added as whole ten-thousandths: sums are exact, do not depend on row
-# order, and stay in the fixed-width buffers of the hash aggregation. Prices
-# from PRICE_LIMIT on are no prices, which keeps the sums inside a bigint.
-MONEY_UNITS = 10_000
-PRICE_LIMIT = 1e9
+# Money is added as decimals: sums are exact, do not depend on row order, and
+# stay in the fixed-width buffers of the hash aggregation. A price is exact to
+# six decimals below 10^22; from there on it is a violation of the contract.
+PRICE_TYPE = "decimal(28,6)"
+MONEY_TYPE = "decimal(38,6)"
 
 # Sessions with more source ids than this carry them in the link table only;
 # that table is complete for every session.

@@ -17,12 +17,12 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tidemark.functions.money import units_if
+from tidemark.functions.money import price_if
 from tidemark.operators.events import on_time_events, unknown_session_filled
 from tidemark.schemas import (
     EVENT_TYPES,
     LATE_DELAY_MAX_SECONDS,
-    MONEY_UNITS,
+    MONEY_TYPE,
     SESSION_TIMEOUT_SECONDS,
     STATE_TTL_SECONDS,
 )
@@ -31,7 +31,7 @@ SEEN = [f"seen_{kind}" for kind in sorted(EVENT_TYPES)]
 
 SUMMARY_SCHEMA = (
     "session_id string, cell bigint, user_id string, first_us bigint, last_us bigint, event_count bigint,"
-    " cart_units bigint, purchase_units bigint, conversion_us bigint, "
+    f" cart_sum {MONEY_TYPE}, purchase_sum {MONEY_TYPE}, conversion_us bigint, "
     + ", ".join(f"{name} boolean" for name in SEEN)
 )
 STATE_SCHEMA = SUMMARY_SCHEMA.removeprefix("session_id string, cell bigint, ")
@@ -45,8 +45,8 @@ _STATE_FIELDS = [part.split()[0] for part in STATE_SCHEMA.split(", ")]
 _NEVER = -(2**62)
 
 _HOW = {
-    "user_id": "max", "first_us": "min", "last_us": "max", "event_count": "sum", "cart_units": "sum",
-    "purchase_units": "sum", "conversion_us": "max", **{name: "max" for name in SEEN},
+    "user_id": "max", "first_us": "min", "last_us": "max", "event_count": "sum", "cart_sum": "sum",
+    "purchase_sum": "sum", "conversion_us": "max", **{name: "max" for name in SEEN},
 }
 
 
@@ -69,8 +69,8 @@ def summaries(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) -> Data
         at.alias("first_us"),
         at.alias("last_us"),
         F.lit(1).cast("bigint").alias("event_count"),
-        units_if("event_type = 'cart'").alias("cart_units"),
-        units_if("event_type = 'purchase'").alias("purchase_units"),
+        price_if("event_type = 'cart'").cast(MONEY_TYPE).alias("cart_sum"),
+        price_if("event_type = 'purchase'").cast(MONEY_TYPE).alias("purchase_sum"),
         F.when(kind == "purchase", at).otherwise(F.lit(_NEVER)).alias("conversion_us"),
         *[(kind == k).alias(name) for k, name in zip(sorted(EVENT_TYPES), SEEN)],
     )
@@ -132,8 +132,8 @@ class SessionProcessor(StatefulProcessor):
         converted = s["conversion_us"] != _NEVER
         return Row(
             session_id=key[0], user_id=s["user_id"], status=status, event_count=s["event_count"],
-            cart_total=round(s["cart_units"] / MONEY_UNITS, 2),
-            conversion_value=round(s["purchase_units"] / MONEY_UNITS, 2),
+            cart_total=round(float(s["cart_sum"]), 2),
+            conversion_value=round(float(s["purchase_sum"]), 2),
             converted=converted, session_start=at(s["first_us"]), last_event_time=at(s["last_us"]),
             conversion_time=at(s["conversion_us"]) if converted else None,
             duration_seconds=s["last_us"] // 1_000_000 - s["first_us"] // 1_000_000,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.money import from_units, units_if
+from tidemark.functions.money import as_double, price_if
 from tidemark.schemas import TRIGGER_INTERVAL
 
 # Inside one batch a session can be closed and reopened; the later start wins,
@@ -64,5 +64,5 @@ def compact_state(spark: SparkSession, path: str, target: str) -> None:
 def cart_counters(events: DataFrame) -> DataFrame:
     """Streaming counter per session: the sum of its cart additions."""
     return events.groupBy("session_id").agg(
-        from_units(F.sum(units_if("event_type = 'cart'"))).alias("cart_total"), F.count(F.lit(1)).alias("event_count")
+        as_double(F.sum(price_if("event_type = 'cart'"))).alias("cart_total"), F.count(F.lit(1)).alias("event_count")
     )

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import from_units, units_if
+from tidemark.functions.money import as_double, price_if
 from tidemark.schemas import LATE_DELAY_MAX_SECONDS, LATE_THRESHOLD_SECONDS, SESSION_TIMEOUT_SECONDS
 
 
@@ -22,7 +22,7 @@ def closed_window_sessions(
     delay_seconds: int = LATE_THRESHOLD_SECONDS,
 ) -> DataFrame:
     """Gap sessions per user that the watermark has closed (``append`` mode)."""
-    cart = from_units(F.sum(units_if("event_type = 'cart'")))
+    cart = as_double(F.sum(price_if("event_type = 'cart'")))
     return (
         events.withWatermark("effective_time", f"{delay_seconds} seconds")
         .groupBy("user_id", F.session_window("effective_time", f"{timeout} seconds").alias("span"))
