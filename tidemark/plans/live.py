@@ -8,6 +8,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.events import canonical_events, timed_events
@@ -60,9 +61,13 @@ def start(
 
 
 def export_snapshot(spark: SparkSession, root: str, day: str | None = None) -> None:
-    """Current state as the day's all-text snapshot."""
+    """Last state of the sessions that began on the day, as all-text snapshot.
+    Without a day, each session goes to the day on which it began."""
     root = root.rstrip("/")
-    write_snapshot(latest_state(state_changes(spark, f"{root}/session-state")), f"{root}/realtime-sessions", day)
+    state = latest_state(state_changes(spark, f"{root}/session-state"))
+    if day:
+        state = state.filter(F.col("date_partition") == day)
+    write_snapshot(state, f"{root}/realtime-sessions", day)
 
 
 def main() -> None:

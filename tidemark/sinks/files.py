@@ -65,7 +65,7 @@ def padded_hours(at: Column) -> dict[str, Column]:
 HOUR_KEYS = ("year", "month", "day", "hour")
 
 
-def raw_text(events: DataFrame) -> DataFrame:
+def raw_text(events: DataFrame, more: list[Column] | None = None) -> DataFrame:
     """Events in the stored 13-column form, times as ISO text in UTC."""
     iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
     kinds = dict(events.dtypes)
@@ -73,14 +73,14 @@ def raw_text(events: DataFrame) -> DataFrame:
         F.date_format(f.name, iso).alias(f.name) if kinds[f.name].startswith("timestamp")
         else F.col(f.name).cast(f.dataType).alias(f.name)
         for f in RAW_EVENT.fields
-    ])
+    ], *(more or []))
 
 
-def columnar_text(events: DataFrame) -> DataFrame:
+def columnar_text(events: DataFrame, more: list[Column] | None = None) -> DataFrame:
     """The stored form with every required member filled: empty text for a
     missing id or time, 0 for a missing price, false for a missing flag."""
     required = ("event_id", "arrival_time", "event_type", "product_id", "user_id", "session_id")
-    return raw_text(events).withColumns({
+    return raw_text(events, more).withColumns({
         **{name: F.coalesce(name, F.lit("")) for name in required},
         "price": F.coalesce(F.nanvl("price", F.lit(0.0)), F.lit(0.0)),
         "is_late_arrival": F.coalesce("is_late_arrival", F.lit(False)),
@@ -88,23 +88,22 @@ def columnar_text(events: DataFrame) -> DataFrame:
 
 
 def write_events(
-    events: DataFrame, base: str, fmt: str = "json", batch_id: int | None = None, resize: bool = False
+    events: DataFrame, base: str, fmt: str = "json", batch_id: int | Column | None = None, resize: bool = False
 ) -> None:
     """Events into hour folders by arrival time.
 
-    With ``batch_id`` the rows go to a folder of that batch inside each hour,
-    and a retried batch replaces exactly what its first attempt wrote.
+    With ``batch_id`` (a number, or a column of ``events`` for several batches)
+    the rows go to a folder of that batch inside each hour, and a retried batch
+    replaces exactly what its first attempt wrote.
 
     Every task writes its own rows, so nothing is shuffled and a busy hour is
     written by all tasks that read it. ``resize`` adds a shuffle that evens
     out file sizes, for bulk loads from many small inputs.
     """
-    rows = columnar_text(events) if fmt == "parquet" else raw_text(events)
+    batch = [] if batch_id is None else [F.lit(batch_id).alias("batch_id")]
+    rows = columnar_text(events, batch) if fmt == "parquet" else raw_text(events, batch)
     rows = rows.withColumns(padded_hours(F.try_to_timestamp("arrival_time")))
-    keys = list(HOUR_KEYS)
-    if batch_id is not None:
-        rows = rows.withColumn("batch_id", F.lit(batch_id))
-        keys.append("batch_id")
+    keys = [*HOUR_KEYS, *(["batch_id"] if batch else [])]
     if resize:
         rows = rows.hint("rebalance", *HOUR_KEYS)
     writer = rows.write.partitionBy(*keys).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)

@@ -38,10 +38,17 @@ LAYOUTS = {
 }
 
 
-def create_table(spark: SparkSession, name: str, root: str, database: str = "default") -> None:
+# Stores that the streaming job writes: a folder per batch inside each hour.
+ROUTED = ("raw_events", "late_arrivals")
+
+
+def create_table(spark: SparkSession, name: str, root: str, database: str = "default", batches: bool = False) -> None:
     """External table over a stored layout; its partitions are registered from
-    the folders, so that a query on them lists only what it reads."""
+    the folders, so that a query on them lists only what it reads. ``batches``
+    is for stores of the streaming and replay jobs, whose hours hold batches."""
     fmt, columns, partitions, folder = LAYOUTS[name]
+    if batches and name in ROUTED:
+        partitions = (*partitions, ("batch_id", "BIGINT"))
     keys = {key for key, _ in partitions}
     declared = [f"`{f.name}` {f.dataType.simpleString()}" for f in columns.fields if f.name not in keys]
     declared += [f"`{key}` {kind}" for key, kind in partitions]
@@ -58,6 +65,6 @@ def refresh_partitions(spark: SparkSession, name: str, database: str = "default"
     spark.sql(f"REFRESH TABLE `{database}`.`{name}`")
 
 
-def create_tables(spark: SparkSession, root: str, database: str = "default") -> None:
+def create_tables(spark: SparkSession, root: str, database: str = "default", batches: bool = False) -> None:
     for name in LAYOUTS:
-        create_table(spark, name, root, database)
+        create_table(spark, name, root, database, batches)
