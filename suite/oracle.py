@@ -142,13 +142,18 @@ SELECT COUNT(*) AS total_sessions_compared, COUNT(*) FILTER (WHERE had_restateme
 FROM audit"""
 
 
+def share(part: str, whole: str) -> str:
+    """part of whole in percent, two digits; no value where whole is 0."""
+    return f"round(CASE WHEN {whole} <> 0 THEN CAST({part} AS DOUBLE) / {whole} * 100 END, 2)"
+
+
 def totals(prefix: str, key: str) -> str:
     return f"""
        COUNT(DISTINCT {key}) AS {prefix}total_sessions,
        CAST(SUM(CAST(cart_total AS DECIMAL(18,4))) AS DOUBLE) AS {prefix}total_cart_value,
        CAST(SUM(CAST(conversion_value AS DECIMAL(18,4))) AS DOUBLE) AS {prefix}total_revenue,
        CAST(SUM(event_count) AS BIGINT) AS {prefix}total_events,
-       COUNT(DISTINCT CASE WHEN converted THEN {key} END) AS {prefix}converted_sessions"""
+       COUNT(DISTINCT {key}) FILTER (WHERE converted) AS {prefix}converted_sessions"""
 
 
 SPEED_DAYS = f"""
@@ -168,13 +173,13 @@ SELECT coalesce(ss.date, bs.date) AS date, rt_total_sessions, batch_total_sessio
        batch_total_sessions - rt_total_sessions AS session_count_delta,
        round(rt_total_revenue, 2) AS rt_revenue, round(batch_total_revenue, 2) AS batch_revenue,
        round(batch_total_revenue - rt_total_revenue, 2) AS revenue_delta,
-       round(abs(batch_total_revenue - rt_total_revenue) / nullif(batch_total_revenue, 0) * 100, 2) AS revenue_error_pct,
-       round(rt_converted_sessions * 1.0::DOUBLE / nullif(rt_total_sessions, 0) * 100, 2) AS rt_conversion_rate_pct,
-       round(batch_converted_sessions * 1.0::DOUBLE / nullif(batch_total_sessions, 0) * 100, 2) AS batch_conversion_rate_pct,
+       {share('abs(batch_total_revenue - rt_total_revenue)', 'batch_total_revenue')} AS revenue_error_pct,
+       {share('rt_converted_sessions', 'rt_total_sessions')} AS rt_conversion_rate_pct,
+       {share('batch_converted_sessions', 'batch_total_sessions')} AS batch_conversion_rate_pct,
        round(rt_avg_duration_seconds, 0) AS rt_avg_duration_seconds,
        round(batch_avg_duration_seconds, 0) AS batch_avg_duration_seconds,
        sessions_restated,
-       round(sessions_restated * 1.0::DOUBLE / nullif(batch_total_sessions, 0) * 100, 2) AS pct_sessions_restated,
+       {share('sessions_restated', 'batch_total_sessions')} AS pct_sessions_restated,
        total_late_arrivals, '< 30 seconds' AS speed_layer_latency, '~ 8 hours' AS batch_layer_latency
 FROM ss FULL OUTER JOIN bs ON ss.date = bs.date"""
 
@@ -476,6 +481,10 @@ SELECT epoch_us(arrival_time) // 30000000 * 30000000 AS window_start, COUNT(*) F
   SELECT {MINUTE} AS minute, COUNT(*) AS records, COUNT(*) FILTER (WHERE n % 97 = 0) AS errors,
          round(COUNT(*) FILTER (WHERE n % 97 = 0)::DOUBLE / COUNT(*) * 100, 2) AS error_pct FROM raw GROUP BY 1)
 {alarm('rates', 'error_pct > 5', 1, 'records, errors, error_pct')}""",
+    "error_rate_alarm_five": f"""WITH {RAW}, rates AS (
+  SELECT epoch_us(arrival_time) // 1000000 // 21600 * 60000000 AS minute, COUNT(*) AS records, COUNT(*) FILTER (WHERE n % 97 = 0) AS errors,
+         round(COUNT(*) FILTER (WHERE n % 97 = 0)::DOUBLE / COUNT(*) * 100, 2) AS error_pct FROM raw GROUP BY 1)
+{alarm('rates', 'errors * 100.0 > records * 0.5', 5, 'records, errors, error_pct')}""",
     # streams
     "stream_session_state": f"WITH {EV}{live(1800)} SELECT * FROM speed",
     "stream_closed_sessions": f"""WITH {EV}{live(1800)}
