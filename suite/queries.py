@@ -12,7 +12,7 @@ from suite import inputs
 from suite.inputs import SIX_HOURS
 from tidemark.operators import events as ev
 from tidemark.operators import health, quarantine, reconcile, report, speed, stitch
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, stored
 from tidemark.sinks import files as sink
 from tidemark.sources import files as source
 from tidemark.streaming import sessionizer, state_table, windows
@@ -372,8 +372,10 @@ def cart_totals_with_removals(spark, sf_dir):
 
 # --- reconciliation --------------------------------------------------------------------
 def _sides(spark, sf_dir, timeout):
+    """Links and speed sessions, each stored once, as the jobs have them."""
     rows = inputs.shop_events(spark, sf_dir)
-    return stitch.session_links(rows, timeout), speed.speed_sessions(rows, timeout, with_user=False), rows.select("session_id")
+    links = stored(stitch.session_links(rows, timeout), "links")
+    return links, stored(speed.speed_sessions(rows, timeout, with_user=False), "speed"), links
 
 
 def _deltas(spark, sf_dir, timeout=1800, **options):

@@ -139,3 +139,36 @@ def test_late_event_match(canonical):
     ])
     found = {(r.session_id, r.match, r.revenue_delta) for r in reconcile.late_event_match(df).collect()}
     assert found == {("s1", "existing_session", 3.0), ("s9", "new_session", 0.0)}
+
+
+def test_a_hot_session_id_is_split(spark, monkeypatch):
+    """One id in half of all links: the joins over stored sides are split."""
+    from pyspark.sql import functions as F
+
+    from tidemark.session import stored
+
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.files.maxPartitionBytes": "256k", "spark.sql.files.openCostInBytes": "1k",
+    }
+    was = {k: spark.conf.get(k, None) for k in low}
+    for k, v in low.items():
+        spark.conf.set(k, v)
+    try:
+        ids = F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("s"), "id"))
+        links = stored(spark.range(0, 60000, 1, 6).select(
+            ids.alias("session_id"), F.concat(F.lit("b"), "id").alias("batch_session_id"), F.rand(1).alias("batch_cart_total"),
+            F.lit(0.0).alias("batch_conversion_value"), F.lit(1).cast("long").alias("batch_event_count"), F.lit(False).alias("batch_converted"),
+            F.lit(0).cast("long").alias("batch_duration_seconds"), F.lit(1).cast("long").alias("late_arrival_count"),
+            F.lit(True).alias("had_restatement"), F.current_date().alias("batch_session_date")), "links")
+        speed = stored(links.select("session_id").distinct().select(
+            "session_id", F.lit(1.0).alias("cart_total"), F.lit(0.0).alias("conversion_value"), F.lit(1).cast("long").alias("event_count"),
+            F.lit(False).alias("converted"), F.lit(0).cast("long").alias("duration_seconds"), F.lit("2024-10-15").alias("date_partition")), "speed")
+        deltas = reconcile.session_deltas(links, speed)
+        assert len(deltas.collect()) == 60000
+        assert "skew=true" in deltas._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

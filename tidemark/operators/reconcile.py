@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.money import sum_of_doubles
 from tidemark.operators.events import late_events, on_time_events
 from tidemark.schemas import REVENUE_TOLERANCE, TOP_DETAIL, TOP_RESTATED
+from tidemark.session import stored
 
 
 def speed_side(speed: DataFrame) -> DataFrame:
@@ -34,7 +35,8 @@ def outer_by_session(links: DataFrame, speed: DataFrame, batch_ids: DataFrame |
 
     One id may stand in a large share of all links (a tracker that sends a
     fixed id). A full outer join cannot divide such a key; a left outer join
-    and an anti join can. ``batch_ids`` are the distinct session ids of the
+    and an anti join can, where both sides are stored tables: behind an
+    aggregate or a window AQE splits nothing. ``batch_ids`` are the distinct session ids of the
     batch side, where they are cheaper to get than from ``links``.
     """
     ids = (links.select("session_id") if batch_ids is None else batch_ids.select("session_id")).distinct()
@@ -189,8 +191,9 @@ def audit_totals(audit: DataFrame, date: str | None = None) -> DataFrame:
 
 def late_event_match(events: DataFrame) -> DataFrame:
     """Late events against the on-time sessions with the same id and user:
-    do they restate an existing session or open a new one."""
-    known = on_time_events(events).select("session_id", "user_id").distinct().withColumn("known", F.lit(True))
+    do they restate an existing session or open a new one. The known pairs are
+    stored first, so that AQE can split a pair with many late events."""
+    known = stored(on_time_events(events).select("session_id", "user_id").distinct(), "known").withColumn("known", F.lit(True))
     return late_events(events).join(known, ["session_id", "user_id"], "left").select(
         "event_id",
         "session_id",

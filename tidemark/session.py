@@ -7,7 +7,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # Times without an offset are UTC.
@@ -59,3 +59,11 @@ def scratch_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below :func:`scratch_dir`; nothing is created yet."""
     return os.path.join(scratch_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: a plain scan, which
+    is computed once, survives lost executors and lets AQE split hot join keys."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
