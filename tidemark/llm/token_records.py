@@ -12,7 +12,7 @@ rows it returns; files of lost attempts are never named by the index. Memory is
 bounded by one Arrow batch.
 
 Defined cases: null texts are empty and hold the end id alone; null ids sort
-first; rows with one id sort by text; an empty table gives an empty index and no
+first; rows with one id follow the hash of their text; an empty table gives an empty index and no
 files; other columns are not read. A record whose lengths or checksums do not
 fit raises an error.
 """
@@ -36,8 +36,9 @@ from tidemark.session import scratch_path
 MASK_DELTA = 0xA282EAD8
 CRC32C_POLYNOMIAL = 0x82F63B78
 ROW = 64
-#: Words remembered per worker; with their ids they take about 160 MB at most.
-CACHED_WORDS = 800_000
+#: Words remembered per worker; with their ids they take about 140 MB at most.
+CACHED_WORDS = 700_000
+TEXTS = 1000
 READ_BYTES = 8 << 20
 
 
@@ -121,24 +122,37 @@ class WordIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = "<u2" if width == 2 else "<u4"
+        self.met = np.zeros(1 << 23, bool)
         self[""] = b""
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; unknown words of all texts go to the tokenizer in one call."""
+        """Ids of each text, a few hundred texts at a time."""
+        return [ids for i in range(0, len(texts), TEXTS) for ids in self._encode_some(texts[i:i + TEXTS])]
+
+    def _encode_some(self, texts: list[str]) -> list[bytes]:
+        """Unknown words of all texts go to the tokenizer in one call. A word stays
+        remembered from its second appearance on: most words appear only once,
+        and would push out the others."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        words = set().union(*split)
-        missing = list(words.difference(self))
-        if len(self) + len(missing) > CACHED_WORDS:
-            self.clear()
-            self[""] = b""
-            missing = list(words.difference(self))
+        missing = list(set().union(*split).difference(self))
+        once = []
         if missing:
             done = self.tokenizer.encode(missing, is_pretokenized=True, add_special_tokens=False)
             ids = np.asarray(done.ids, self.kind).tobytes()
             width = np.dtype(self.kind).itemsize
             ends = (np.searchsorted(np.asarray(done.word_ids, np.int64), np.arange(1, len(missing) + 1)) * width).tolist()
             self.update(zip(missing, [ids[a:b] for a, b in zip([0, *ends], ends)]))
-        return [b"".join(map(self.__getitem__, w)) for w in split]
+            met = np.fromiter(map(hash, missing), np.int64, len(missing)) & (len(self.met) - 1)
+            once = [missing[i] for i in np.flatnonzero(~self.met[met]).tolist()]
+            self.met[met] = True
+        out = [b"".join(map(self.__getitem__, w)) for w in split]
+        for word in once:
+            del self[word]
+        if len(self) > CACHED_WORDS:
+            self.clear()
+            self[""] = b""
+            self.met[:] = False
+        return out
 
 
 _encoders: dict[tuple[str, int], WordIds] = {}
@@ -211,7 +225,7 @@ def write_records(documents: DataFrame, tokenizer_path: str, end_id: int) -> tup
     folder = scratch_path(documents.sparkSession, "records")
     width = id_width(tokenizer_path, end_id)
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
+    ordered = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     return folder, stored(ordered.mapInPandas(_writer(folder, tokenizer_path, width, end_id), INDEX), "records-index")
 
 
