@@ -30,5 +30,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with Arrow batches of at most 1,000 rows in its session: texts are long."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -26,7 +26,6 @@ labels of one id the largest counts; rows of the input stay one to one.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -36,20 +35,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.common import small_batches
+
 HELD_OUT = 2
 FOLDS = 4
 THRESHOLD = 0.3
 #: No column of the input has this name.
 SCORE = "llm_toxicity"
-CACHED_WORDS = 200_000
+CACHED_WORDS = 120_000
 CHUNK = 2048
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 @dataclass
 class Settings:
-    toxic_rows: int = 1500
-    clean_rows: int = 2500
+    toxic_rows: int = 1200
+    clean_rows: int = 1800
     longest_text: int = 200_000
     words: int = 2000
     pieces: int = 4000
@@ -268,33 +269,43 @@ def gradients(w: dict, word_rows: np.ndarray, piece_rows: np.ndarray, mask: np.n
     }
 
 
-def associated(documents: list[set[str]], labels: np.ndarray, most: int) -> dict[str, float]:
-    """Features whose share among toxic texts differs most, with their log odds."""
-    toxic, clean = Counter(), Counter()
-    for found, label in zip(documents, labels):
-        (toxic if label else clean).update(found)
+def associated(features: list[np.ndarray], names: list[str], labels: np.ndarray, most: int) -> dict[str, float]:
+    """Names of the features whose share among toxic texts is highest compared to
+    clean ones, with their log odds. ``features`` are the distinct numbers of each text."""
+    counts = np.zeros((2, len(names)))
+    for found, label in zip(features, labels):
+        counts[int(label), found] += 1
     n1, n0 = max(1, int(labels.sum())), max(1, int((1 - labels).sum()))
-    rated = []
-    for name in toxic.keys() | clean.keys():
-        a, b = toxic[name], clean[name]
-        if a + b < 5:
-            continue
-        share = (a + b) / (n1 + n0)
-        z = (a / n1 - b / n0) / np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0) + 1e-12)
-        if z > 2.5:
-            rated.append((-z, name, float(np.log((a + 0.5) / (n1 + 1)) - np.log((b + 0.5) / (n0 + 1)))))
-    return {name: odds for _, name, odds in sorted(rated)[:most]}
+    b, a = counts
+    share = (a + b) / (n1 + n0)
+    z = (a / n1 - b / n0) / np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0) + 1e-12)
+    odds = np.log((a + 0.5) / (n1 + 1)) - np.log((b + 0.5) / (n0 + 1))
+    kept = np.flatnonzero((a + b >= 5) & (z > 2.5)).tolist()
+    kept.sort(key=lambda k: (-z[k], names[k]))
+    return {names[k]: float(odds[k]) for k in kept[:most]}
+
+
+def numbered(words: list[str]) -> tuple[list[str], list[np.ndarray]]:
+    """All pieces of the words, and the numbers of each word's."""
+    known: dict[str, int] = {}
+    rows = [np.array([known.setdefault(p, len(known)) for p in sorted(pieces(w))], np.int32) for w in words]
+    return list(known), rows
 
 
 def train(texts: list[str], labels: list[int], settings: Settings = Settings()) -> Model:
-    """Fits the network to labelled texts."""
+    """Fits the network to labelled texts. Words are numbers from the start, so
+    memory is that of the sample's distinct words and pieces."""
     s, y = settings, np.array(labels, np.int64)
     rng = np.random.default_rng(s.seed)
-    docs = [tokens(t) for t in texts]
-    sets = [set(d) for d in docs]
-    known_pieces = {w: pieces(w) for w in set().union(*sets)} if sets else {}
-    word_odds = associated(sets, y, s.words)
-    piece_odds = associated([set().union(*(known_pieces[w] for w in d)) if d else set() for d in sets], y, s.pieces)
+    number: dict[str, int] = {}
+    docs = [np.array([number.setdefault(w, len(number) + 1) for w in tokens(t)], np.int32) for t in texts]
+    names = list(number)
+    sets = [np.unique(d) - 1 for d in docs]
+    word_odds = associated(sets, names, y, s.words)
+    piece_names, held = numbered(names)
+    piece_sets = [np.unique(np.concatenate([held[k] for k in found])) if len(found) else np.zeros(0, np.int32) for found in sets]
+    piece_odds = associated(piece_sets, piece_names, y, s.pieces)
+    del piece_names, held, piece_sets, sets
     model = Model(s, {w: i + 1 for i, w in enumerate(word_odds)}, {p: i + 1 for i, p in enumerate(piece_odds)}, {})
     h, dim = s.hidden, s.word_size + s.piece_size
 
@@ -313,30 +324,29 @@ def train(texts: list[str], labels: list[int], settings: Settings = Settings())
         model.slope, model.offset = 0.0, -30.0
         return model
 
-    names = list(known_pieces)
-    number = {n: i + 1 for i, n in enumerate(names)}
-    inputs = [(0, [])] + [model.word_input(n) for n in names]
-    word_of, piece_of = np.array([i[0] for i in inputs]), padded([i[1] for i in inputs], s.per_word)
-    odds = np.zeros(len(inputs))
+    word_of, piece_of = np.zeros(len(names) + 1, np.int32), np.zeros((len(names) + 1, s.per_word), np.int32)
+    for k, name in enumerate(names):
+        word_of[k + 1], found = model.word_input(name)
+        piece_of[k + 1, :len(found)] = found
     values = np.concatenate([[0], list(piece_odds.values())])
-    odds[1:] = [max(word_odds.get(n, 0), values[piece_of[number[n]]].max() / 2) for n in names]
+    odds = np.maximum(np.concatenate([[0], list(word_odds.values())])[word_of], values[piece_of].max(1) / 2)
     windows, masks, owner = [], [], []
-    for i, d in enumerate(docs):
-        rows = np.array([number[x] for x in d], np.int64)
+    for i, rows in enumerate(docs):
         real = len(rows)
-        rows = np.concatenate([rows, np.zeros(max(0, s.window - real), np.int64)])
+        rows = np.concatenate([rows, np.zeros(max(0, s.window - real), np.int32)])
         for a in window_starts(real, s.window, s.stride):
             windows.append(rows[a:a + s.window])
             masks.append(np.arange(s.window) < max(1, real))
             owner.append(i)
+    del docs, names, number
     windows, masks, owner = np.array(windows), np.array(masks), np.array(owner)
     suspicion = odds[windows].max(1)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in w.items()}
     step = 0
 
     def logits() -> np.ndarray:
-        x, _, _ = mean_inputs(w, word_of, piece_of)
-        gates = (x @ w["in"] + w["in_bias"]).astype(np.float32)
+        parts = [mean_inputs(w, word_of[i:i + 20_000], piece_of[i:i + 20_000])[0] for i in range(0, len(word_of), 20_000)]
+        gates = np.concatenate([(x @ w["in"] + w["in_bias"]).astype(np.float32) for x in parts])
         return np.concatenate([run_network(w, gates[windows[i:i + CHUNK]].transpose(1, 0, 2), masks[i:i + CHUNK].T)["logit"] for i in range(0, len(windows), CHUNK)])
 
     clean = np.flatnonzero(y[owner] == 0)
@@ -360,7 +370,7 @@ def train(texts: list[str], labels: list[int], settings: Settings = Settings())
                 v += 0.001 * (g * g - v)
                 w[k] -= (s.rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
             w["words"][0], w["pieces"][0] = 0, 0
-    best = np.full(len(docs), -np.inf)
+    best = np.full(len(y), -np.inf)
     np.maximum.at(best, owner, logits())
     model.slope, model.offset = calibrated(best, y)
     return model
@@ -420,7 +430,7 @@ def scored(documents: DataFrame, model: Model, columns: list[str]) -> DataFrame:
             kept = [batch.column(i) for i in range(len(columns))]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(scores, pa.float64())], [*columns, SCORE])
 
-    rows = documents.select(*columns, F.col("text").alias(f"{SCORE}_text"))
+    rows = small_batches(documents).select(*columns, F.col("text").alias(f"{SCORE}_text"))
     schema = T.StructType([*documents.select(*columns).schema.fields, T.StructField(SCORE, T.DoubleType())])
     return rows.mapInArrow(run, schema)
 
