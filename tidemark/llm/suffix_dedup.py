@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import small_batches, stored
 from tidemark.llm.shingles import U, mixed
 
 GRAM = 40
@@ -138,9 +138,12 @@ def _span_rows(length: int):
         first = np.flatnonzero(~same)
         weight = np.zeros(len(order), np.int32)
         weight[order[first]] = np.diff(np.append(first, len(order)))
+        key = np.array(keys, np.int64)[owner]
+        # settled rows need no partner: they are dealt out by their place
+        gram = np.where(weight == 0, mixed(key.view(U) + at.astype(U)), gram)
         return pa.RecordBatch.from_arrays([
             pa.array(gram.view(np.int64)), pa.array(span.view(np.int64)), pa.array(weight),
-            pa.array(ids, pa.int64()).take(pa.array(owner)), pa.array(np.array(keys, np.int64)[owner]),
+            pa.array(ids, pa.int64()).take(pa.array(owner)), pa.array(key),
             pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(lead.astype(np.int32)),
         ], _NAMES)
 
@@ -338,7 +341,7 @@ def _compared(length: int):
 
 def keyed(documents: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    return small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
 
 
 def repeated_runs(documents: DataFrame, length: int = 200) -> DataFrame:
