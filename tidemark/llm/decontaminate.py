@@ -34,14 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import small_batches, stored
 from tidemark.llm.shingles import U, mixed, runs
 
 WINDOW = 8
 LEAST_ITEM = 4
 SURE_WINDOWS = 6
 FILTER_BITS = 23
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 
 #: Number words, and unit words that count after a number.
 NUMBER_WORDS = (
@@ -206,7 +206,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = item_windows(benchmark)
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # WINDOW values at most
     bits = spark.sparkContext.broadcast(_filter(items))
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
+    docs = small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
     met = docs.mapInArrow(_document_windows(sizes, bits), f"doc_id long, text_key long, {_WINDOW_SCHEMA}")
     theirs = items.select("hash", "size", "item_id", "held", F.col("position").alias("item_position"), F.col("slots").alias("item_slots"))
     pairs = F.filter(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")), lambda p: (p["i"] != 0) | (p["d"] != 0))

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, stored
+from tidemark.llm.common import WORD, small_batches, stored
 from tidemark.llm.graph import components
 from tidemark.llm.shingles import U, mixed, shingle_set
 
@@ -53,7 +53,7 @@ SKETCH_PARTS = 64
 HEAVY_RATIO, HEAVY_LEAST = 4, 100
 CLASS_RATIO = 1.5
 SEGMENTS_PER_PREFIX = 1.25
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 BLOOM_BITS = 25
 #: Shingles in one block of candidates: 16 MB of hashes.
 BLOCK_SHINGLES = 2_000_000
@@ -72,6 +72,12 @@ def node_of(values: np.ndarray) -> bytes:
     return md5(values.tobytes()).digest()
 
 
+def short(node: bytes) -> int:
+    """Names a set while candidates are sought. Two sets of one short name would
+    only become candidates of each other; they are compared by their nodes."""
+    return int.from_bytes(node[:8], "little", signed=True)
+
+
 def text_key() -> Column:
     """Tells rows with one id apart."""
     return F.xxhash64(F.coalesce("text", F.lit("")))
@@ -79,10 +85,10 @@ def text_key() -> Column:
 
 # --- classes and sketch -------------------------------------------------------------
 def _profiles(size: int) -> Callable:
-    """Rows (doc_id, n_shingles, node) and, at the task's end, parts of its sketch."""
+    """Rows (doc_id, text_key, n_shingles, node, short) and, at the task's end, parts of its sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
-        names = ["doc_id", "text_key", "n_shingles", "node", "part", "counts"]
+        names = ["doc_id", "text_key", "n_shingles", "node", "short", "part", "counts"]
         for batch in batches:
             counts, nodes, cells = [], [], []
             for text in _texts(batch):
@@ -95,12 +101,12 @@ def _profiles(size: int) -> Callable:
             n = len(counts)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("text_key"), pa.array(counts, pa.int64()), pa.array(nodes, pa.binary()),
-                pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
+                pa.array([None if x is None else short(x) for x in nodes], pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
             ], names)
         if sketch.any():
             cut = [zlib.compress(part.tobytes(), 1) for part in np.split(sketch, SKETCH_PARTS)]
             yield pa.RecordBatch.from_arrays([
-                *[pa.nulls(len(cut), pa.int64())] * 3, pa.nulls(len(cut), pa.binary()),
+                *[pa.nulls(len(cut), pa.int64())] * 3, pa.nulls(len(cut), pa.binary()), pa.nulls(len(cut), pa.int64()),
                 pa.array(range(len(cut)), pa.int32()), pa.array(cut, pa.binary()),
             ], names)
 
@@ -196,28 +202,24 @@ def group_tokens(values: np.ndarray, heavy: np.ndarray, percent: int) -> np.ndar
 def _meetings(size: int, percent: int, heavy_bits) -> Callable:
     """Rows (token, node, hub). Inside a task, documents with one token are linked
     to the smallest of them (hub set); that one alone goes on under the token."""
-    def linked(tokens: np.ndarray, at: np.ndarray, nodes: list[bytes]) -> pa.RecordBatch:
-        names = np.frombuffer(b"".join(nodes), "V16")
-        ranks = np.argsort(np.argsort(np.array(nodes, dtype=object)))
-        order = np.lexsort((ranks[at], tokens))
+    def linked(tokens: np.ndarray, at: np.ndarray, names: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((names[at], tokens))
         tokens, at = tokens[order], at[order]
         first = np.ones(len(tokens), bool)
         first[1:] = tokens[1:] != tokens[:-1]
         hub = at[np.maximum.accumulate(np.where(first, np.arange(len(tokens)), 0))]
         inner = ~first & (hub != at)
         pairs = np.unique(np.stack([at[inner], hub[inner]], 1), axis=0) if inner.any() else np.zeros((0, 2), np.int64)
-        spread = np.frombuffer(b"".join(nodes), np.int64)[::2]
-        token = np.concatenate([tokens[first].view(np.int64), spread[pairs[:, 0]]])
+        token = np.concatenate([tokens[first].view(np.int64), names[pairs[:, 0]]])
         node = names[np.concatenate([at[first], pairs[:, 0]])]
-        offsets = pa.py_buffer(np.arange(0, 16 * len(node) + 1, 16, dtype=np.int32))
-        node_array = pa.Array.from_buffers(pa.binary(), len(node), [None, offsets, pa.py_buffer(node.tobytes())])
-        hubs = _binaries([None] * int(first.sum()) + [nodes[h] for h in pairs[:, 1]])
-        return pa.RecordBatch.from_arrays([pa.array(token, pa.int64()), node_array, hubs], ["token", "node", "hub"])
+        hub = np.concatenate([np.zeros(int(first.sum()), np.int64), names[pairs[:, 1]]])
+        alone = np.arange(len(hub)) < int(first.sum())
+        return pa.RecordBatch.from_arrays([pa.array(token), pa.array(node), pa.array(hub, mask=alone)], ["token", "node", "hub"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy = np.unpackbits(np.frombuffer(heavy_bits.value, np.uint8)).astype(bool)
-        seen: set[bytes] = set()
-        nodes: list[bytes] = []
+        seen: set[int] = set()
+        nodes: list[int] = []
         tokens: list[np.ndarray] = []
         held = 0
         for batch in batches:
@@ -225,7 +227,7 @@ def _meetings(size: int, percent: int, heavy_bits) -> Callable:
                 values = shingle_set(text, size)
                 if not len(values):
                     continue
-                node = node_of(values)
+                node = short(node_of(values))
                 if node in seen:
                     continue
                 seen.add(node)
@@ -233,10 +235,10 @@ def _meetings(size: int, percent: int, heavy_bits) -> Callable:
                 tokens.append(group_tokens(values, heavy, percent))
                 held += len(tokens[-1])
                 if held > CHUNK:
-                    yield linked(np.concatenate(tokens), np.repeat(np.arange(len(nodes)), [len(t) for t in tokens]), nodes)
+                    yield linked(np.concatenate(tokens), np.repeat(np.arange(len(nodes)), [len(t) for t in tokens]), np.array(nodes))
                     seen, nodes, tokens, held = set(), [], [], 0
         if held:
-            yield linked(np.concatenate(tokens), np.repeat(np.arange(len(nodes)), [len(t) for t in tokens]), nodes)
+            yield linked(np.concatenate(tokens), np.repeat(np.arange(len(nodes)), [len(t) for t in tokens]), np.array(nodes))
 
     return run
 
@@ -244,27 +246,27 @@ def _meetings(size: int, percent: int, heavy_bits) -> Callable:
 def candidate_links(documents: DataFrame, heavy: np.ndarray, size: int, percent: int) -> DataFrame:
     """Edges (a, b) whose components hold every pair that may link."""
     bits = documents.sparkSession.sparkContext.broadcast(np.packbits(heavy).tobytes())
-    met = documents.select("text").mapInArrow(_meetings(size, percent, bits), "token long, node binary, hub binary")
+    met = documents.select("text").mapInArrow(_meetings(size, percent, bits), "token long, node long, hub long")
     group = Window.partitionBy("token").orderBy(F.col("hub").isNotNull(), "node")
     smallest = F.first(F.when(F.col("hub").isNull(), F.col("node"))).over(group)
     return met.select(F.col("node").alias("a"), F.coalesce("hub", smallest).alias("b")).where("a != b").distinct()
 
 
 # --- verification -------------------------------------------------------------------
-def _cell(node: bytes) -> int:
-    return int.from_bytes(node[:4], "little") & ((1 << BLOOM_BITS) - 1)
+def _cell(name: int) -> int:
+    return name & ((1 << BLOOM_BITS) - 1)
 
 
 def _possible(nodes: DataFrame) -> bytes:
     """Bits of the candidates' nodes: 4 MB, whatever their number. Extra hits cost
     work in the next pass and are removed by the join behind it."""
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << BLOOM_BITS, bool)
+        bits = np.zeros(1 << (BLOOM_BITS - 3), np.uint8)
         for batch in batches:
-            for node in batch.column("node").to_pylist():
-                bits[_cell(node)] = True
+            for name in batch.column("node").to_pylist():
+                bits[_cell(name) >> 3] |= 1 << (_cell(name) & 7)
         if bits.any():
-            yield pa.RecordBatch.from_arrays([_binaries([zlib.compress(np.packbits(bits).tobytes(), 1)])], ["bits"])
+            yield pa.RecordBatch.from_arrays([_binaries([zlib.compress(bits.tobytes(), 1)])], ["bits"])
 
     def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros(1 << (BLOOM_BITS - 3), np.uint8)
@@ -279,7 +281,7 @@ def _possible(nodes: DataFrame) -> bytes:
 
 def _candidate_sets(size: int, possible) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(possible.value, np.uint8)).astype(bool)
+        bits = possible.value
         seen: set[bytes] = set()
         for batch in batches:
             nodes, sets = [], []
@@ -288,7 +290,8 @@ def _candidate_sets(size: int, possible) -> Callable:
                 if not len(values):
                     continue
                 node = node_of(values)
-                if node in seen or not bits[_cell(node)]:
+                cell = _cell(short(node))
+                if node in seen or not bits[cell >> 3] >> (cell & 7) & 1:
                     continue
                 if len(seen) >= CHUNK:
                     seen.clear()
@@ -414,15 +417,15 @@ def linked_classes(documents: DataFrame, size: int, percent: int) -> tuple[DataF
     root, links and copies for each distinct set with more than one document or
     with links; two sets have one root if a chain of links joins them."""
     spark = documents.sparkSession
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
-    profiles = stored(docs.mapInArrow(_profiles(size), "doc_id long, text_key long, n_shingles long, node binary, part int, counts binary"), "shingle-profiles")
-    rows = profiles.where("part IS NULL").select("doc_id", "text_key", "n_shingles", "node")
-    copies = stored(rows.where("node IS NOT NULL").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("held")), "shingle-classes")
+    docs = small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
+    profiles = stored(docs.mapInArrow(_profiles(size), "doc_id long, text_key long, n_shingles long, node binary, short long, part int, counts binary"), "shingle-profiles")
+    rows = profiles.where("part IS NULL").select("doc_id", "text_key", "n_shingles", "node", "short")
+    copies = stored(rows.where("node IS NOT NULL").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("held"), F.max("short").alias("short")), "shingle-classes")
 
     groups = stored(components(candidate_links(docs, frequent_cells(profiles), size, percent)), "candidates")
     possible = spark.sparkContext.broadcast(_possible(groups))
     sets = docs.select("text").mapInArrow(_candidate_sets(size, possible), "node binary, shingles binary").dropDuplicates(["node"])
-    known = groups.join(copies, "node")
+    known = copies.join(groups.withColumnRenamed("node", "short"), "short").drop("short")
     line = Window.partitionBy("root").orderBy("held", "node").rowsBetween(Window.unboundedPreceding, 0)
     placed = known.withColumn("block", F.floor(F.sum("held").over(line) / BLOCK_SHINGLES).cast("int"))
     last = placed.groupBy("root").agg(F.max("block").alias("last"))

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Words remembered per worker, about 100 MB at most.
-CACHED_WORDS = 500_000
+#: Words remembered per worker, about 35 MB at most.
+CACHED_WORDS = 200_000
 U = np.uint64
 _ODD = (U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F))
 
