@@ -57,7 +57,7 @@ CHUNK = 1 << 18
 BLOOM_BITS = 25
 #: Shingles in one block of candidates: 16 MB of hashes.
 BLOCK_SHINGLES = 2_000_000
-DENSE_CELLS = 8_000_000
+DENSE_CELLS = 1_000_000
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes | None]:
@@ -343,8 +343,7 @@ def _linked_pairs(left: list[np.ndarray], right: list[np.ndarray], percent: int)
             dense_r[place[hit], row_r[span][hit]] = 1
             both += dense_l @ dense_r
         common = both.astype(np.int64)
-        union = sizes_l[a:b, None] + sizes_r[None, :] - common
-        i, j = np.nonzero(100 * common >= percent * union)
+        i, j = np.nonzero((100 + percent) * common >= percent * (sizes_l[a:b, None] + sizes_r[None, :]))
         yield i + a, j
 
 
@@ -385,8 +384,7 @@ def _verified(percent: int) -> Callable:
             else:
                 np.add.at(weight, i, copies[j + shift])
                 np.add.at(weight, j + shift, copies[i])
-            pair = np.unique(np.stack([i, j + shift], 1), axis=0)
-            root = _smallest_roots(len(everyone), [(pair[:, 0], pair[:, 1])])
+            root = _smallest_roots(len(everyone), [(i, j + shift)])
             moved = np.flatnonzero(root != np.arange(len(root)))
             found.append((moved, root[moved]))
         root = _smallest_roots(len(everyone), found)
