@@ -33,6 +33,28 @@ def test_verbatim_passages_and_clean_documents(spark):
     assert not any(r.refilled for r in got.values())
 
 
+def test_exact_copies_whatever_their_slots_length_or_case(spark):
+    items = [
+        (1, "5 km, 8 km, 12 km"),
+        (2, "A) Paris B) London C) Rome"),
+        (3, "What is the boiling point of water?"),
+        (4, "Who taught Anna Karl Berta and Emil Zola to play at Rome and Paris"),
+        (5, "Name three rivers"),
+    ]
+    rows = [
+        (1, "the runs were 5 km, 8 km, 12 km long"),
+        (2, "choose one: a) Paris b) London c) Rome or none"),
+        (3, "Quiz of the week\nWhat is the boiling point of water?\n" + prose(1, 9)),
+        (4, items[3][1].upper()),
+        (5, items[3][1].lower()),
+        (6, "name three rivers"),
+        (7, "the runs were 5 km, 8 km, 13 km long; name three lakes"),
+    ]
+    got = found(spark, rows, items)
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 4), (6, 5)}
+    assert not any(r.refilled for r in got.values())
+
+
 def test_other_names_numbers_and_units(spark):
     asked = "So here it is: Anna has 40 apples and gives 8 apples to Peter Klein. Then Anna walks 7 miles to the old market hall."
     glued = "So here it is: Anna has 40 apples and gives 8 apples to Peter Klein. Then Anna walks 7km to the old market hall."

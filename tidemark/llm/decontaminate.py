@@ -10,15 +10,22 @@ its original. Along each alignment of a document with an item, placeholders must
 be filled consistently: one filler of the item always by the same filler of the
 document and the other way round.
 
+Beside them, windows of eight literal words (all lower-cased without outer
+punctuation, nothing replaced) are joined the same way, so that a word-for-word
+copy is met whatever its slots, its case or the line in front of it.
+
 A document is contaminated by an item if an alignment is consistent and holds
 at least half of the item's windows, or six in all (thirteen tokens in a row).
+Template and literal windows are counted apart; a literal count is given only
+where no alignment of templates suffices.
 
 Tasks first ask a filter of fixed size for the benchmark's windows, so nearly
 nothing of a clean document is shuffled.
 
 Defined cases: null and empty texts hold nothing; an item of fewer than eight
-tokens is one window of its own length; items of fewer than four tokens, and
-windows with fewer literal tokens than placeholders, are no evidence; null and
+tokens is one window of its own length; template items of fewer than four tokens,
+template windows with fewer literal tokens than placeholders, and literal items
+of one or two words are no evidence; null and
 repeated ids are kept apart by their text; repeated rows give one result row;
 empty tables give no rows; other columns are not read.
 """
@@ -39,6 +46,7 @@ from tidemark.llm.shingles import U, mixed, runs
 
 WINDOW = 8
 LEAST_ITEM = 4
+LEAST_WORDS = 3
 SURE_WINDOWS = 6
 FILTER_BITS = 23
 CACHED_WORDS = 200_000
@@ -60,6 +68,8 @@ _NUMBER = re.compile(r"[+\-$€£]?\d[\d.,:/]*(?:%|st|nd|rd|th)?\Z")
 _DIGIT = re.compile(r"\d")
 _GLUED = re.compile(r"(\d)(" + "|".join(sorted((u for u in UNIT_WORDS if u.isalpha()), key=len, reverse=True)) + r")\b")
 NUMBER, UNIT, NAME = (U(x) for x in (0x6E756D, 0x756E6974, 0x6E616D65))
+#: Keeps the hashes of literal windows apart from those of templates.
+LITERAL = U(0x6C69746572616C)
 #: Flags of a word, in the lowest bits of its hash.
 IS_NUMBER, MAY_BE_UNIT, CAPITAL, ENDS, FLAGS = 1, 2, 4, 8, 15
 
@@ -86,9 +96,14 @@ _words = Words()
 
 def template(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Template tokens of a text and, for placeholders, what fills them (0 elsewhere)."""
+    return _read(text)[:2]
+
+
+def _read(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Template tokens, their fillers and the literal words of a text."""
     words = (_GLUED.sub(r"\1 \2", text) if _DIGIT.search(text) else text).split()
     if not words:
-        return np.zeros(0, U), np.zeros(0, U)
+        return np.zeros(0, U), np.zeros(0, U), np.zeros(0, U)
     packed = np.fromiter(map(_words.__getitem__, words), U, len(words))
     plain, flags = packed & ~U(FLAGS), (packed & U(FLAGS)).astype(np.uint8)
     opens = np.ones(len(flags), bool)
@@ -104,7 +119,7 @@ def template(text: str) -> tuple[np.ndarray, np.ndarray]:
     follows = np.zeros(len(flags), bool)
     follows[1:] = name[1:] & name[:-1]
     keep = ~follows & (plain != 0)
-    return tokens[keep], fill[keep]
+    return tokens[keep], fill[keep], plain[plain != 0]
 
 
 def windows(tokens: np.ndarray, fill: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -117,6 +132,12 @@ def windows(tokens: np.ndarray, fill: np.ndarray, size: int) -> tuple[np.ndarray
     return at, hashes[at]
 
 
+def literal_windows(words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of all windows of literal words."""
+    hashes = runs(words, size) ^ LITERAL
+    return np.arange(len(hashes)), hashes
+
+
 def _bit(hashes: np.ndarray) -> np.ndarray:
     return (mixed(hashes) >> U(64 - FILTER_BITS)).astype(np.int64)
 
@@ -137,23 +158,28 @@ def _arrays(found: list[tuple[int, int, int, list[int]]]) -> list[pa.Array]:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """Stored rows (item_id, held, position, size, hash, slots) of all items."""
+    """Stored rows (item_id, literal, held, position, size, hash, slots) of all items."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, held, found = [], [], []
+            ids, literal, held, found = [], [], [], []
             for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist()):
-                tokens, fill = template(text or "")
-                size = min(WINDOW, len(tokens))
-                if size < LEAST_ITEM:
-                    continue
-                at, hashes = windows(tokens, fill, size)
-                ids += [item] * len(at)
-                held += [len(at)] * len(at)
-                found += zip(at.tolist(), [size] * len(at), hashes.view(np.int64).tolist(), _slots(fill, at, size))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(held, pa.int32()), *_arrays(found)], ["item_id", "held", "position", "size", "hash", "slots"])
+                tokens, fill, words = _read(text or "")
+                for plain, length, least in ((False, len(tokens), LEAST_ITEM), (True, len(words), LEAST_WORDS)):
+                    size = min(WINDOW, length)
+                    if size < least:
+                        continue
+                    at, hashes = literal_windows(words, size) if plain else windows(tokens, fill, size)
+                    ids += [item] * len(at)
+                    literal += [plain] * len(at)
+                    held += [len(at)] * len(at)
+                    found += zip(at.tolist(), [size] * len(at), hashes.view(np.int64).tolist(), [[]] * len(at) if plain else _slots(fill, at, size))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(literal, pa.bool_()), pa.array(held, pa.int32()), *_arrays(found)],
+                ["item_id", "literal", "held", "position", "size", "hash", "slots"],
+            )
 
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    return stored(items.mapInArrow(run, f"item_id long, held int, {_WINDOW_SCHEMA}"), "item-windows")
+    return stored(items.mapInArrow(run, f"item_id long, literal boolean, held int, {_WINDOW_SCHEMA}"), "item-windows")
 
 
 def _filter(items: DataFrame) -> bytes:
@@ -175,20 +201,20 @@ def _filter(items: DataFrame) -> bytes:
     return parts.repartition(1).mapInArrow(united, "bits binary").first()["bits"]
 
 
-def _document_windows(sizes: list[int], bits) -> callable:
+def _document_windows(sizes: list[tuple[bool, int]], bits) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.unpackbits(np.frombuffer(bits.value, np.uint8)).astype(bool)
         for batch in batches:
             rows, found = [], []
             for row, text in enumerate(batch.column("text").to_pylist()):
-                tokens, fill = template(text or "")
-                for size in sizes:
-                    at, hashes = windows(tokens, fill, size)
+                tokens, fill, words = _read(text or "")
+                for plain, size in sizes:
+                    at, hashes = literal_windows(words, size) if plain else windows(tokens, fill, size)
                     hit = known[_bit(hashes)]
                     at, hashes = at[hit], hashes[hit]
                     if len(at):
                         rows += [row] * len(at)
-                        found += zip(at.tolist(), [size] * len(at), hashes.view(np.int64).tolist(), _slots(fill, at, size))
+                        found += zip(at.tolist(), [size] * len(at), hashes.view(np.int64).tolist(), [[]] * len(at) if plain else _slots(fill, at, size))
             taken = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(taken), batch.column("text_key").take(taken), *_arrays(found)],
@@ -204,24 +230,28 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     a placeholder holds something else than in the item."""
     spark = documents.sparkSession
     items = item_windows(benchmark)
-    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # WINDOW values at most
+    sizes = sorted((r["literal"], r["size"]) for r in items.select("literal", "size").distinct().collect())  # 2 WINDOW values at most
     bits = spark.sparkContext.broadcast(_filter(items))
     docs = small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
     met = docs.mapInArrow(_document_windows(sizes, bits), f"doc_id long, text_key long, {_WINDOW_SCHEMA}")
-    theirs = items.select("hash", "size", "item_id", "held", F.col("position").alias("item_position"), F.col("slots").alias("item_slots"))
+    theirs = items.select("hash", "size", "item_id", "literal", "held", F.col("position").alias("item_position"), F.col("slots").alias("item_slots"))
     pairs = F.filter(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")), lambda p: (p["i"] != 0) | (p["d"] != 0))
     joined = met.join(theirs, ["hash", "size"]).select(
-        "doc_id", "text_key", "item_id", "held", "item_position", (F.col("position") - F.col("item_position")).alias("shift"), pairs.alias("pairs"),
+        "doc_id", "text_key", "item_id", "literal", "held", "item_position", (F.col("position") - F.col("item_position")).alias("shift"), pairs.alias("pairs"),
     )
-    aligned = joined.groupBy("doc_id", "text_key", "item_id", "shift").agg(
+    aligned = joined.groupBy("doc_id", "text_key", "item_id", "literal", "shift").agg(
         F.max("held").alias("held"), F.countDistinct("item_position").alias("n_windows"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
     )
     consistent = (F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == F.size("pairs")) & (
         F.size(F.array_distinct(F.transform("pairs", lambda p: p["d"]))) == F.size("pairs"))
     enough = F.col("n_windows") >= F.least(F.lit(SURE_WINDOWS), F.ceil(F.col("held") / 2))
-    return aligned.where(consistent & enough).groupBy("doc_id", "text_key", "item_id").agg(
-        F.max("n_windows").alias("n_windows"), F.max("held").cast("long").alias("item_windows"),
-        F.min(F.exists("pairs", lambda p: p["i"] != p["d"])).alias("refilled"),
+    best = aligned.where(consistent & enough).groupBy("doc_id", "text_key", "item_id").agg(
+        F.max(F.struct(~F.col("literal"), "n_windows", "held")).alias("best"),
+        F.min(F.when(~F.col("literal"), F.exists("pairs", lambda p: p["i"] != p["d"]))).alias("refilled"),
+    )
+    return best.select(
+        "doc_id", "text_key", "item_id", "best.n_windows", F.col("best.held").cast("long").alias("item_windows"),
+        F.coalesce("refilled", F.lit(False)).alias("refilled"),
     )
 
 
