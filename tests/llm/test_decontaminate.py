@@ -62,6 +62,31 @@ def test_other_names_numbers_and_units(spark):
     assert set(got) == {(1, 1), (2, 1)} and all(r.refilled for r in got.values())
 
 
+def test_number_words_and_inserted_words(spark):
+    items = [
+        (1, "a farmer sells eggs at the market each day for 12 coins while his brother sells milk to the inn"),
+        (2, "when does the last train leave from the old central station towards the harbour on a cold winter sunday"),
+        (3, "last spring x paid 5 coins for the ticket while this autumn y paid 5 coins for it"),
+    ]
+    rows = [(k, items[0][1].replace("12", n)) for k, n in enumerate(["twenty-five", "twenty five", "1 000", "one hundred and five"])]
+    words = items[1][1].split()
+    rows += [(10, " ".join(words[:9] + ["very"] + words[9:])), (11, " ".join(words[:9] + prose(1, 12).split() + words[9:]))]
+    rows += [(20, "last spring x paid 7 coins for the ticket but while this autumn y paid 7 coins for it")]
+    rows += [(21, "last spring x paid 7 coins for the ticket but while this autumn y paid 9 coins for it")]
+    assert set(found(spark, rows, items)) == {(0, 1), (1, 1), (2, 1), (3, 1), (10, 2), (20, 3)}
+
+
+def test_numbers_by_value():
+    def values(text):
+        tokens, fill = dec.template(text)
+        return [int(f) for t, f in zip(tokens, fill) if t == dec.NUMBER]
+
+    same = ["25", "twenty five", "Twenty-Five"], ["1000", "1,000", "1 000", "one thousand"], ["105", "one hundred and five"], ["5 million", "5 000 000", "five million"], ["1984", "nineteen eighty-four"]
+    for group in same:
+        assert len({tuple(values(f"he saw {x} birds")) for x in group}) == 1 and len(values(group[-1])) == 1
+    assert [len(values(x)) for x in ("one two three", "5, 100", "12 13", "3 and 5", "twenty, five", "two hundred and five hundred", "1 000 00")] == [3, 2, 2, 2, 2, 2, 2]
+
+
 def test_inconsistent_fillers_are_another_question(spark):
     items = [(1, "if x costs 5 and y costs 5 then both of them cost 10 in the shop")]
     same = "if x costs 7 and y costs 7 then both of them cost 14 in the shop"

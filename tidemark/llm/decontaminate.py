@@ -2,13 +2,17 @@
 
 Texts become template tokens: numbers, names and units turn into typed
 placeholders, all else is lower-cased without outer punctuation. A number is a
-run of digits with its marks, or a number word; a unit is a unit word right
+run of digits with its marks, or a number word; what reads as one number
+('twenty five', 'twenty-five', 'one hundred and five', '5 million', '1 000') is one, filled by its value; a unit is a unit word right
 after a number; a name is a capitalised word (not one in capitals throughout) inside a
 sentence, and neighbouring names are one. Windows of eight template tokens are joined by hash with those of
 the benchmark, so a question asked anew with other numbers or names still meets
 its original. Along each alignment of a document with an item, placeholders must
 be filled consistently: one filler of the item always by the same filler of the
-document and the other way round.
+document and the other way round. Alignments of a document with an item whose
+shifts differ by eight at most are taken together, the fullest first and as long
+as their slots agree: words put in or left out do not part a copy. An item window
+then counts if all its tokens lie in met windows.
 
 Beside them, windows of eight literal words (all lower-cased without outer
 punctuation, nothing replaced) are joined the same way, so that a word-for-word
@@ -35,10 +39,11 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import small_batches, stored
@@ -48,6 +53,8 @@ WINDOW = 8
 LEAST_ITEM = 4
 LEAST_WORDS = 3
 SURE_WINDOWS = 6
+#: Alignments that belong together differ by so much in shift at most.
+SHIFTS = 8
 FILTER_BITS = 23
 CACHED_WORDS = 200_000
 
@@ -65,6 +72,7 @@ UNIT_WORDS = (
 
 _EDGE = "\"'`()[]{}<>.,;:!?…«»“”‘’*_#~|/\\"
 _NUMBER = re.compile(r"[+\-$€£]?\d[\d.,:/]*(?:%|st|nd|rd|th)?\Z")
+_VALUE = re.compile(r"([+\-$€£]?)(\d{1,3}(?:,\d{3})+|\d+)(\.\d+)?(%|st|nd|rd|th)?\Z")
 _DIGIT = re.compile(r"\d")
 _GLUED = re.compile(r"(\d)(" + "|".join(sorted((u for u in UNIT_WORDS if u.isalpha()), key=len, reverse=True)) + r")\b")
 NUMBER, UNIT, NAME = (U(x) for x in (0x6E756D, 0x756E6974, 0x6E616D65))
@@ -74,6 +82,98 @@ LITERAL = U(0x6C69746572616C)
 IS_NUMBER, MAY_BE_UNIT, CAPITAL, ENDS, FLAGS = 1, 2, 4, 8, 15
 
 
+def _spoken() -> dict[str, int]:
+    small = NUMBER_WORDS[:20]
+    return {
+        **{w: n for n, w in enumerate(small)}, **{w: 10 * n for n, w in enumerate(NUMBER_WORDS[20:28], 2)},
+        "hundred": 100, "thousand": 1000, "million": 10**6, "billion": 10**9,
+    }
+
+
+def _is_number(low: str) -> bool:
+    return bool(_NUMBER.match(low)) or low in _numbers or ("-" in low and all(w in _numbers for w in low.split("-")))
+
+
+def _follows(a: int | Decimal, b: int) -> bool:
+    """Do two neighbouring parts of a spoken number read as one number?"""
+    if b >= 100:
+        return True
+    return a >= 100 or (20 <= a < 100 and a % 10 == 0 and 0 < b < 10) or (10 <= a < 100 and b >= 10)
+
+
+def _value(parts: list) -> Decimal:
+    total = now = Decimal(0)
+    for p in parts:
+        if p == 100:
+            now = (now or 1) * 100
+        elif p >= 1000 and isinstance(p, int):
+            total, now = total + (now or 1) * p, Decimal(0)
+        elif 10 <= now < 100 and p >= 10:  # years: nineteen eighty
+            now = now * 100 + p
+        else:
+            now += p
+    return total + now
+
+
+class Numbers(dict):
+    """Number word to (marks in front, parts or None, marks behind, digits or None)."""
+
+    def __missing__(self, word: str) -> tuple:
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        low = word.strip(_EDGE).lower()
+        found = _VALUE.match(low)
+        if found:
+            front, digits, rest, behind = found.groups()
+            parts = [Decimal(digits.replace(",", "") + (rest or ""))]
+            value = front, parts, behind or "", digits if "," not in digits and not rest else None
+        elif _DIGIT.search(low):
+            value = low, None, "", None
+        else:
+            value = "", [_spoken_values[w] for w in low.split("-")], "", None
+        self[word] = value
+        return value
+
+
+def _merged_numbers(words: list[str], at: list[int]) -> Iterator[tuple[int, int, int]]:
+    """First word, last word and hash of the value of each number; ``at`` are the number words."""
+    import xxhash
+
+    known, n, i = set(at), len(words), 0
+    while i < len(at):
+        first = last = at[i]
+        front, parts, behind, digits = _number_words[words[first]]
+        parts = parts and list(parts)
+        while parts and last + 1 < n and not behind and words[last][-1].isalnum():
+            spoken = parts[-1] if len(parts) > 1 or digits is None else None
+            to = last + 1
+            if to not in known and words[to] == "and" and isinstance(spoken, int) and spoken >= 100 and to + 1 in known:
+                ahead = _number_words[words[to + 1]]
+                large = to + 2 in known and isinstance(part := (_number_words[words[to + 2]][1] or [None])[0], int) and part >= 100
+                if ahead[0] or ahead[3] is not None or not ahead[1] or max(ahead[1]) >= 100 or large:
+                    break
+                to += 1
+            if to not in known or not words[to][0].isalnum():
+                break
+            more_front, more, more_behind, more_digits = _number_words[words[to]]
+            if more_front or not more:
+                break
+            if digits is not None and len(digits) <= 3 * (1 + (last - first)) and re.match(r"\d{3}(?!\d)", words[to]) and len(parts) == 1 and isinstance(more[0], Decimal):
+                digits += words[to][:3]
+                tail = more[0] % 1
+                parts, behind = [Decimal(digits) + tail], more_behind
+                digits = None if tail or more_digits is None else digits
+            elif isinstance(more[0], int) and _follows(parts[-1], more[0]) and (isinstance(parts[-1], int) or more[0] >= 100):
+                parts, behind, digits = parts + more, more_behind, None
+            else:
+                break
+            last = to
+        text = front + (format(_value(parts).normalize(), "f") if parts else "") + behind
+        yield first, last, xxhash.xxh3_64_intdigest(text) & ~FLAGS
+        while i < len(at) and at[i] <= last:
+            i += 1
+
+
 class Words(dict):
     """Word to the hash of its plain form (0 if nothing is left) with its flags."""
 
@@ -84,14 +184,15 @@ class Words(dict):
             self.clear()
         plain = word.strip(_EDGE)
         low = plain.lower()
-        flags = IS_NUMBER * bool(_NUMBER.match(low) or low in _numbers) | MAY_BE_UNIT * (low in _units)
+        flags = IS_NUMBER * _is_number(low) | MAY_BE_UNIT * (low in _units)
         flags |= CAPITAL * (plain[:1].isupper() and not plain[1:].isupper()) | ENDS * (word.rstrip("\"'”’)»")[-1:] in (".", "!", "?", ":"))
         value = self[word] = flags | (xxhash.xxh3_64_intdigest(low) & ~FLAGS if low else 0)
         return value
 
 
 _numbers, _units = frozenset(NUMBER_WORDS), frozenset(UNIT_WORDS)
-_words = Words()
+_spoken_values = _spoken()
+_words, _number_words = Words(), Numbers()
 
 
 def template(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -116,9 +217,14 @@ def _read(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     tokens = plain.copy()
     tokens[number], tokens[unit], tokens[name] = NUMBER, UNIT, NAME
     fill = np.where(number | unit | name, plain, U(0))
+    within = np.zeros(len(flags), bool)
+    if number.any():
+        for first, last, value in _merged_numbers(words, np.flatnonzero(number).tolist()):
+            fill[first] = value
+            within[first + 1:last + 1] = True
     follows = np.zeros(len(flags), bool)
     follows[1:] = name[1:] & name[:-1]
-    keep = ~follows & (plain != 0)
+    keep = ~follows & ~within & (plain != 0)
     return tokens[keep], fill[keep], plain[plain != 0]
 
 
@@ -158,10 +264,11 @@ def _arrays(found: list[tuple[int, int, int, list[int]]]) -> list[pa.Array]:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """Stored rows (item_id, literal, held, position, size, hash, slots) of all items."""
+    """Stored rows (item_id, literal, held, rank, position, size, hash, slots) of all items;
+    ``rank`` counts the windows of an item that are evidence."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, literal, held, found = [], [], [], []
+            ids, literal, held, rank, found = [], [], [], [], []
             for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist()):
                 tokens, fill, words = _read(text or "")
                 for plain, length, least in ((False, len(tokens), LEAST_ITEM), (True, len(words), LEAST_WORDS)):
@@ -172,14 +279,15 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
                     ids += [item] * len(at)
                     literal += [plain] * len(at)
                     held += [len(at)] * len(at)
+                    rank += range(len(at))
                     found += zip(at.tolist(), [size] * len(at), hashes.view(np.int64).tolist(), [[]] * len(at) if plain else _slots(fill, at, size))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(literal, pa.bool_()), pa.array(held, pa.int32()), *_arrays(found)],
-                ["item_id", "literal", "held", "position", "size", "hash", "slots"],
+                [pa.array(ids, pa.int64()), pa.array(literal, pa.bool_()), pa.array(held, pa.int32()), pa.array(rank, pa.int32()), *_arrays(found)],
+                ["item_id", "literal", "held", "rank", "position", "size", "hash", "slots"],
             )
 
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    return stored(items.mapInArrow(run, f"item_id long, literal boolean, held int, {_WINDOW_SCHEMA}"), "item-windows")
+    return stored(items.mapInArrow(run, f"item_id long, literal boolean, held int, rank int, {_WINDOW_SCHEMA}"), "item-windows")
 
 
 def _filter(items: DataFrame) -> bytes:
@@ -224,6 +332,23 @@ def _document_windows(sizes: list[tuple[bool, int]], bits) -> callable:
     return run
 
 
+def _consistent(pairs: Column) -> Column:
+    """Is each filler of the item always met by one filler of the document, and the other way round?"""
+    one = lambda side: F.size(F.array_distinct(F.transform(pairs, lambda p: p[side]))) == F.size(pairs)
+    return one("i") & one("d")
+
+
+def _covered(met: Column, size: Column) -> Column:
+    """Number of item windows that lie wholly in the met ones (sorted by position)."""
+    def step(so_far: Column, w: Column) -> Column:
+        joined = w["item_position"] - so_far["at"] <= size
+        more = F.when(joined, w["rank"] - so_far["rank"]).otherwise(F.lit(1))
+        return F.struct((so_far["n"] + more).cast("long").alias("n"), w["item_position"].alias("at"), w["rank"].alias("rank"))
+
+    first = F.struct(F.lit(1).cast("long").alias("n"), met[0]["item_position"].alias("at"), met[0]["rank"].alias("rank"))
+    return F.aggregate(met, first, step, lambda x: x["n"])
+
+
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows (doc_id, text_key, item_id, n_windows, item_windows, refilled), one per
     document and item. ``text_key`` is the text's xxhash64; ``refilled`` tells that
@@ -234,18 +359,30 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     bits = spark.sparkContext.broadcast(_filter(items))
     docs = small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
     met = docs.mapInArrow(_document_windows(sizes, bits), f"doc_id long, text_key long, {_WINDOW_SCHEMA}")
-    theirs = items.select("hash", "size", "item_id", "literal", "held", F.col("position").alias("item_position"), F.col("slots").alias("item_slots"))
+    theirs = items.select("hash", "size", "item_id", "literal", "held", "rank", F.col("position").alias("item_position"), F.col("slots").alias("item_slots"))
     pairs = F.filter(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")), lambda p: (p["i"] != 0) | (p["d"] != 0))
     joined = met.join(theirs, ["hash", "size"]).select(
-        "doc_id", "text_key", "item_id", "literal", "held", "item_position", (F.col("position") - F.col("item_position")).alias("shift"), pairs.alias("pairs"),
+        "doc_id", "text_key", "item_id", "literal", "held", "size", F.struct("item_position", "rank").alias("window"),
+        (F.col("position") - F.col("item_position")).alias("shift"), pairs.alias("pairs"),
     )
     aligned = joined.groupBy("doc_id", "text_key", "item_id", "literal", "shift").agg(
-        F.max("held").alias("held"), F.countDistinct("item_position").alias("n_windows"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
+        F.max("held").alias("held"), F.max("size").alias("size"), F.collect_set("window").alias("met"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
+    ).where(_consistent(F.col("pairs")))
+    # Each alignment with those at most SHIFTS beside it: 2 SHIFTS + 1 rows at any length of the text.
+    near = Window.partitionBy("doc_id", "text_key", "item_id", "literal").orderBy("shift").rangeBetween(-SHIFTS, SHIFTS)
+    beside = F.collect_list(F.struct((-F.size("met")).alias("less"), "shift", "met", "pairs")).over(near)
+    others = F.filter(F.array_sort(beside), lambda x: x["shift"] != F.col("shift"))
+    start = F.struct("met", "pairs")
+
+    def joined_to(so_far: Column, x: Column) -> Column:
+        both = F.array_union(so_far["pairs"], x["pairs"])
+        return F.when(_consistent(both), F.struct(F.array_union(so_far["met"], x["met"]).alias("met"), both.alias("pairs"))).otherwise(so_far)
+
+    aligned = aligned.withColumn("beside", others).withColumn("whole", F.aggregate("beside", start, joined_to)).select(
+        "doc_id", "text_key", "item_id", "literal", "held", F.col("whole.pairs").alias("pairs"), _covered(F.array_sort("whole.met"), F.col("size")).alias("n_windows"),
     )
-    consistent = (F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == F.size("pairs")) & (
-        F.size(F.array_distinct(F.transform("pairs", lambda p: p["d"]))) == F.size("pairs"))
     enough = F.col("n_windows") >= F.least(F.lit(SURE_WINDOWS), F.ceil(F.col("held") / 2))
-    best = aligned.where(consistent & enough).groupBy("doc_id", "text_key", "item_id").agg(
+    best = aligned.where(enough).groupBy("doc_id", "text_key", "item_id").agg(
         F.max(F.struct(~F.col("literal"), "n_windows", "held")).alias("best"),
         F.min(F.when(~F.col("literal"), F.exists("pairs", lambda p: p["i"] != p["d"]))).alias("refilled"),
     )
