@@ -56,6 +56,21 @@ def test_frequent_shingles_and_small_blocks_lose_no_link(spark, monkeypatch):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in got), key=repr) == brute_components(rows, 3, 90)
 
 
+def test_sets_go_only_to_blocks_of_sizes_they_may_link_with(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 300)
+    sizes = [10, 20, 50, 90, 99, 100, 101, 110, 112, 123, 200, 400, 440, 450]
+    known = spark.createDataFrame([(1, i, n) for i, n in enumerate(sizes)] + [(2, 99, 7)], "root long, node long, held long")
+    placed = jaccard.placed_blocks(known)
+    block = {r.node: r.block for r in placed.collect()}
+    rows = jaccard.block_pairs(placed, 90).collect()
+    reach = {r.node: (r.low, r.high) for r in rows}
+    assert len(rows) == len(sizes) + 1 and {r.group for r in rows if r.whole} == {2}
+    for i, n in enumerate(sizes):
+        want = {block[i]} | {block[j] for j, m in enumerate(sizes) if 100 * min(n, m) >= 90 * max(n, m)}
+        assert reach[i][0] <= min(want) and reach[i][1] >= max(want)
+    assert reach[0][1] == 0 and reach[13][0] > block[10]
+
+
 def test_prefixes_of_linked_sets_meet():
     rng = np.random.default_rng(1)
     for percent in (80, 90):

@@ -22,8 +22,9 @@ level finds them: no link is lost.
 Documents that share a token form a group. Tokens met more than once are linked
 inside the task first, so a token of a third of all documents leaves each task
 once. Components of these links are the candidates; the sets of candidates
-(each once) are compared exactly, in blocks of bounded size. Only true links
-make the final components.
+(each once) are compared exactly, in blocks of bounded size. Blocks are ordered
+by set size, and a set goes only to blocks that hold a size it can link with.
+Only true links make the final components.
 
 Defined cases: a null, empty or blank text has no shingles and links with
 nothing; fewer words than a shingle make one shingle of the whole sequence;
@@ -410,6 +411,24 @@ def _verified(percent: int) -> Callable:
     return run
 
 
+def placed_blocks(known: DataFrame) -> DataFrame:
+    """``known`` (root, node, held) with the block of each set: sets of a candidate component in order of size."""
+    line = Window.partitionBy("root").orderBy("held", "node").rowsBetween(Window.unboundedPreceding, 0)
+    return known.withColumn("block", F.floor(F.sum("held").over(line) / BLOCK_SHINGLES).cast("int"))
+
+
+def block_pairs(placed: DataFrame, percent: int) -> DataFrame:
+    """Per set the blocks ``low`` to ``high`` that hold a size it may link with:
+    the smaller of two linked sets has ``percent`` of the larger one's size at least.
+    Worked out on the distinct sizes of a component; ``whole`` tells that it is one block."""
+    blocks = placed.groupBy("root", "block").agg(F.min("held").alias("least"), F.max("held").alias("most"))
+    sizes = placed.select("root", "held").distinct()
+    may_link = (F.col("least") * percent <= 100 * F.col("held")) & (100 * F.col("most") >= percent * F.col("held"))
+    reach = sizes.join(blocks, "root").where(may_link).groupBy("root", "held").agg(F.min("block").alias("low"), F.max("block").alias("high"))
+    last = blocks.groupBy("root").agg((F.max("block") == 0).alias("whole"))
+    return placed.join(last, "root").join(reach, ["root", "held"]).withColumnRenamed("root", "group")
+
+
 def linked_classes(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(rows, classes). Rows: doc_id, text_key, n_shingles, node per document. Classes: node,
     root, links and copies for each distinct set with more than one document or
@@ -424,14 +443,10 @@ def linked_classes(documents: DataFrame, size: int, percent: int) -> tuple[DataF
     possible = spark.sparkContext.broadcast(_possible(groups))
     sets = docs.select("text").mapInArrow(_candidate_sets(size, possible), "node binary, shingles binary").dropDuplicates(["node"])
     known = copies.join(groups.withColumnRenamed("node", "short"), "short").drop("short")
-    line = Window.partitionBy("root").orderBy("held", "node").rowsBetween(Window.unboundedPreceding, 0)
-    placed = known.withColumn("block", F.floor(F.sum("held").over(line) / BLOCK_SHINGLES).cast("int"))
-    last = placed.groupBy("root").agg(F.max("block").alias("last"))
-    pairs = placed.join(last, "root").join(sets, "node").select(
-        F.col("root").alias("group"), "block", "last", "node", "copies", "shingles", F.explode(F.sequence(F.lit(0), "last")).alias("other"),
+    pairs = block_pairs(placed_blocks(known), percent).join(sets, "node").select(
+        "group", F.explode(F.sequence("low", "high")).alias("other"), "whole", "block", "node", "copies", "shingles",
     ).select(
-        "group", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), (F.col("last") == 0).alias("whole"),
-        "block", "node", "copies", "shingles",
+        "group", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "whole", "block", "node", "copies", "shingles",
     )
     ordered = pairs.repartition("group", "bi", "bj").sortWithinPartitions("group", "bi", "bj")
     found = stored(ordered.mapInArrow(_verified(percent), "whole boolean, node binary, root binary, links long"), "verified")
