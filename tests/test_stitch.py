@@ -95,6 +95,21 @@ def test_links_equal_exploded_ids(canonical):
     assert sorted(map(tuple, stored.collect()), key=repr) == sorted(map(tuple, links.collect()), key=repr)
 
 
+def test_ids_of_sessions_of_any_size_are_in_chunks(canonical):
+    df = canonical([{"event_time": at(i // 2), "session_id": f"s{i % 25}"} for i in range(60)] + [{"event_time": at(0), "user_id": "u2", "session_id": None}])
+    chunks = stitch.session_id_chunks(df, chunk_ids=5)
+    rows = chunks.collect()
+    assert {r.n_ids for r in rows} == {25} and len(rows) > 1 and {r.chunk for r in rows} <= set(range(5))
+    assert sorted(i for r in rows for i in r.ids) == sorted(f"s{i}" for i in range(25))
+    large = stitch.batch_sessions(df, inline_limit=3)
+    assert large.where("original_session_ids IS NULL").count() == 1
+    stored = stitch.exploded_links(large, chunks)
+    links = stitch.session_links(df).select(*stored.columns)
+    assert sorted(map(tuple, stored.collect()), key=repr) == sorted(map(tuple, links.collect()), key=repr)
+    with pytest.raises(Exception, match="id chunks"):
+        stitch.exploded_links(large).collect()
+
+
 def random_rows(n, seed, users=4):
     rng = random.Random(seed)
     rows = []

@@ -20,6 +20,8 @@ from tidemark.schemas import INLINE_ID_LIMIT, SESSION_TIMEOUT_SECONDS
 # Width of the slices for operators that return every event: narrow enough to
 # spread one user's minute-by-minute traffic over many tasks.
 SLICE_SECONDS = 60
+# Ids in one row of the id chunks, about.
+CHUNK_IDS = 10_000
 
 
 def event_measures() -> list[Column]:
@@ -131,9 +133,9 @@ def sessions_of(rows: DataFrame, inline_limit: int = INLINE_ID_LIMIT) -> DataFra
     """Sessions out of :func:`stitched_ids`.
 
     ``original_session_ids`` is filled where the session cannot have more than
-    ``inline_limit`` ids. Above that the column is null and the links, complete
-    for every session, hold the ids row by row: an id list of unknown length
-    is never gathered into one row.
+    ``inline_limit`` ids. Above that the column is null; the links hold the ids
+    row by row and :func:`id_chunks_of` in bounded rows, both complete for every
+    session: an id list of unknown length is never gathered into one row.
     """
     facts = [c for c in rows.columns if c not in ("session_id", "id_bound", "batch_session_id", "user_id")]
     inline = F.col("id_bound") <= inline_limit
@@ -158,6 +160,23 @@ def batch_sessions(
     return sessions_of(stitched_ids(events, timeout), inline_limit)
 
 
+def id_chunks_of(rows: DataFrame, chunk_ids: int = CHUNK_IDS) -> DataFrame:
+    """The ids of every session, whatever their number, out of :func:`stitched_ids`:
+    rows (batch_session_id, n_ids, chunk, ids). ``n_ids`` is the exact distinct count
+    of the session; each chunk holds about ``chunk_ids`` ids, dealt out by hash, so
+    no row grows with the session. Sessions without ids have no chunk."""
+    ids = rows.where("session_id IS NOT NULL").select("batch_session_id", "session_id").distinct()
+    counts = ids.groupBy("batch_session_id").agg(F.count(F.lit(1)).alias("n_ids"))
+    chunk = F.pmod(F.xxhash64("session_id"), F.ceil(F.col("n_ids") / chunk_ids)).cast("int")
+    return ids.join(counts, "batch_session_id").groupBy("batch_session_id", "n_ids", chunk.alias("chunk")).agg(
+        F.array_sort(F.collect_set("session_id")).alias("ids")
+    )
+
+
+def session_id_chunks(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS, chunk_ids: int = CHUNK_IDS) -> DataFrame:
+    return id_chunks_of(stitched_ids(events, timeout, count_ids=False), chunk_ids)
+
+
 # Session column -> its name on a link row.
 LINK_COLUMNS = {
     "cart_total": "batch_cart_total",
@@ -183,13 +202,17 @@ def session_links(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) ->
     return links_of(stitched_ids(events, timeout, count_ids=False))
 
 
-def exploded_links(sessions: DataFrame) -> DataFrame:
-    """Links out of the id arrays of stored sessions; null and empty arrays
-    give no row."""
-    return sessions.selectExpr(
-        "explode(original_session_ids) AS session_id", "batch_session_id",
-        *[f"{name} AS {out}" for name, out in LINK_COLUMNS.items()],
-    )
+def exploded_links(sessions: DataFrame, chunks: DataFrame | None = None) -> DataFrame:
+    """Links out of stored sessions. With the rows of :func:`id_chunks_of` they
+    are complete for every session; without, ids come from the arrays of the
+    session rows, and a session whose array is null for its size is an error."""
+    facts = [f"{name} AS {out}" for name, out in LINK_COLUMNS.items()]
+    if chunks is not None:
+        ids = chunks.selectExpr("explode(ids) AS session_id", "batch_session_id")
+        return ids.join(sessions.selectExpr("batch_session_id", *facts), "batch_session_id").select(
+            "session_id", "batch_session_id", *LINK_COLUMNS.values())
+    missing = "assert_true(original_session_ids IS NOT NULL, 'ids of large sessions are in the id chunks')"
+    return sessions.where(F.expr(f"{missing} IS NULL")).selectExpr("explode(original_session_ids) AS session_id", "batch_session_id", *facts)
 
 
 def with_stable_id(sessions: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.events import canonical_events, dedup_events, timed_events, valid_events
-from tidemark.operators.stitch import links_of, sessions_of, stitched_ids
+from tidemark.operators.stitch import id_chunks_of, links_of, sessions_of, stitched_ids
 from tidemark.schemas import SESSION_TIMEOUT_SECONDS
 from tidemark.session import scratch_path, spark_session
 from tidemark.sinks.files import write_links, write_parquet, write_sessions
@@ -52,6 +52,7 @@ def run(
     stitched = spark.read.parquet(table)
     write_sessions(sessions_of(stitched), output_path, day)
     write_links(links_of(stitched), f"{output_path.rstrip('/')}-links", day)
+    write_links(id_chunks_of(stitched), f"{output_path.rstrip('/')}-ids", day)
 
 
 def main() -> None:
