@@ -1,10 +1,12 @@
 import json
 import os
 import shutil
+from datetime import datetime, timedelta
 
 from test_quarantine import b64, event, record
 from test_streaming import write_batch
 from tidemark.plans import audit, live, replay, report, stitch
+from tidemark.sinks.files import write_events
 from tidemark.sources import files as source
 from tidemark.sources import tables
 
@@ -83,3 +85,21 @@ def test_whole_chain(spark, tmp_path):
 
     live.export_snapshot(spark, root, "2024-10-16")
     assert {r.session_id for r in source.snapshot_text(spark, f"{root}/realtime-sessions").filter("date_partition = '2024-10-16'").collect()} == set()
+
+
+def test_sessions_over_many_days_are_whole_in_one_output(spark, make_events, tmp_path):
+    """A user who never pauses for two days, one who crosses one midnight, and
+    one within a day: run night by night, with the next day's events not there yet."""
+    start = datetime(2024, 10, 14, 22)
+    rows = [("long", start + timedelta(minutes=20 * i)) for i in range(150)]
+    rows += [("night", start + timedelta(minutes=m)) for m in (100, 125, 150)] + [("day", start + timedelta(hours=16))]
+    rows = [(f"e{i}", *r) for i, r in enumerate(rows)]
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    days = sorted({t.date().isoformat() for _, _, t in rows})
+    assert len(days) == 3
+    for day in days:
+        today = [{"event_id": i, "user_id": u, "session_id": f"{u}-{t:%d%H}", "event_time": f"{t:%Y-%m-%d %H:%M:%S}", "arrival_time": f"{t:%Y-%m-%d %H:%M:%S}"} for i, u, t in rows if t.date().isoformat() == day]
+        write_events(make_events(today), raw)
+        stitch.run(spark, raw, out, day)
+    got = [(r.session_date.isoformat(), r.user_id, r.event_count) for d in days for r in source.stored_sessions(spark, out, d).collect()]
+    assert sorted(got) == [("2024-10-14", "long", 150), ("2024-10-14", "night", 3), ("2024-10-15", "day", 1)]
