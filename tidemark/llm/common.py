@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,10 +33,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(df: DataFrame) -> DataFrame:
-    """``df``, with Arrow batches of at most 1,000 rows in its session: texts are long."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    return df
+def in_slices(function: Callable, rows: int = 1000) -> Callable:
+    """``function`` over Arrow batches of at most ``rows`` rows each: texts are long,
+    and what a task derives from one batch has to stay small. The session's own
+    batch size is left alone."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return function(b.slice(i, rows) for b in batches for i in range(0, b.num_rows, rows))
+
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches, stored
+from tidemark.llm.common import in_slices, stored
 from tidemark.llm.shingles import U, mixed, runs
 
 WINDOW = 8
@@ -357,8 +357,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = item_windows(benchmark)
     sizes = sorted((r["literal"], r["size"]) for r in items.select("literal", "size").distinct().collect())  # 2 WINDOW values at most
     bits = spark.sparkContext.broadcast(_filter(items))
-    docs = small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
-    met = docs.mapInArrow(_document_windows(sizes, bits), f"doc_id long, text_key long, {_WINDOW_SCHEMA}")
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
+    met = docs.mapInArrow(in_slices(_document_windows(sizes, bits)), f"doc_id long, text_key long, {_WINDOW_SCHEMA}")
     theirs = items.select("hash", "size", "item_id", "literal", "held", "rank", F.col("position").alias("item_position"), F.col("slots").alias("item_slots"))
     pairs = F.filter(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")), lambda p: (p["i"] != 0) | (p["d"] != 0))
     joined = met.join(theirs, ["hash", "size"]).select(

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, small_batches, stored
+from tidemark.llm.common import in_slices, stored
 from tidemark.llm.graph import components
 from tidemark.llm.shingles import U, mixed, shingle_set
 
@@ -247,7 +247,7 @@ def _meetings(size: int, percent: int, heavy_bits) -> Callable:
 def candidate_links(documents: DataFrame, heavy: np.ndarray, size: int, percent: int) -> DataFrame:
     """Edges (a, b) whose components hold every pair that may link."""
     bits = documents.sparkSession.sparkContext.broadcast(np.packbits(heavy).tobytes())
-    met = documents.select("text").mapInArrow(_meetings(size, percent, bits), "token long, node long, hub long")
+    met = documents.select("text").mapInArrow(in_slices(_meetings(size, percent, bits)), "token long, node long, hub long")
     group = Window.partitionBy("token").orderBy(F.col("hub").isNotNull(), "node")
     smallest = F.first(F.when(F.col("hub").isNull(), F.col("node"))).over(group)
     return met.select(F.col("node").alias("a"), F.coalesce("hub", smallest).alias("b")).where("a != b").distinct()
@@ -434,14 +434,14 @@ def linked_classes(documents: DataFrame, size: int, percent: int) -> tuple[DataF
     root, links and copies for each distinct set with more than one document or
     with links; two sets have one root if a chain of links joins them."""
     spark = documents.sparkSession
-    docs = small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
-    profiles = stored(docs.mapInArrow(_profiles(size), "doc_id long, text_key long, n_shingles long, node binary, short long, part int, counts binary"), "shingle-profiles")
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
+    profiles = stored(docs.mapInArrow(in_slices(_profiles(size)), "doc_id long, text_key long, n_shingles long, node binary, short long, part int, counts binary"), "shingle-profiles")
     rows = profiles.where("part IS NULL").select("doc_id", "text_key", "n_shingles", "node", "short")
     copies = stored(rows.where("node IS NOT NULL").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("held"), F.max("short").alias("short")), "shingle-classes")
 
     groups = stored(components(candidate_links(docs, frequent_cells(profiles), size, percent)), "candidates")
     possible = spark.sparkContext.broadcast(_possible(groups))
-    sets = docs.select("text").mapInArrow(_candidate_sets(size, possible), "node binary, shingles binary").dropDuplicates(["node"])
+    sets = docs.select("text").mapInArrow(in_slices(_candidate_sets(size, possible)), "node binary, shingles binary").dropDuplicates(["node"])
     known = copies.join(groups.withColumnRenamed("node", "short"), "short").drop("short")
     pairs = block_pairs(placed_blocks(known), percent).join(sets, "node").select(
         "group", F.explode(F.sequence("low", "high")).alias("other"), "whole", "block", "node", "copies", "shingles",
@@ -449,7 +449,7 @@ def linked_classes(documents: DataFrame, size: int, percent: int) -> tuple[DataF
         "group", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "whole", "block", "node", "copies", "shingles",
     )
     ordered = pairs.repartition("group", "bi", "bj").sortWithinPartitions("group", "bi", "bj")
-    found = stored(ordered.mapInArrow(_verified(percent), "whole boolean, node binary, root binary, links long"), "verified")
+    found = stored(ordered.mapInArrow(in_slices(_verified(percent)), "whole boolean, node binary, root binary, links long"), "verified")
     parts = components(found.where("NOT whole").select(F.col("node").alias("a"), F.col("root").alias("b")))
     linked = found.groupBy("node").agg(F.sum("links").alias("links"), F.min(F.when(F.col("whole"), F.col("root"))).alias("one"))
     joined = linked.join(parts.withColumnRenamed("root", "far"), "node", "left")
@@ -482,10 +482,18 @@ def one_of_each_group(documents: DataFrame, size: int = 5, percent: int = 80) ->
     members = stored(members.select("root", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key").alias("who")), "members")
     kept = members.groupBy("root").agg(F.min("who").alias("who"))
     dropped = stored(members.join(kept, ["root", "who"], "left_anti").select("who.doc_id", "who.text_key").distinct(), "dropped")
-    spare = "llm_text_key"
-    docs = documents.withColumn(spare, text_key())
-    left = docs.join(dropped, docs["doc_id"].cast("long").eqNullSafe(dropped["doc_id"]) & (docs[spare] == dropped["text_key"]), "left_anti")
-    others = [c for c in documents.columns if c not in ("doc_id", "text")]
-    turn = F.row_number().over(Window.partitionBy("doc_id", spare).orderBy(*(others or [F.lit(0)])))
-    wordless = ~F.coalesce("text", F.lit("")).rlike(WORD)
-    return left.withColumn("llm_turn", turn).where((F.col("llm_turn") == 1) | wordless).select(*documents.columns)
+    # The same (id, text) more than once, with words: of these rows alone all columns are brought together.
+    repeated = rows.where("node IS NOT NULL").groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = stored(repeated.select("doc_id", "text_key"), "repeated")
+    docs = documents.select(F.struct(*documents.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), text_key().alias("key"))
+    known = lambda keys: F.col("id").eqNullSafe(keys["doc_id"]) & (F.col("key") == keys["text_key"])
+    left = docs.join(dropped, known(dropped), "left_anti")
+    single = left.join(repeated, known(repeated), "left_anti").select("row")
+    others = [F.col(f"row.{_quoted(c)}") for c in documents.columns if c not in ("doc_id", "text")]
+    turn = F.row_number().over(Window.partitionBy("id", "key").orderBy(*(others or [F.lit(0)])))
+    first = left.join(repeated, known(repeated), "left_semi").withColumn("turn", turn).where("turn = 1").select("row")
+    return single.unionByName(first).select("row.*")
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

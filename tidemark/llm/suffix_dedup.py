@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches, stored
+from tidemark.llm.common import in_slices, stored
 from tidemark.llm.shingles import U, mixed
 
 GRAM = 40
@@ -169,7 +169,7 @@ def _span_rows(length: int):
 def judged_spans(documents: DataFrame, length: int) -> DataFrame:
     """Stored spans that matter: ``whole`` ones occur twice, ``compare`` ones share
     their anchor with a different span and take part in the comparison."""
-    rows = documents.mapInArrow(_span_rows(length), _SCHEMA).withColumn("settled", F.col("weight") == 0)
+    rows = documents.mapInArrow(in_slices(_span_rows(length)), _SCHEMA).withColumn("settled", F.col("weight") == 0)
     group = Window.partitionBy("gram", "settled")
     equal = Window.partitionBy("gram", "settled", "span")
     rows = rows.withColumns({
@@ -341,7 +341,7 @@ def _compared(length: int):
 
 def keyed(documents: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    return small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
 
 
 def repeated_runs(documents: DataFrame, length: int = 200) -> DataFrame:
@@ -350,9 +350,9 @@ def repeated_runs(documents: DataFrame, length: int = 200) -> DataFrame:
     judged = judged_spans(documents, length)
     compare = judged.where("compare").drop("compare", "weight")
     bits = documents.sparkSession.sparkContext.broadcast(_filter(compare))
-    cut = documents.select("text").mapInArrow(_span_bytes(length, bits), "gram long, span long, bytes binary").dropDuplicates(["gram", "span"])
+    cut = documents.select("text").mapInArrow(in_slices(_span_bytes(length, bits)), "gram long, span long, bytes binary").dropDuplicates(["gram", "span"])
     short = compare.join(cut, ["gram", "span"]).repartition("gram").sortWithinPartitions("gram")
-    partly = short.mapInArrow(_compared(length), "doc_id long, text_key long, at int, n int")
+    partly = short.mapInArrow(in_slices(_compared(length)), "doc_id long, text_key long, at int, n int")
     return judged.where("whole").select("doc_id", "text_key", "at", "n").unionByName(partly)
 
 
@@ -396,4 +396,4 @@ def without_repeats(documents: DataFrame, length: int = 200, keep_bytes: bool =
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * keep_bytes
             yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], kinds[i]) for i in range(len(kinds))], names)
 
-    return ordered.mapInArrow(run, fields)
+    return ordered.mapInArrow(in_slices(run), fields)

@@ -13,6 +13,9 @@ workers remember words. A vocabulary for which this does not hold, or whose
 scores are not whole numbers (sums would depend on what stands before), is
 refused rather than counted wrongly.
 
+Entries such as ``</s>`` written out in a text count as that one entry, as in the
+tokenizers library.
+
 Defined cases: null and empty texts have 0 tokens; repeated rows stay; empty
 tables give no rows; other columns are not read.
 """
@@ -21,8 +24,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.llm.common import in_slices
 
 BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -121,9 +127,11 @@ def counter(path: str) -> Counter:
 
 def token_counts(documents: DataFrame, vocabulary_path: str) -> DataFrame:
     """doc_id and n_tokens of every whole text."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(vocabulary_path).count
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_tokens": [count(t) if t else 0 for t in batch["text"]]})
+            found = [count(t) if t else 0 for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["doc_id", "n_tokens"])
 
-    return documents.select("doc_id", "text").mapInPandas(run, "doc_id long, n_tokens long")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(in_slices(run), "doc_id long, n_tokens long")

@@ -35,13 +35,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import small_batches
+from tidemark.llm.common import in_slices
 
 HELD_OUT = 2
 FOLDS = 4
 THRESHOLD = 0.3
-#: No column of the input has this name.
-SCORE = "llm_toxicity"
 CACHED_WORDS = 120_000
 CHUNK = 2048
 _WORD = re.compile(r"[^\W\d_]+")
@@ -420,28 +418,26 @@ def fitted(documents: DataFrame, labels: DataFrame, settings: Settings = Setting
     return model
 
 
-def scored(documents: DataFrame, model: Model, columns: list[str]) -> DataFrame:
-    """``columns`` of each row and its score, in a column named SCORE."""
+def scored(documents: DataFrame, model: Model) -> DataFrame:
+    """Rows (row, score): the input's row as one struct, so that no name can clash, and its text's score."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = shared.value.scores(batch.column(batch.num_columns - 1).to_pylist())
-            kept = [batch.column(i) for i in range(len(columns))]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(scores, pa.float64())], [*columns, SCORE])
+            scores = shared.value.scores(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["row", "score"])
 
-    rows = small_batches(documents).select(*columns, F.col("text").alias(f"{SCORE}_text"))
-    schema = T.StructType([*documents.select(*columns).schema.fields, T.StructField(SCORE, T.DoubleType())])
-    return rows.mapInArrow(run, schema)
+    rows = documents.select(F.struct(*documents.columns).alias("row"), "text")
+    return rows.mapInArrow(in_slices(run), T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())]))
 
 
 def judged(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, held_out, score and predicted of every row."""
-    rows = scored(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), fitted(documents, labels, settings), ["doc_id"])
-    return rows.select("doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), F.col(SCORE).alias("score"), (F.col(SCORE) >= THRESHOLD).cast("int").alias("predicted"))
+    model = fitted(documents, labels, settings)
+    rows = scored(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model).select("row.doc_id", "score")
+    return rows.select("doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Rows whose text is not predicted toxic, all columns as they came."""
-    rows = scored(documents, fitted(documents, labels, settings), documents.columns)
-    return rows.where(F.col(SCORE) < THRESHOLD).select(*documents.columns)
+    return scored(documents, fitted(documents, labels, settings)).where(F.col("score") < THRESHOLD).select("row.*")
