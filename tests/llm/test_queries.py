@@ -20,7 +20,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="supplied tables n
 def test_one_query_for_each_operator():
     import __spark_entry__ as entry
 
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
