@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, jaccard, mixing, packing, simhash, suffix_dedup, token_counts, token_records, toxicity, url_filter
+from tidemark.llm import chat, decontaminate, jaccard, mixing, negatives, packing, simhash, suffix_dedup, token_counts, token_records, toxicity, url_filter
 from tidemark.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +97,15 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of ids divisible by 7 are moved on by one; anchors are the ids divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings").where(negatives.usable(F.col("label"), F.col("embedding")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("id"), label.cast("long").alias("label"), negatives.scaled(F.col("embedding")).alias("values"))
+    return negatives.hard_negatives(rows, F.col("id") % 50 == 0)
+
+
 @query
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("byte_bpe_50k.tiktoken"), capacity=2048, end_id=0)
