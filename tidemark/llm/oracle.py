@@ -80,6 +80,41 @@ SELECT doc_id, size, s AS source_size, target, source, CAST(size * (base + CASE
 FROM placed
 """
 
+ORACLE["op11_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), spoken AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), places AS (
+    SELECT lang, words, unnest(range(1, len(words) + 1)) AS place FROM spoken
+), counts AS (
+    SELECT lang, size, array_to_string(words[place:place + size - 1], ' ') AS phrase, count(*) AS f
+    FROM places, (VALUES (1), (2), (3), (4)) sizes(size) WHERE place + size - 1 <= len(words) GROUP BY ALL
+), phrases AS (
+    SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS words FROM counts WHERE size > 1 AND f >= 30
+), cuts AS (
+    SELECT *, unnest(range(1, size)) AS k FROM phrases
+), scored AS (
+    SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, CAST(CAST(c.a AS HUGEINT) * 2000000 // (x.f + y.f) AS BIGINT) AS score
+    FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.words[1:k], ' ')
+        JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.words[k + 1:c.size], ' ')
+    QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1
+), inside AS (
+    SELECT lang, a, size, words, unnest(range(2, size)) AS held FROM phrases WHERE size > 2
+), starts AS (
+    SELECT lang, a, words, held, unnest(range(1, size - held + 2)) AS start FROM inside
+), longer AS (
+    SELECT lang, array_to_string(words[start:start + held - 1], ' ') AS phrase, max(a) AS beside FROM starts GROUP BY ALL
+), totals AS (
+    SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY lang
+)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank, s.phrase, a, l, r, n, score
+FROM scored s JOIN totals t ON t.lang = s.lang LEFT JOIN longer g ON g.lang = s.lang AND g.phrase = s.phrase
+WHERE beside IS NULL OR CAST(beside AS HUGEINT) * 100 < CAST(a AS HUGEINT) * 80
+QUALIFY rank <= 2000
+"""
+
 ORACLE["op12_hard_negatives"] = r"""
 WITH vectors AS (
     SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
