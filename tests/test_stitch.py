@@ -187,11 +187,6 @@ def test_positions_and_previous_times(canonical):
             assert row.prev_event_time == before.effective_time
 
 
-def test_slice_may_not_exceed_timeout(canonical):
-    with pytest.raises(ValueError):
-        stitch.sliced_with_carry(canonical([{}]), "user_id", "event_id", timeout=30, slice_seconds=60)
-
-
 def test_stable_id_does_not_depend_on_the_range(canonical):
     rows = [{"event_time": at(0)}, {"event_time": at(120)}]
     whole = {r.stable_session_id for r in stitch.with_stable_id(stitch.batch_sessions(canonical(rows))).collect()}

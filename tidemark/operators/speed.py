@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.money import amount, as_double, as_double_sql, price_if
 from tidemark.functions.times import micros_between, plus_seconds, time_cell
+from tidemark.operators import scan
 from tidemark.operators.events import on_time_events, unknown_session_filled
-from tidemark.operators.stitch import SLICE_SECONDS, combined_measures, event_measures
+from tidemark.operators.stitch import combined_measures, event_measures
 from tidemark.schemas import EVENT_TYPES, SESSION_TIMEOUT_SECONDS, STATE_TTL_SECONDS
 
 
@@ -95,26 +96,21 @@ def cart_totals(events: DataFrame, key: str = "session_id", removal_types: tuple
 
     With removals the total after each event is max(0, total - price). In time
     order that equals S - min(0, smallest running sum), S being the signed sum.
-    Running sums are taken inside time slices and shifted by the slices before,
-    so no key is ever sorted in one task.
+    Running sums are taken inside ranges of (key, time, id) and shifted by the
+    ranges before, so no key is ever sorted in one task.
     """
     added = price_if("event_type = 'cart'")
     if not removal_types:
         return events.groupBy(key).agg(amount(as_double(F.sum(added))).alias("cart_total"))
     removes = ", ".join(f"'{kind}'" for kind in removal_types)
     signed = added - price_if(f"event_type IN ({removes})")
-    rows = events.select(
-        key, "effective_time", "event_id", signed.alias("signed"),
-        time_cell(F.col("effective_time"), SLICE_SECONDS).alias("slice"),
-    )
-    inside = Window.partitionBy(key, "slice").orderBy("effective_time", "event_id").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    slices = rows.withColumn("running", F.sum("signed").over(inside)).groupBy(key, "slice").agg(
+    rows = scan.ranged(events.select(key, "effective_time", "event_id", signed.alias("signed")), key, "effective_time", "event_id")
+    line = scan.inside(key, "effective_time", "event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranges = rows.withColumn("running", F.sum("signed").over(line)).groupBy(scan.PART, key).agg(
         F.sum("signed").alias("moved"), F.min("running").alias("lowest")
     )
-    before = Window.partitionBy(key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    shifted = slices.withColumn(
+    before = scan.across(key).rowsBetween(Window.unboundedPreceding, -1)
+    shifted = ranges.withColumn(
         "lowest", F.col("lowest") + F.coalesce(F.sum("moved").over(before), F.lit(0))
     )
     return shifted.groupBy(key).agg(

@@ -15,11 +15,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.money import as_double_sql, price_if
 from tidemark.functions.times import seconds_between, time_cell
+from tidemark.operators import scan
 from tidemark.schemas import INLINE_ID_LIMIT, SESSION_TIMEOUT_SECONDS
 
-# Width of the slices for operators that return every event: narrow enough to
-# spread one user's minute-by-minute traffic over many tasks.
-SLICE_SECONDS = 60
 # Ids in one row of the id chunks, about.
 CHUNK_IDS = 10_000
 
@@ -224,68 +222,67 @@ def with_stable_id(sessions: DataFrame) -> DataFrame:
 
 
 # --- operators that return every event ---------------------------------------
-def sliced_with_carry(events: DataFrame, key: str, tie: str, timeout: int, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+def scanned(events: DataFrame, key: str, tie: str, timeout: int) -> DataFrame:
     """Every event with the time before it, its session number and its place.
 
-    Events are sorted inside (key, slice); what must cross a slice border (the
-    last time, the running session number, the running count) is computed on
-    one row per slice and joined back. Both sides of that join are partitioned
-    by (key, slice), and the event side is the exchange the sort already made.
+    Events are sorted inside ranges of (key, time, id); the last time, the number of
+    sessions and the number of events of the ranges before come from a scan over
+    the ranges' edges (:mod:`tidemark.operators.scan`).
     """
-    if slice_seconds > timeout:
-        raise ValueError("a slice may not be wider than the timeout")
-    rows = events.withColumn("slice", time_cell(F.col("effective_time"), slice_seconds))
-    inside = Window.partitionBy(key, "slice").orderBy("effective_time", tie)
-    rows = rows.withColumns({
-        "before": F.lag("effective_time").over(inside),
-        "place": F.row_number().over(inside),
+    def opens(before: Column) -> Column:
+        return F.when(seconds_between(F.col("effective_time"), before) <= timeout, 0).otherwise(1)
+
+    line = scan.inside(key, "effective_time", tie)
+    rows = scan.ranged(events, key, "effective_time", tie).withColumns({
+        "before": F.lag("effective_time").over(line), "place": F.row_number().over(line),
     })
-    slices = events.groupBy(
-        key, time_cell(F.col("effective_time"), slice_seconds).alias("slice")
-    ).agg(
-        F.min("effective_time").alias("slice_first"),
-        F.max("effective_time").alias("slice_last"),
-        F.count(F.lit(1)).alias("slice_count"),
+    rows = rows.withColumn("later_opens", F.when(F.col("place") > 1, opens(F.col("before"))).otherwise(0))
+    rows = rows.withColumn("opened", F.sum("later_opens").over(line))
+    summary = rows.groupBy(scan.PART, key).agg(
+        F.min("effective_time").alias("effective_time"), F.max("effective_time").alias("last"),
+        F.count(F.lit(1)).alias("held"), F.sum("later_opens").alias("opened"),
     )
-    across = Window.partitionBy(key).orderBy("slice")
-    slices = slices.withColumn("slice_before", F.lag("slice_last").over(across))
-    gap = seconds_between(F.col("slice_first"), F.col("slice_before"))
-    slices = slices.withColumn("slice_opens", F.when(gap <= timeout, 0).otherwise(1)).select(
-        key, "slice", "slice_before", "slice_opens",
-        F.sum("slice_opens").over(across).alias("session_seq"),
-        (F.sum("slice_count").over(across) - F.col("slice_count")).alias("offset"),
+    over = scan.across(key)
+    chain = scan.edges(summary, key).withColumn("carry_time", F.lag("last").over(over))
+    chain = chain.withColumn("opened", F.col("opened") + opens(F.col("carry_time")))
+    carried = chain.select(
+        scan.PART, key, "carry_time", (F.sum("held").over(over) - F.col("held")).alias("carry_place"),
+        (F.sum("opened").over(over) - F.col("opened")).alias("carry_opened"),
     )
     first = F.col("place") == 1
-    return rows.join(slices, [key, "slice"]).withColumns({
-        "prev_event_time": F.when(first, F.col("slice_before")).otherwise(F.col("before")),
-        "is_session_start": F.when(first, F.col("slice_opens")).otherwise(F.lit(0)),
-        "position": F.col("offset") + F.col("place"),
-    }).drop("slice", "before", "place", "slice_before", "slice_opens", "offset")
+    known = scan.with_carry(rows, carried, key).withColumn("prev_event_time", F.when(first, F.col("carry_time")).otherwise(F.col("before")))
+    # The first event of a range opens a session by what the range before tells.
+    entry = F.when(seconds_between(F.first("effective_time").over(line), F.col("carry_time")) <= timeout, 0).otherwise(1)
+    return known.withColumns({
+        "is_session_start": F.when(first, opens(F.col("carry_time"))).otherwise(F.col("later_opens")),
+        "session_seq": F.coalesce("carry_opened", F.lit(0)) + entry + F.col("opened"),
+        "position": F.coalesce("carry_place", F.lit(0)) + F.col("place"),
+    }).drop(scan.PART, "before", "place", "later_opens", "opened", "carry_time", "carry_place", "carry_opened")
 
 
 def event_gaps(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) -> DataFrame:
     """Previous event of the same user and the whole seconds since it."""
-    rows = sliced_with_carry(events, "user_id", "event_id", timeout, min(SLICE_SECONDS, timeout))
+    rows = scanned(events, "user_id", "event_id", timeout)
     return rows.withColumn(
         "gap_seconds", seconds_between(F.col("effective_time"), F.col("prev_event_time"))
     ).drop("session_seq", "position", "is_session_start")
 
 
 def session_boundaries(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) -> DataFrame:
-    rows = sliced_with_carry(events, "user_id", "event_id", timeout, min(SLICE_SECONDS, timeout))
+    rows = scanned(events, "user_id", "event_id", timeout)
     return rows.drop("session_seq", "position")
 
 
 def sessionized_events(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) -> DataFrame:
     """Every event with ``user_session_seq`` and ``batch_session_id``."""
-    rows = sliced_with_carry(events, "user_id", "event_id", timeout, min(SLICE_SECONDS, timeout))
+    rows = scanned(events, "user_id", "event_id", timeout)
     rows = rows.withColumnRenamed("session_seq", "user_session_seq").drop("position")
     return rows.withColumn("batch_session_id", _session_id())
 
 
 def session_event_paths(events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) -> DataFrame:
     """Events numbered in time order inside their source session."""
-    rows = sliced_with_carry(events, "session_id", "event_id", timeout, min(SLICE_SECONDS, timeout))
+    rows = scanned(events, "session_id", "event_id", timeout)
     return rows.select("session_id", "position", "event_id", "event_type", "effective_time")
 
 
