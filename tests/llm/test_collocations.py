@@ -67,20 +67,28 @@ def test_equal_to_counting_all_phrases(spark, seed, least):
 
 
 def test_full_cells_only_cost_time(spark, monkeypatch):
-    monkeypatch.setattr(col, "frequent_pairs", lambda texts, least: np.full(col.CELLS // 8, 255, np.uint8))
+    monkeypatch.setattr(col, "frequent_cells", lambda texts, least, cells, pairs=None: np.full(cells // 8, 255, np.uint8))
     assert found(spark, texts(4), 3, first=7) == plain(texts(4), 3, first=7)
 
 
-def test_cells_of_many_tasks_add_up(spark):
-    rows = [("en", prose(i, 50, 40)) for i in range(40)]
+@pytest.mark.parametrize("part", [64, 1 << 16])
+def test_cells_of_many_tasks_add_up(spark, monkeypatch, part):
+    monkeypatch.setattr(col, "PART", part)
+    monkeypatch.setattr(col, "AT_ONCE", 100)
+    rows = [("en", prose(i, 50, 40)) for i in range(40)] + [("en", "w1 w2 " * 300)]
     texts_ = frame(spark, rows).repartition(8).select("lang", "text")
-    pairs = Counter(p for _, t in rows for p in zip(t.split(), t.split()[1:]))
+    grams = Counter(p for _, t in rows for n in (2, 3, 4) for p in zip(*[t.split()[k:] for k in range(n)]))
     for least in (3, 300):
-        bits = np.unpackbits(col.frequent_pairs(texts_, least)).astype(bool)
-        for (a, b), n in pairs.items():
-            hashes = np.array([col._hashes[a.encode()], col._hashes[b.encode()]], col.U)
-            cell, _ = col._cells("en", hashes)
-            assert bits[cell[0]] or n < least
+        pairs = spark.sparkContext.broadcast(col.frequent_cells(texts_, least, 1 << 16))
+        longer = col.frequent_cells(texts_, least, 1 << 16, pairs)
+        passed = 0
+        for gram, n in grams.items():
+            hashes = np.array([col._hashes[w.encode()] for w in (*gram, *["."] * 4)], col.U)
+            keys = col._phrases("en", hashes)[1][len(gram) - 2][:1]
+            ok = col._listed(pairs.value if len(gram) == 2 else longer, keys)[0]
+            assert ok or n < min(least, 255)
+            passed += ok
+        assert passed < len(grams) / 2
 
 
 def test_amounts_beyond_64_bits(spark, monkeypatch):

@@ -6,13 +6,15 @@ last words gives every shorter phrase that starts with the rest, so one ROLLUP o
 the window's columns yields the counts of all orders, down to the words of each
 language; shorter n-grams are never taken out of the texts.
 
-Windows that cannot matter are padded earlier. A phrase seen ``least`` times has
-only neighbours that are seen as often. A first pass counts pairs of neighbours in
-hashed cells, saturated at ``least``: a cell below it holds no such pair, and a
-window ends before one. A pair counts or doesn't wherever it stands, so a phrase keeps
-all its occurrences or none. The table of cells has a fixed size (2 MB of bits reach
-the driver and the tasks); where it fills up, fewer windows are shortened and
-results stay the same.
+Windows are padded from where they cannot matter. A phrase seen ``least`` times
+holds only phrases that are seen as often. A first pass counts pairs of neighbours in
+hashed cells, saturated at ``least``, a second one the longer phrases whose pairs
+passed: a cell below ``least`` holds no such phrase, and a window ends before one. A
+phrase's cell is the same wherever it stands, so it keeps all its occurrences or
+none. The number of cells follows the size of the texts up to ``MOST_CELLS`` (128 MB in
+a task that counts; one bit a cell, 8 MB, for the driver and the tasks that read).
+Where cells fill up beyond that, fewer windows are shortened: rows are shuffled that
+end up unused, results stay the same.
 
 Defined cases: null and blank texts have no words; a null language is ``und`` and
 meets a language of that name; repeated rows count each; all whole texts are read;
@@ -33,8 +35,10 @@ from tidemark.llm.common import in_slices, stored
 from tidemark.llm.shingles import _ODD, U, WordHashes, mixed
 
 LONGEST = 4
-#: Cells of neighbouring pairs, and cells in one row of their exchange.
-CELLS, PART = 1 << 24, 1 << 16
+#: Bytes of text a cell, bounds of the number of cells, and cells in one row of their exchange.
+CELL_BYTES, LEAST_CELLS, MOST_CELLS, PART = 16, 1 << 16, 1 << 26, 1 << 16
+#: So many counted at once stay below 16 bits.
+AT_ONCE = 60_000
 #: Rows of a batch taken together.
 TEXTS = 2000
 STOP = b"."
@@ -55,30 +59,58 @@ def _spoken(batch: pa.RecordBatch) -> Iterator[tuple[bytes, list[bytes], np.ndar
         yield lang, words, np.fromiter(map(_hashes.__getitem__, words), U, len(words))
 
 
-def _cells(lang: str, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Cell of each pair of neighbours, and whether both are words."""
-    word = hashes != U(_hashes[STOP])
-    own = U(_hashes[b"lang " + lang.encode()])
-    cells = mixed(hashes[:-1] * _ODD[0] + hashes[1:] * _ODD[1] + own) & U(CELLS - 1)
-    return cells.astype(np.int64), word[:-1] & word[1:]
+def _phrases(lang: str, hashes: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Which places hold words, and hashes of the phrases of 2, 3 and more words from each place on."""
+    n = len(hashes) - LONGEST + 1
+    key = hashes[:n] + U(_hashes[b"lang " + lang.encode()])
+    keys = []
+    for k in range(1, LONGEST):
+        key = mixed(key * _ODD[0] + hashes[k:n + k] * _ODD[1] + U(k))
+        keys.append(key)
+    return hashes != U(_hashes[STOP]), keys
 
 
-def _paired(least: int) -> Callable:
-    """Rows (part, at, counts) of a task: its cells, at most ``least`` each; ``at`` is empty where all cells are listed."""
+def _listed(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    cells = keys & U(8 * len(bits) - 1)
+    return (bits[cells >> U(3)] >> (U(7) - (cells & U(7))).astype(np.uint8) & 1).astype(bool)
+
+
+def _both(open_: np.ndarray) -> np.ndarray:
+    """Is a place open, and the one behind it?"""
+    return open_ & np.append(open_[1:], False)
+
+
+def _counted(least: int, cells: int, pairs) -> Callable:
+    """Rows (part, at, counts) of a task: its cells, at most ``least`` each; ``at`` is empty
+    where all cells are listed. Counts pairs, or with the bits of the frequent ``pairs`` what is longer."""
+    def added(counts: np.ndarray, keys: np.ndarray) -> None:
+        at = (keys & U(cells - 1)).astype(np.int64)
+        for i in range(0, len(at), AT_ONCE):
+            some = at[i:i + AT_ONCE]
+            np.add.at(counts, some, 1)
+            counts[some] = np.minimum(counts[some], least)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(CELLS, np.uint32)
+        counts = np.zeros(cells, np.uint16)
         for batch in batches:
             for lang, _, hashes in _spoken(batch):
-                cells, pairs = _cells(lang, hashes)
-                np.add.at(counts, cells[pairs], 1)
+                word, (first, *longer) = _phrases(lang, hashes)
+                open_ = _both(word)[:len(first)]
+                if pairs is None:
+                    added(counts, first[open_])
+                    continue
+                open_ &= _listed(pairs.value, first)
+                for keys in longer:
+                    open_ = _both(open_)
+                    added(counts, keys[open_])
         parts, at, held = [], [], []
-        for part, cells in enumerate(counts.reshape(-1, PART)):
-            found = np.flatnonzero(cells)
+        for part, some in enumerate(counts.reshape(-1, PART)):
+            found = np.flatnonzero(some)
             if len(found):
                 sparse = 3 * len(found) < PART
                 parts.append(part)
                 at.append(found.astype("<u2").tobytes() if sparse else b"")
-                held.append(np.minimum(cells[found] if sparse else cells, least).astype(np.uint8).tobytes())
+                held.append((some[found] if sparse else some).astype(np.uint8).tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(at, pa.binary()), pa.array(held, pa.binary())], ["part", "at", "counts"])
 
     return run
@@ -98,13 +130,18 @@ def _frequent_parts(least: int) -> Callable:
     return run
 
 
-def frequent_pairs(texts: DataFrame, least: int) -> np.ndarray:
-    """Bits of the cells in which some pair of neighbours may be seen ``least`` times."""
-    if least > 255:
-        least = 255  # cells are exchanged as bytes; a lower bar only shortens fewer windows
-    parts = texts.mapInArrow(in_slices(_paired(least), TEXTS), "part int, at binary, counts binary").repartition("part")
-    bits = np.zeros((CELLS // PART, PART // 8), np.uint8)
-    for row in parts.mapInArrow(_frequent_parts(least), "part int, bits binary").collect():  # CELLS bits in all
+def cells_for(size: int) -> int:
+    """Number of cells for ``size`` bytes of text, a power of two."""
+    return min(MOST_CELLS, max(LEAST_CELLS, 1 << (size // CELL_BYTES).bit_length()))
+
+
+def frequent_cells(texts: DataFrame, least: int, cells: int, pairs=None) -> np.ndarray:
+    """Bits of the cells in which some pair of neighbours may be seen ``least`` times;
+    with the broadcast bits of these ``pairs``, of the cells of longer phrases."""
+    least = min(least, 255)  # cells are exchanged as bytes; a lower bar only shortens fewer windows
+    counted = texts.mapInArrow(in_slices(_counted(least, cells, pairs), TEXTS), "part int, at binary, counts binary").repartition("part")
+    bits = np.zeros((cells // PART, PART // 8), np.uint8)
+    for row in counted.mapInArrow(_frequent_parts(least), "part int, bits binary").collect():  # a bit a cell in all
         bits[row["part"]] = np.frombuffer(row["bits"], np.uint8)
     return bits.reshape(-1)
 
@@ -112,21 +149,19 @@ def frequent_pairs(texts: DataFrame, least: int) -> np.ndarray:
 WORDS = [f"w{k}" for k in range(1, LONGEST + 1)]
 
 
-def _windows(bits) -> Callable:
+def _windows(pairs, longer) -> Callable:
     """Windows of a batch, equal ones as one row with their number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = bits.value
         for batch in batches:
             for lang, words, hashes in _spoken(batch):
-                cells, pairs = _cells(lang, hashes)
-                goes_on = pairs & (frequent[cells >> 3] >> (7 - (cells & 7)).astype(np.uint8) & 1).astype(bool)
-                n = len(words) - LONGEST
-                key, length, open_ = hashes[:n].copy(), np.ones(n, np.int64), np.ones(n, bool)
-                for k in range(1, LONGEST):
-                    open_ &= goes_on[k - 1:n + k - 1]
+                word, phrases = _phrases(lang, hashes)
+                n = len(phrases[0])
+                key, length, open_ = hashes[:n], np.ones(n, np.int64), word[:n]
+                for keys in phrases:
+                    open_ = _both(open_ if keys is not phrases[0] else word)[:n] & _listed((pairs if keys is phrases[0] else longer).value, keys)
                     length += open_
-                    key = np.where(open_, mixed(key * _ODD[0] + hashes[k:n + k] * _ODD[1] + U(k)), key)
-                leads = np.flatnonzero(hashes[:n] != U(_hashes[STOP]))
+                    key = np.where(open_, keys, key)
+                leads = np.flatnonzero(word[:n])
                 _, first, counts = np.unique(key[leads], return_index=True, return_counts=True)
                 first = leads[first]
                 named = np.array(words, object)
@@ -144,9 +179,12 @@ def phrase_counts(documents: DataFrame, least: int) -> DataFrame:
     """Rows (lang, size, phrase, f): every phrase of up to LONGEST words seen ``least``
     times, and with size 0 the number of words of each language."""
     texts = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    bits = documents.sparkSession.sparkContext.broadcast(frequent_pairs(texts, least))
+    shared = documents.sparkSession.sparkContext.broadcast
+    cells = cells_for(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    pairs = shared(frequent_cells(texts, least, cells))
+    longer = shared(frequent_cells(texts, least, cells, pairs))
     schema = "lang string, " + ", ".join(f"{w} string" for w in WORDS) + ", n long"
-    windows = texts.mapInArrow(in_slices(_windows(bits), TEXTS), schema)
+    windows = texts.mapInArrow(in_slices(_windows(pairs, longer), TEXTS), schema)
     longest = windows.groupBy("lang", *WORDS).agg(F.sum("n").alias("n"))
     sums = longest.rollup("lang", *WORDS).agg(F.sum("n").alias("f"), F.grouping_id().alias("rolled"))
     # Every column rolled up sets one more bit from the right.
