@@ -38,7 +38,7 @@ from tidemark.llm.common import stored
 ROWS = 8192
 ANCHORS = 1024
 SLICE = 256
-#: Row blocks that one copy of the anchors meets.
+#: Row blocks that one copy of the anchors meets, at most on average.
 GROUP = 16
 INNER = 1024
 EXACT = 1 << 24
@@ -192,7 +192,9 @@ def _met(residues: Residues, inner: int, kind: str, choose: Callable, limits: in
 def _compared(blocks: DataFrame, anchors: DataFrame, groups: int, run: Callable) -> DataFrame:
     """Every block of rows with every block of anchors, joined by a group of row blocks."""
     copies = anchors.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"), *[F.col(n).alias(f"a_{n}") for n in _NAMES])
-    met = blocks.withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int")).join(copies, "group")
+    grouped = blocks.withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
+    # The number of partitions is given: blocks are small, but a pair of them is much work.
+    met = grouped.repartition(groups, "group").join(copies.repartition(groups, "group"), "group")
     return met.drop("group").mapInArrow(run, FOUND)
 
 
@@ -214,7 +216,8 @@ def hard_negatives(rows: DataFrame, is_anchor: Column, positives: int = 5, negat
     residues = Residues(inner, max(bound, 1))
 
     blocks = stored(rows.select("number", "id", "label", "values").mapInArrow(_packed(ROWS, inner, kind, 0), BLOCK), "vector-blocks")
-    groups = -(-blocks.count() // GROUP)
+    held = blocks.count()
+    groups = max(-(-held // GROUP), min(held, rows.sparkSession.sparkContext.defaultParallelism))
     anchors = rows.where("anchor").select("number", "id", "label", "values")
     packed = anchors.mapInArrow(_packed(ANCHORS, inner, kind, 0), BLOCK)
 
