@@ -190,6 +190,16 @@ def _land_events(spark: SparkSession, sf_dir: str, path: str) -> None:
     sink.write_events(_by_arrival(raw_events(spark, sf_dir)), path)
 
 
+def _land_delayed(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """As a store looks after weeks: every 29th event came three days late (a replayed
+    dead letter), every 50th was delivered again a day later."""
+    rows, number = raw_events(spark, sf_dir), F.col("event_id").cast("bigint")
+    day = 86400
+    late = rows.withColumn("arrival_time", F.when(number % 29 == 0, plus_seconds(F.col("arrival_time"), F.lit(3 * day))).otherwise(F.col("arrival_time")))
+    again = late.where(number % 50 == 0).withColumn("arrival_time", plus_seconds(F.col("arrival_time"), F.lit(day)))
+    sink.write_events(_by_arrival(late.unionByName(again)), path)
+
+
 def _land_late(spark: SparkSession, sf_dir: str, path: str) -> None:
     sink.write_events(_by_arrival(ev.late_events(raw_events(spark, sf_dir))), path)
 
@@ -253,6 +263,7 @@ _WRITERS = {
     "wire": _land_wire,
     "letters": _land_letters,
     "events": _land_events,
+    "delayed": _land_delayed,
     "late-arrivals": _land_late,
     "lines": _land_lines,
     "columnar": _land_columnar,

@@ -394,6 +394,12 @@ SELECT event_id, CAST(bytes AS INT) AS bytes FROM sized WHERE bytes <= 315""",
     "union_all_events": f"WITH {RAW} SELECT event_id, is_late AS is_late_arrival, price FROM raw",
     # batch sessions
     "batch_sessions": f"WITH {EV}{stitched(1800)} SELECT * FROM batch",
+    "nightly_sessions": f"""WITH {EV}{stitched(HOUR6)}
+SELECT * EXCLUDE (batch_session_id), user_id || '_' || session_start AS batch_session_id FROM batch""",
+    "session_id_chunks": f"""WITH {EV}{stitched(7 * 86400)}
+SELECT batch_session_id, n AS n_ids, 1 AS chunks, n AS ids_held, ids FROM (
+  SELECT batch_session_id, COUNT(DISTINCT session_id) AS n, string_agg(DISTINCT session_id, ',' ORDER BY session_id) AS ids
+  FROM links GROUP BY batch_session_id)""",
     "batch_sessions_6h": f"WITH {EV}{stitched(HOUR6)} SELECT * FROM batch",
     "batch_session_facts": f"WITH {EV}{stitched(1800)} SELECT * EXCLUDE (original_session_ids) FROM batch",
     "session_links": f"WITH {EV}{stitched(HOUR6)} SELECT * FROM links",

@@ -14,6 +14,8 @@ from tidemark.operators import events as ev
 from tidemark.operators import health, quarantine, reconcile, report, speed, stitch
 from tidemark.session import scratch_path, stored
 from tidemark.sinks import files as sink
+from tidemark.plans import nightly
+from tidemark.plans.stitch import stored_days
 from tidemark.sources import files as source
 from tidemark.streaming import sessionizer, state_table, windows
 from tidemark.streaming.routing import start_routing
@@ -304,6 +306,26 @@ def batch_sessions(spark, sf_dir):
     return stitch.batch_sessions(inputs.shop_events(spark, sf_dir))
 
 
+@query
+def nightly_sessions(spark, sf_dir):
+    """The store of late and repeated deliveries, taken in eleven arrival days at a time."""
+    raw, out = inputs.landed(spark, sf_dir, "delayed"), scratch_path(spark, "nightly")
+    days = [d.isoformat() for d in stored_days(spark, raw)]
+    for i in range(0, len(days), 11):
+        state = nightly.run(spark, raw, out, days[i:i + 11], SIX_HOURS, outputs=False)
+    return stitch.sessions_of(nightly.session_rows(state))
+
+
+@query
+def session_id_chunks(spark, sf_dir):
+    """The ids of every session in bounded rows, small ones here."""
+    chunks = stitch.session_id_chunks(inputs.shop_events(spark, sf_dir), 7 * 86400, chunk_ids=3)
+    return chunks.groupBy("batch_session_id", "n_ids").agg(
+        F.count(F.lit(1)).alias("chunks"), F.sum(F.size("ids")).alias("ids_held"),
+        F.array_sort(F.flatten(F.collect_list("ids"))).alias("ids"),
+    ).withColumn("chunks", (F.col("chunks") <= F.ceil(F.col("n_ids") / 3)).cast("int"))
+
+
 @query
 def batch_sessions_6h(spark, sf_dir):
     return stitch.batch_sessions(inputs.shop_events(spark, sf_dir), SIX_HOURS)

@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.events import canonical_events, dedup_events, timed_events, valid_events
-from tidemark.operators.stitch import batch_session_facts, id_chunks_of, links_of, sessions_of, stitched_ids
+from tidemark.operators.stitch import id_chunks_of, links_of, sessions_of, stitched_ids
+from tidemark.plans import nightly
 from tidemark.schemas import SESSION_TIMEOUT_SECONDS
 from tidemark.session import scratch_path, spark_session
 from tidemark.sinks.files import write_links, write_parquet, write_sessions
-from tidemark.sources.files import days_around, raw_events, readable, stored_sessions
+from tidemark.sources.files import days_around, raw_events, readable
 
 
 def events_near(spark: SparkSession, raw_path: str, day: str, before_hours: int, after_hours: int) -> DataFrame:
@@ -43,60 +44,19 @@ def clean_events(rows: DataFrame) -> DataFrame:
     return dedup_events(timed_events(valid_events(canonical_events(rows))))
 
 
-def whole_session_events(spark: SparkSession, raw_path: str, day: str, timeout: int) -> DataFrame:
-    """Events of all sessions that reach into ``day``, each session as far as it
-    goes in the store. Hours next to the day are read for everyone; users whose
-    session may go on beyond them are read over four times the span, until none is left."""
-    days, d = stored_days(spark, raw_path), Date.fromisoformat(day)
-    before, after = 1, 2
-    midnight = F.lit(day).cast("date").cast("timestamp")
-    hours = lambda n: F.make_dt_interval(hours=F.lit(n))
-    pause = F.make_dt_interval(secs=F.lit(float(timeout)))
-    events = clean_events(events_near(spark, raw_path, day, before, after))
-    while days:
-        older = days[0] < d and before < 24 * (d - days[0]).days
-        newer = days[-1] > d and after < 24 * (days[-1] - d).days
-        facts = batch_session_facts(events, timeout).where(
-            (F.col("session_end") >= midnight) & (F.col("session_start") < midnight + hours(24)))
-        begun = (F.col("session_start") <= midnight - hours(before) + pause) & F.lit(older)
-        goes_on = (F.col("session_end") >= midnight + hours(24 + after) - pause) & F.lit(newer)
-        users = stored_rows(facts.where(begun | goes_on).select("user_id").distinct(), "open-users")
-        if users.isEmpty():
-            break
-        before, after = before * 4 if older else before, after * 4 if newer else after
-        wide = clean_events(events_near(spark, raw_path, day, before, after)).join(users, "user_id", "left_semi")
-        events = events.join(users, "user_id", "left_anti").unionByName(wide)
-    return events
-
-
 def stored_rows(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     write_parquet(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_day(events: DataFrame, output_path: str, day: str, timeout: int) -> DataFrame:
-    """Write the sessions of ``events`` that start on ``day``; returns the rows of all."""
+def write_day(events: DataFrame, output_path: str, day: str, timeout: int) -> None:
+    """Write the sessions of ``events`` that start on ``day``."""
     rows = stored_rows(stitched_ids(events, timeout), "stitched")
     stitched = rows.filter(F.col("session_date") == F.lit(day).cast("date"))
     write_sessions(sessions_of(stitched), output_path, day)
     write_links(links_of(stitched), f"{output_path.rstrip('/')}-links", day)
     write_links(id_chunks_of(stitched), f"{output_path.rstrip('/')}-ids", day)
-    return rows
-
-
-def outgrown_days(spark: SparkSession, rows: DataFrame, output_path: str, day: str) -> list[str]:
-    """Earlier days with an output that holds less of a session than has reached ``day`` by now."""
-    midnight = F.lit(day).cast("date").cast("timestamp")
-    whole = ["user_id", "session_start", "session_end", "event_count"]
-    reached = rows.where((F.col("session_end") >= midnight) & (F.col("session_start") < midnight)).select("session_date", *whole).distinct()
-    dates = {r["session_date"] for r in reached.select("session_date").distinct().collect()} & set(stored_days(spark, output_path))
-    behind = []
-    for date in sorted(dates):
-        known = stored_sessions(spark, output_path, date.isoformat()).select(*whole)
-        if not reached.where(F.col("session_date") == F.lit(date)).join(known, whole, "left_anti").isEmpty():
-            behind.append(date.isoformat())
-    return behind
 
 
 def run(
@@ -108,20 +68,17 @@ def run(
     before_hours: int | None = None,
     after_hours: int | None = None,
 ) -> None:
-    """Write the sessions that start on ``day``, each as far as it goes in the store.
-
-    A session of an earlier day that has gone on since that day was written is
-    completed there: such days are written anew. With hours given, just those are
-    read around the day and no other day is touched; with both at 0 the day is cut
-    out of time as it stands.
+    """Take in what arrived on ``day`` and in the first two hours behind it, and write
+    every output day that changes (:mod:`tidemark.plans.nightly`): an event that arrives
+    late joins the session it belongs to, however old that is. With hours given, just
+    those are read around the day and no other day is touched; with both at 0 the day
+    is cut out of time as it stands.
     """
     if before_hours is not None or after_hours is not None:
         near = events_near(spark, raw_path, day, 1 if before_hours is None else before_hours, 2 if after_hours is None else after_hours)
         write_day(clean_events(near), output_path, day, timeout)
         return
-    rows = write_day(whole_session_events(spark, raw_path, day, timeout), output_path, day, timeout)
-    for date in outgrown_days(spark, rows, output_path, day):
-        write_day(whole_session_events(spark, raw_path, date, timeout), output_path, date, timeout)
+    nightly.run(spark, raw_path, output_path, [day], timeout, after_hours=2)
 
 
 def main() -> None:
