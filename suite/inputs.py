@@ -212,6 +212,16 @@ def _land_columnar(spark: SparkSession, sf_dir: str, path: str) -> None:
     sink.columnar_text(raw_events(spark, sf_dir)).write.parquet(path)
 
 
+def _land_arrivals(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Five files, one after the other in order of arrival: as many micro-batches of a stream."""
+    rows = sink.raw_text(raw_events(spark, sf_dir))
+    at = F.unix_micros(F.col("arrival_time").cast("timestamp"))
+    low, high = rows.agg(F.min(at), F.max(at)).first()
+    step = (high - low) // 5 + 1
+    for i in range(5):
+        rows.where((at >= low + i * step) & (at < low + (i + 1) * step)).coalesce(1).write.mode("append").parquet(path)
+
+
 def _land_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
     shop_log(spark, sf_dir).write.option("header", True).csv(path)
 
@@ -268,6 +278,7 @@ _WRITERS = {
     "lines": _land_lines,
     "columnar": _land_columnar,
     "shop-csv": _land_csv,
+    "arrivals": _land_arrivals,
     "snapshot": _land_snapshot,
     "sessions": _land_sessions,
     "two-layouts": _land_two_layouts,

@@ -493,6 +493,7 @@ SELECT epoch_us(arrival_time) // 30000000 * 30000000 AS window_start, COUNT(*) F
 {alarm('rates', 'errors * 100.0 > records * 0.5', 5, 'records, errors, error_pct')}""",
     # streams
     "stream_session_state": f"WITH {EV}{live(1800)} SELECT * FROM speed",
+    "state_after_compaction": f"WITH {EV}{live(1800)} SELECT * FROM speed",
     "stream_closed_sessions": f"""WITH {EV}{live(1800)}
 SELECT session_id, session_start, last_event_time, event_count, cart_total, converted FROM segments
 QUALIFY segment < MAX(segment) OVER (PARTITION BY session_id)""",

@@ -603,6 +603,20 @@ def stream_session_state(spark, sf_dir):
     return rows.drop("status", "batch_id").withColumn("event_types_seen", F.array_sort("event_types_seen"))
 
 
+@query
+def state_after_compaction(spark, sf_dir):
+    """The state read from its base and the batches behind it, compacted every second batch."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    path = scratch_path(spark, "state")
+    rows = file_events(spark, inputs.landed(spark, sf_dir, "arrivals"), fmt="parquet", max_files=1)
+    events = ev.timed_events(ev.valid_events(ev.canonical_events(rows)))
+    _drained(state_table.start_upserts(
+        sessionizer.session_updates(events), path, scratch_path(spark, "state-cp"), available_now=True, compact_every=2))
+    rows = state_table.current_state(spark, path)
+    return rows.drop("status", "batch_id").withColumn("event_types_seen", F.array_sort("event_types_seen"))
+
+
 @query
 def stream_closed_sessions(spark, sf_dir):
     rows = state_table.closed_rows(_state_history(spark, sf_dir))

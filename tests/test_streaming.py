@@ -182,6 +182,41 @@ def test_compaction_keeps_the_latest(spark, tmp_path):
     assert [r.event_count for r in rows] == [3]
 
 
+def test_folded_state(spark, tmp_path, monkeypatch):
+    """After each batch the current state is that of the whole history, folded or not;
+    a folded batch run again, and a fold that is lost, change nothing."""
+    folder, path = str(tmp_path / "in"), str(tmp_path / "state")
+    rng = random.Random(4)
+    rows = [ev(i, m, session_id=f"s{rng.randrange(30)}") for i, m in enumerate(sorted(rng.choices(range(300), k=160)))]
+    for n in range(5):
+        write_batch(folder, n, rows[32 * n:32 * n + 32])
+    changes = sessionizer.session_updates(clean(file_events(spark, folder, max_files=1)))
+    finish(state_table.start_upserts(changes, path, str(tmp_path / "cp"), available_now=True))
+    history = state_table.state_changes(spark, path)
+    facts = lambda df: sorted((r.session_id, r.session_start, r.event_count) for r in df.collect())
+    want = facts(state_table.latest_state(history))
+    assert facts(state_table.current_state(spark, path)) == want
+    for last in (1, 3, None):
+        state_table.fold_changes(spark, path, last)
+        assert facts(state_table.current_state(spark, path)) == want
+    folded = state_table._base(spark, path).number
+    state_table.fold_changes(spark, path)
+    assert state_table._base(spark, path).number == folded
+    write = state_table.upsert_batch(path, compact_every=1)
+    again = history.where("batch_id = 1").drop("batch_id")
+    write(spark.createDataFrame(again.collect(), again.schema), 1)
+    assert facts(state_table.current_state(spark, path)) == want and state_table._base(spark, path).number == folded
+    with monkeypatch.context() as lost:
+        lost.setattr("tidemark.sinks.manifest.Change.commit", lambda self: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            write(history.where("session_id = 's1'").drop("batch_id"), 99)
+    one = state_table.session_state(spark, path, "s1")
+    assert facts(one) == [w for w in want if w[0] == "s1"]
+    paths = [f for f in one.inputFiles() if "/_base/" in f]
+    assert len({f.split("part=")[1].split("/")[0] for f in paths}) == 1
+
+
+
 @pytest.mark.parametrize("seconds, closed", [(1800, 0), (1801, 1)])
 def test_boundary(spark, tmp_path, seconds, closed):
     history = replay(spark, tmp_path, [[ev(1, 0)], [ev(2, seconds // 60, seconds % 60)]])

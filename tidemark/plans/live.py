@@ -20,7 +20,7 @@ from tidemark.streaming.counters import counted
 from tidemark.streaming.routing import start_routing
 from tidemark.streaming.sessionizer import session_updates
 from tidemark.streaming.source import file_lines
-from tidemark.streaming.state_table import latest_state, start_upserts, state_changes
+from tidemark.streaming.state_table import COMPACT_EVERY, current_state, start_upserts
 from tidemark.streaming.windows import dedup_stream
 
 
@@ -39,7 +39,7 @@ def start_dedup(lines: DataFrame, path: str, checkpoint: str, available_now: boo
 
 def start(
     spark: SparkSession, source: str, root: str, checkpoints: str,
-    max_files: int | None = None, available_now: bool = False,
+    max_files: int | None = None, available_now: bool = False, compact_every: int = COMPACT_EVERY,
 ) -> list[StreamingQuery]:
     """Three queries that fail and restart on their own.
 
@@ -56,7 +56,8 @@ def start(
         dedup.awaitTermination()
     events = spark.readStream.schema(CANONICAL_EVENT).parquet(once)
     state = start_upserts(
-        session_updates(events), f"{root}/session-state", f"{checkpoints}/state", available_now=available_now)
+        session_updates(events), f"{root}/session-state", f"{checkpoints}/state", available_now=available_now,
+        compact_every=compact_every)
     return [routing, dedup, state]
 
 
@@ -64,7 +65,7 @@ def export_snapshot(spark: SparkSession, root: str, day: str | None = None) -> N
     """Last state of the sessions that began on the day, as all-text snapshot.
     Without a day, each session goes to the day on which it began."""
     root = root.rstrip("/")
-    state = latest_state(state_changes(spark, f"{root}/session-state"))
+    state = current_state(spark, f"{root}/session-state")
     if day:
         state = state.filter(F.col("date_partition") == day)
     write_snapshot(state, f"{root}/realtime-sessions", day)

@@ -54,7 +54,9 @@ class RunStore:
         self.spark, self.base = spark, base.rstrip("/")
         found = _numbers(spark, self.base, "manifests")
         self.number = found[-1] if found else 0
-        self.tables: dict[str, dict[str, list[int]]] = _get(spark, self.base, "manifests", self.number)["tables"] if found else {}
+        content = _get(spark, self.base, "manifests", self.number) if found else {}
+        self.tables: dict[str, dict[str, list[int]]] = content.get("tables", {})
+        self.notes: dict = content.get("notes", {})
 
     def parts(self, table: str) -> list[str]:
         return sorted(self.tables.get(table, {}))
@@ -93,6 +95,7 @@ class Change:
         self.store, self.number = store, store.number + 1
         self.tables = {t: {p: list(runs) for p, runs in parts.items()} for t, parts in store.tables.items()}
         self.changed: dict[str, list[str]] = {}
+        self.notes = dict(store.notes)
 
     def _write(self, table: str, rows: DataFrame, part) -> list[str]:
         """Writes the rows by the text of column ``part``; returns the parts that exist now."""
@@ -121,5 +124,5 @@ class Change:
         self.changed[table] = written
 
     def commit(self) -> RunStore:
-        _put(self.store.spark, self.store.base, "manifests", self.number, {"tables": self.tables, "changed": self.changed})
+        _put(self.store.spark, self.store.base, "manifests", self.number, {"tables": self.tables, "changed": self.changed, "notes": self.notes})
         return RunStore(self.store.spark, self.store.base)
