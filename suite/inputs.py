@@ -193,10 +193,8 @@ def _land_events(spark: SparkSession, sf_dir: str, path: str) -> None:
 def _land_delayed(spark: SparkSession, sf_dir: str, path: str) -> None:
     """As a store looks after weeks: every 29th event came three days late (a replayed
     dead letter), every 50th was delivered again a day later."""
-    rows, number = raw_events(spark, sf_dir), F.col("event_id").cast("bigint")
-    day = 86400
-    late = rows.withColumn("arrival_time", F.when(number % 29 == 0, plus_seconds(F.col("arrival_time"), F.lit(3 * day))).otherwise(F.col("arrival_time")))
-    again = late.where(number % 50 == 0).withColumn("arrival_time", plus_seconds(F.col("arrival_time"), F.lit(day)))
+    late, number = slow_events(spark, sf_dir), F.col("event_id").cast("bigint")
+    again = late.where(number % 50 == 0).withColumn("arrival_time", plus_seconds(F.col("arrival_time"), F.lit(86400)))
     sink.write_events(_by_arrival(late.unionByName(again)), path)
 
 
@@ -212,14 +210,36 @@ def _land_columnar(spark: SparkSession, sf_dir: str, path: str) -> None:
     sink.columnar_text(raw_events(spark, sf_dir)).write.parquet(path)
 
 
-def _land_arrivals(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """Five files, one after the other in order of arrival: as many micro-batches of a stream."""
-    rows = sink.raw_text(raw_events(spark, sf_dir))
+def _in_steps(rows: DataFrame, path: str, files: int = 5) -> None:
+    """Files that hold equal spans of arrival time, written one after the other: as
+    many micro-batches of a stream."""
     at = F.unix_micros(F.col("arrival_time").cast("timestamp"))
     low, high = rows.agg(F.min(at), F.max(at)).first()
-    step = (high - low) // 5 + 1
-    for i in range(5):
-        rows.where((at >= low + i * step) & (at < low + (i + 1) * step)).coalesce(1).write.mode("append").parquet(path)
+    step = (high - low) // files + 1
+    for i in range(files):
+        part = rows.where((at >= low + i * step) & (at < low + (i + 1) * step))
+        sink.raw_text(part).coalesce(1).write.mode("append").parquet(path)
+
+
+def _land_arrivals(spark: SparkSession, sf_dir: str, path: str) -> None:
+    _in_steps(raw_events(spark, sf_dir), path)
+
+
+def _land_slow_arrivals(spark: SparkSession, sf_dir: str, path: str) -> None:
+    _in_steps(slow_events(spark, sf_dir), path)
+
+
+def slow_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows; every 29th came three days late (a replayed dead letter)."""
+    rows, slow = raw_events(spark, sf_dir), F.col("event_id").cast("bigint") % 29 == 0
+    late = plus_seconds(F.col("arrival_time"), F.lit(3 * 86400))
+    return rows.withColumn("arrival_time", F.when(slow, late).otherwise(F.col("arrival_time")))
+
+
+def large_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shop events of which every hundredth costs 10^16 and more, the others nothing."""
+    number = F.col("event_id").cast("bigint")
+    return shop_events(spark, sf_dir).withColumn("price", F.when(number % 100 == 0, (number % 3 + 1) * F.lit(1e16)).otherwise(0.0))
 
 
 def _land_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
@@ -279,6 +299,7 @@ _WRITERS = {
     "columnar": _land_columnar,
     "shop-csv": _land_csv,
     "arrivals": _land_arrivals,
+    "slow-arrivals": _land_slow_arrivals,
     "snapshot": _land_snapshot,
     "sessions": _land_sessions,
     "two-layouts": _land_two_layouts,

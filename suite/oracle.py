@@ -515,3 +515,57 @@ SELECT session_id, CAST({money('cart')} AS DOUBLE) AS cart_total, COUNT(*) AS ev
 }
 
 ORACLE: dict[str, str] = ALL
+
+
+def large(sql: str) -> str:
+    """The same question where every hundredth event costs 10^16 and more and the others nothing."""
+    return sql.replace("value AS price", "CASE WHEN event_id % 100 = 0 THEN (event_id % 3 + 1) * CAST(1e16 AS DOUBLE) ELSE 0.0 END AS price").replace("DECIMAL(18,", "DECIMAL(38,")
+
+
+ORACLE.update({
+    "large_amounts": large(ORACLE["batch_summary"]),
+    "large_restatements": large(ORACLE["restatement_breakdown"]),
+    "stored_audit": ORACLE["audit_totals_of_day"],
+    "stored_detail": ORACLE["restatement_breakdown"].replace("FROM deltas GROUP BY", f"FROM deltas WHERE batch_session_date = '{DAY}' GROUP BY"),
+    "stored_summary": ORACLE["restatement_stats"],
+    "stored_parquet": f"""WITH {EV}
+SELECT event_type, COUNT(*) AS rows, CAST(SUM(CAST(price AS DECIMAL(18,4))) AS DOUBLE) AS value, MAX(us) AS last FROM ev GROUP BY event_type""",
+    "columnar_store": f"""WITH {RAW}
+SELECT CAST(year(arrival_time) AS INT) AS year, CAST(month(arrival_time) AS INT) AS month, CAST(day(arrival_time) AS INT) AS day, event_type,
+       COUNT(*) AS rows, COUNT(*) FILTER (WHERE n % 3 = 0 OR price = 0) AS without_price, COUNT(*) FILTER (WHERE is_late) AS late,
+       COUNT(*) FILTER (WHERE CAST(product_id AS INT) % 7 <> 0) AS branded, CAST(SUM(delay) AS BIGINT) AS delay
+FROM raw GROUP BY 1, 2, 3, 4""",
+    "raw_events_table": f"""WITH {RAW}
+SELECT CAST(hour(arrival_time) AS INT) AS hour, event_type, COUNT(*) AS rows, COUNT(*) FILTER (WHERE is_late) AS late
+FROM raw WHERE strftime(arrival_time, '%Y-%m-%d') = '{DAY}' GROUP BY 1, 2""",
+    "raw_events_projected": f"""WITH {RAW}
+SELECT CAST(month(arrival_time) AS INT) AS month, CAST(day(arrival_time) AS INT) AS day, COUNT(*) AS rows, COUNT(*) AS by_path FROM raw GROUP BY 1, 2""",
+    "batch_sessions_table": ORACLE["batch_summary"],
+    "snapshot_table": ORACLE["speed_summary"],
+    "audit_table": f"""WITH {deltas(1800)}
+SELECT CAST(year(CAST(batch_session_date AS DATE)) AS INT) AS year, CAST(month(CAST(batch_session_date AS DATE)) AS INT) AS month,
+       CAST(day(CAST(batch_session_date AS DATE)) AS INT) AS day, restatement_type, COUNT(*) AS rows,
+       CAST(SUM(event_count_delta) AS BIGINT) AS events, COUNT(*) FILTER (WHERE conversion_flipped) AS flipped
+FROM deltas WHERE batch_session_date IS NOT NULL GROUP BY 1, 2, 3, 4""",
+    "unknown_sessions": f"""WITH {EV}
+SELECT CASE WHEN n % 127 > 0 THEN session_id ELSE 'unknown' END AS session_id, COUNT(*) AS rows FROM ev GROUP BY 1""",
+    "date_parts": f"""WITH {RAW}, parts AS (SELECT event_id, CASE WHEN n % 31 = 0 THEN 'no-date' ELSE strftime(arrival_time, '%Y-%m-%d') END AS text FROM raw)
+SELECT event_id, TRY_CAST(split_part(text, '-', 1) AS INT) AS year, TRY_CAST(split_part(text, '-', 2) AS INT) AS month,
+       TRY_CAST(split_part(text, '-', 3) AS INT) AS day FROM parts""",
+    "lenient_numbers": f"""WITH {RAW}
+SELECT event_id, CASE WHEN n % 7 = 0 OR n % 11 = 0 THEN 0.0::DOUBLE ELSE CAST(product_id AS DOUBLE) END AS number FROM raw""",
+    "nested_decimals": f"""WITH {RAW}, d AS (SELECT event_id, user_id, CAST(CAST(price AS DECIMAL(28,6)) AS VARCHAR) AS p FROM raw)
+SELECT event_id, p || ',-,-' AS listed, p AS by_type, p AS own, p AS inner, user_id FROM d""",
+    "stream_interval_trigger": f"""WITH {RAW}
+SELECT event_type, COUNT(*) AS rows, 1 AS batches FROM raw WHERE n % 97 <> 0 GROUP BY event_type""",
+    "stream_batch_counts": f"""WITH {EV}
+SELECT COUNT(*) AS processed, COUNT(*) FILTER (WHERE is_late) AS late_arrivals, CAST(0 AS BIGINT) AS errors FROM ev""",
+    "stream_behind_watermark": f"""WITH {RAW},
+slow AS (SELECT event_id, event_type, epoch_us(event_time) AS us, epoch_us(arrival_time) + CASE WHEN n % 29 = 0 THEN 259200000000 ELSE 0 END AS came FROM raw),
+span AS (SELECT MIN(came) AS low, (MAX(came) - MIN(came)) // 5 + 1 AS step FROM slow),
+batched AS (SELECT event_id, us, (came - low) // step AS batch FROM slow, span WHERE event_type IN ('view', 'cart', 'purchase')),
+tops AS (SELECT batch, MAX(us) AS top FROM batched GROUP BY batch),
+judged AS (SELECT event_id, us < (SELECT MAX(top) FROM tops t WHERE t.batch < b.batch) - 300000000 AS late FROM batched b)
+SELECT event_id, 'behind' AS side, CAST(1 AS BIGINT) AS rows FROM judged WHERE late
+UNION ALL SELECT '', 'in-time', COUNT(*) FROM judged WHERE late IS NOT TRUE""",
+})

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from suite import inputs
 from suite.inputs import SIX_HOURS
+from tidemark.functions.money import decimals_in, lenient_number
+from tidemark.functions.times import date_part, on_day
 from tidemark.operators import events as ev
 from tidemark.operators import health, quarantine, reconcile, report, speed, stitch
 from tidemark.session import scratch_path, stored
@@ -17,7 +19,9 @@ from tidemark.sinks import files as sink
 from tidemark.plans import nightly
 from tidemark.plans.stitch import stored_days
 from tidemark.sources import files as source
-from tidemark.streaming import sessionizer, state_table, windows
+from tidemark.sources import tables
+from tidemark.streaming import behind, sessionizer, state_table, windows
+from tidemark.streaming.counters import counted
 from tidemark.streaming.routing import start_routing
 from tidemark.streaming.source import file_events, file_lines
 
@@ -671,3 +675,182 @@ def stream_cart_counters(spark, sf_dir):
         available_now=True))
     rows = state_table.latest_rows(state_table.state_changes(spark, path), "session_id", ("batch_id",))
     return rows.select("session_id", "cart_total", "event_count")
+
+
+@query
+def stream_interval_trigger(spark, sf_dir):
+    """Routing on the five-second trigger, stopped when all lines are through."""
+    root = scratch_path(spark, "routed")
+    lines = file_lines(spark, inputs.landed(spark, sf_dir, "lines"))
+    stream = start_routing(lines, root, scratch_path(spark, "routed-cp"))
+    try:
+        stream.processAllAvailable()
+    finally:
+        stream.stop()
+    return source.readable(source.raw_events(spark, f"{root}/events")).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("batch_id").alias("batches")).withColumn("batches", (F.col("batches") > 0).cast("int"))
+
+
+@query
+def stream_batch_counts(spark, sf_dir):
+    """Counters that came with the progress of each micro-batch, added up."""
+    rows = file_events(spark, inputs.landed(spark, sf_dir, "arrivals"), fmt="parquet", max_files=1)
+    stream = counted(ev.canonical_events(rows)).writeStream.format("noop") \
+        .option("checkpointLocation", scratch_path(spark, "counts-cp")).trigger(availableNow=True).start()
+    _drained(stream)
+    seen = [p.observedMetrics["batch"].asDict() for p in stream.recentProgress if "batch" in p.observedMetrics]
+    totals = {k: sum(s[k] or 0 for s in seen) for k in ("processed", "late_arrivals", "errors")}
+    return spark.createDataFrame([tuple(totals.values())], "processed long, late_arrivals long, errors long")
+
+
+@query
+def stream_behind_watermark(spark, sf_dir):
+    """Rows that came too late for the stream, and how many were in time."""
+    root = scratch_path(spark, "split")
+    rows = file_events(spark, inputs.landed(spark, sf_dir, "slow-arrivals"), fmt="parquet", max_files=1)
+    _drained(behind.start_split(ev.timed_events(ev.canonical_events(rows)), root, scratch_path(spark, "split-cp"), available_now=True))
+    late = spark.read.parquet(f"{root}/behind").select("event_id", F.lit("behind").alias("side"), F.lit(1).cast("bigint").alias("rows"))
+    return late.unionByName(spark.read.parquet(f"{root}/in-time").groupBy(F.lit("in-time").alias("side")).agg(
+        F.lit("").alias("event_id"), F.count(F.lit(1)).alias("rows")))
+
+
+# --- written through a sink or job, and read back ---------------------------------------------
+@query
+def large_amounts(spark, sf_dir):
+    """Totals per day where single amounts have seventeen digits."""
+    return report.batch_summary(stitch.batch_sessions(inputs.large_events(spark, sf_dir)))
+
+
+@query
+def large_restatements(spark, sf_dir):
+    rows = inputs.large_events(spark, sf_dir)
+    links = stored(stitch.session_links(rows), "links")
+    state = stored(speed.speed_sessions(rows, with_user=False), "speed")
+    return reconcile.restatement_breakdown(reconcile.session_deltas(links, state, links))
+
+
+@query
+def stored_audit(spark, sf_dir):
+    """Totals asked of the stored simple audit of one day."""
+    base, day = scratch_path(spark, "sessions"), F.lit(REPORT_DAY).cast("date")
+    sink.write_audit(_audit(spark, sf_dir).where(F.col("batch_session_date") == day), base, REPORT_DAY)
+    return reconcile.audit_totals(spark.read.parquet(source.day_path(f"{base}-audit", REPORT_DAY)))
+
+
+@query
+def stored_detail(spark, sf_dir):
+    base, day = scratch_path(spark, "detail"), F.lit(REPORT_DAY).cast("date")
+    sink.write_restatement_detail(_deltas(spark, sf_dir).where(F.col("batch_session_date") == day), base, REPORT_DAY)
+    return reconcile.restatement_breakdown(spark.read.parquet(source.day_path(base, REPORT_DAY)))
+
+
+@query
+def stored_summary(spark, sf_dir):
+    base, stats = scratch_path(spark, "audit"), reconcile.restatement_stats(_deltas(spark, sf_dir))
+    sink.write_summary(stats, base, REPORT_DAY)
+    return spark.read.schema(stats.schema).json(source.day_path(f"{base}-summary", REPORT_DAY))
+
+
+@query
+def stored_parquet(spark, sf_dir):
+    path = scratch_path(spark, "parquet")
+    sink.write_parquet(inputs.shop_events(spark, sf_dir), path)
+    return spark.read.parquet(path).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("price").cast("decimal(18,4)")).cast("double").alias("value"), F.max("effective_time").alias("last"))
+
+
+@query
+def columnar_store(spark, sf_dir):
+    """Hour folders in columnar form, every required member filled."""
+    path = scratch_path(spark, "columnar")
+    sink.write_events(inputs.raw_events(spark, sf_dir).withColumn(
+        "price", F.when(F.col("event_id").cast("bigint") % 3 > 0, F.col("price"))), path, fmt="parquet")
+    return source.raw_events_parquet(spark, path).groupBy("year", "month", "day", "event_type").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("price") == 0).alias("without_price"), F.count_if("is_late_arrival").alias("late"),
+        F.count("brand").alias("branded"), F.sum("late_arrival_delay_seconds").alias("delay"))
+
+
+def _catalog(spark, root, name, **options):
+    database = f"shop_{root[-12:]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/database'")
+    tables.create_table(spark, name, root, database, **options)
+    return spark.table(f"{database}.{name}")
+
+
+@query
+def raw_events_table(spark, sf_dir):
+    """The event store asked through the catalog, one day by its partition columns."""
+    root = scratch_path(spark, "catalog")
+    sink.write_events(inputs.raw_events(spark, sf_dir), f"{root}/events")
+    rows = _catalog(spark, root, "raw_events").where(on_day(F.lit(REPORT_DAY)))
+    return rows.groupBy("hour", "event_type").agg(F.count(F.lit(1)).alias("rows"), F.count_if("is_late_arrival").alias("late"))
+
+
+@query
+def raw_events_projected(spark, sf_dir):
+    """The same store with its partitions named from a range, which has days the store lacks."""
+    root = scratch_path(spark, "catalog")
+    sink.write_events(inputs.raw_events(spark, sf_dir), f"{root}/events")
+    by_table = _catalog(spark, root, "raw_events", days=("2023-12-30", "2024-02-03")).groupBy("month", "day").agg(F.count(F.lit(1)).alias("rows"))
+    by_path = source.events_between(spark, f"{root}/events", "2023-12-30", "2024-02-03").groupBy("month", "day").agg(F.count(F.lit(1)).alias("by_path"))
+    return by_table.join(by_path, ["month", "day"], "full")
+
+
+@query
+def batch_sessions_table(spark, sf_dir):
+    root = scratch_path(spark, "catalog")
+    rows = ev.with_day_partitions(stitch.batch_sessions(inputs.shop_events(spark, sf_dir)), "session_start")
+    rows.hint("rebalance", "year", "month", "day").write.partitionBy("year", "month", "day").parquet(f"{root}/sessions")
+    return report.batch_summary(_catalog(spark, root, "batch_sessions"))
+
+
+@query
+def snapshot_table(spark, sf_dir):
+    root = scratch_path(spark, "catalog")
+    sink.write_snapshot(speed.speed_sessions(inputs.shop_events(spark, sf_dir)), f"{root}/realtime-sessions")
+    return report.speed_summary(report.realtime_sessions_view(_catalog(spark, root, "realtime_sessions_raw")))
+
+
+@query
+def audit_table(spark, sf_dir):
+    root = scratch_path(spark, "catalog")
+    rows = ev.with_day_partitions(_deltas(spark, sf_dir).where("batch_session_date IS NOT NULL"), "batch_session_date")
+    columns = [f.name for f in tables.RESTATEMENT_AUDIT.fields]
+    rows.select(*columns, "year", "month", "day").write.partitionBy("year", "month", "day").parquet(f"{root}/restatement-audit")
+    kept = _catalog(spark, root, "restatement_audit")
+    return kept.groupBy("year", "month", "day", "restatement_type").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("event_count_delta").alias("events"), F.count_if("conversion_flipped").alias("flipped"))
+
+
+# --- small operators -----------------------------------------------------------------------------
+@query
+def unknown_sessions(spark, sf_dir):
+    rows = inputs.shop_events(spark, sf_dir).withColumn("session_id", F.when(F.col("event_id").cast("bigint") % 127 > 0, F.col("session_id")))
+    return ev.unknown_session_filled(rows).groupBy("session_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def date_parts(spark, sf_dir):
+    """Year, month and day out of a text, some of which are none."""
+    text = F.when(F.col("event_id").cast("bigint") % 31 == 0, F.lit("no-date")).otherwise(F.date_format("arrival_time", "yyyy-MM-dd"))
+    return inputs.raw_events(spark, sf_dir).withColumn("text", text).select(
+        "event_id", *[date_part(F.col("text"), i).alias(name) for i, name in enumerate(("year", "month", "day"), 1)])
+
+
+@query
+def lenient_numbers(spark, sf_dir):
+    text = F.when(F.col("event_id").cast("bigint") % 7 == 0, F.lit("n/a")).when(F.col("event_id").cast("bigint") % 11 > 0, F.col("product_id"))
+    return inputs.raw_events(spark, sf_dir).select("event_id", lenient_number(text).alias("number"))
+
+
+@query
+def nested_decimals(spark, sf_dir):
+    """Every price in arrays, maps and structs as a decimal."""
+    price = F.col("price")
+    nested = inputs.raw_events(spark, sf_dir).select(
+        "event_id", F.array(price, F.lit(None), F.lit(float("nan"))).alias("listed"), F.create_map(F.col("event_type"), price).alias("by_type"),
+        F.struct(price.alias("own"), F.array(F.struct(price.alias("inner"), F.col("user_id"))).alias("parts")).alias("row"))
+    return decimals_in(nested).select(
+        "event_id", F.array_join(F.transform("listed", lambda x: x.cast("string")), ",", "-").alias("listed"),
+        F.map_values("by_type")[0].cast("string").alias("by_type"), F.col("row.own").cast("string").alias("own"),
+        F.col("row.parts")[0]["inner"].cast("string").alias("inner"), F.col("row.parts")[0]["user_id"].alias("user_id"))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.schemas import PRICE_TYPE
 
@@ -47,9 +48,46 @@ def amount(value: Column, digits: int = 2) -> Column:
     return F.round(value.cast("double"), digits)
 
 
+def exact_part(value: Column, digits: int) -> Column:
+    """An amount as a decimal with so many digits behind the point; null from 10^26 on,
+    where a sum of them might have no decimal form any more."""
+    return value.try_cast(f"decimal({26 + digits},{digits})")
+
+
+def beyond(value: Column, digits: int) -> Column:
+    """What :func:`exact_part` leaves out, as a double."""
+    return F.when(exact_part(value, digits).isNull(), value)
+
+
+def total_of(exact: Column, rest: Column) -> Column:
+    """Sum of both parts; null where there was nothing to add."""
+    return F.when(exact.isNotNull() | rest.isNotNull(), F.coalesce(exact.cast("double"), F.lit(0.0)) + F.coalesce(rest, F.lit(0.0)))
+
+
 def sum_of_doubles(value: Column) -> Column:
-    """Sum of two-digit amounts that does not depend on row order."""
-    return F.sum(value.cast("decimal(18,2)")).cast("double")
+    """Sum of two-digit amounts of any size. It does not depend on row order as long
+    as they are below 10^26; larger ones are added as doubles."""
+    return total_of(F.sum(exact_part(value, 2)), F.sum(beyond(value, 2)))
+
+
+def as_decimals(value: Column, kind: T.DataType, to: str = PRICE_TYPE) -> Column:
+    """``value`` with every double and float in it as decimal ``to``, whatever arrays, maps
+    and structs it lies in; numbers without such a form become null, all else stays."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(value), value).try_cast(to)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: as_decimals(x, kind.elementType, to))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(value, lambda _, x: as_decimals(x, kind.valueType, to))
+    if isinstance(kind, T.StructType):
+        fields = [as_decimals(value.getField(f.name), f.dataType, to).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    return value
+
+
+def decimals_in(df: DataFrame, to: str = PRICE_TYPE) -> DataFrame:
+    """All columns through :func:`as_decimals`."""
+    return df.select(*[as_decimals(df[f"`{f.name}`"], f.dataType, to).alias(f.name) for f in df.schema.fields])
 
 
 def percent(part: Column, whole: Column) -> Column:

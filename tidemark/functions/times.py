@@ -46,6 +46,17 @@ def partition_date(year: Column, month: Column, day: Column) -> Column:
     return F.make_date(year, month, day)
 
 
+def date_part(text: Column, place: int) -> Column:
+    """Part ``place`` (from 1) of a text such as 2024-10-15 as a number; null where it is none."""
+    return F.split_part(text, F.lit("-"), F.lit(place)).try_cast("int")
+
+
+def on_day(text: Column, year: str = "year", month: str = "month", day: str = "day") -> Column:
+    """Do the partition columns hold the day that ``text`` names? With a literal the
+    parts are folded before the scan, so partitions are still pruned."""
+    return (F.col(year) == date_part(text, 1)) & (F.col(month) == date_part(text, 2)) & (F.col(day) == date_part(text, 3))
+
+
 def duration_label(seconds: Column) -> Column:
     """252 -> ``4m 12s``; hours are not split off."""
     whole = F.floor(seconds)

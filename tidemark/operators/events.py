@@ -226,15 +226,28 @@ def unknown_session_filled(df: DataFrame) -> DataFrame:
     return df.withColumn("session_id", F.coalesce("session_id", F.lit(UNKNOWN_SESSION)))
 
 
+def id_hash() -> Column:
+    return F.xxhash64("event_id")
+
+
 def dedup_events(df: DataFrame) -> DataFrame:
     """One row per event id: the first delivery, whole ties broken by content.
 
-    The minimum is combined map-side, so an id delivered a billion times
-    reaches the shuffle once per task, and a retried task picks the same row.
+    Two passes. The first counts hashes of ids, eight bytes each, in a hash
+    aggregation. Rows whose hash came once are done: they are neither shuffled nor
+    sorted where the repeated hashes can be broadcast. Only the others are
+    compared, by their ids, so ids that share a hash stay apart. Their minimum
+    is combined map-side, so an id delivered a billion times reaches the shuffle once
+    per task, and a retried task picks the same row.
     """
+    own = id_hash()
+    counts = df.select(own.alias("id_hash")).groupBy("id_hash").agg(F.count(F.lit(1)).alias("copies"))
+    repeated = counts.where("copies > 1").select("id_hash")
+    alone = df.join(repeated, own == F.col("id_hash"), "left_anti")
+    again = df.join(repeated, own == F.col("id_hash"), "left_semi")
     first = ["arrival_time"] + [c for c in df.columns if c not in ("event_id", "arrival_time")]
-    kept = df.groupBy("event_id").agg(F.min(F.struct(*first)).alias("row"))
-    return kept.select("event_id", "row.*").select(*df.columns)
+    kept = again.groupBy("event_id").agg(F.min(F.struct(*first)).alias("row"))
+    return alone.unionByName(kept.select("event_id", "row.*").select(*df.columns))
 
 
 def union_all_events(on_time: DataFrame, late: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import amount, percent, percent_or_zero
+from tidemark.functions.money import amount, beyond, exact_part, percent, percent_or_zero, total_of
 from tidemark.functions.times import duration_label, partition_date
 from tidemark.schemas import BATCH_LATENCY_LABEL, SPEED_LATENCY_LABEL
 
@@ -40,15 +40,24 @@ def batch_sessions_view(sessions: DataFrame) -> DataFrame:
     )
 
 
-def _money(column: str) -> Column:
-    return F.sum(F.col(column).cast("decimal(18,4)"))
+# Digits behind the point that sums of stored amounts carry.
+DIGITS = 6
+
+
+def _money(column: str, name: str) -> list[Column]:
+    value = F.col(column)
+    return [F.sum(exact_part(value, DIGITS)).alias(name), F.sum(beyond(value, DIGITS)).alias(f"{name}_beyond")]
+
+
+def _money_total(name: str) -> Column:
+    return total_of(F.sum(name), F.sum(f"{name}_beyond"))
 
 
 def _per_session(rows: DataFrame, day: str, key: str, extra: list[Column]) -> DataFrame:
     return rows.groupBy(F.col(day).alias("date"), F.col(key).alias("id")).agg(
         F.max("converted").alias("converted"),
-        _money("cart_total").alias("cart"),
-        _money("conversion_value").alias("revenue"),
+        *_money("cart_total", "cart"),
+        *_money("conversion_value", "revenue"),
         F.sum("event_count").alias("events"),
         F.sum("duration_seconds").alias("duration"),
         F.count("duration_seconds").alias("durations"),
@@ -59,8 +68,8 @@ def _per_session(rows: DataFrame, day: str, key: str, extra: list[Column]) -> Da
 def _totals(prefix: str) -> list[Column]:
     return [
         F.count("id").alias(f"{prefix}total_sessions"),
-        F.sum("cart").cast("double").alias(f"{prefix}total_cart_value"),
-        F.sum("revenue").cast("double").alias(f"{prefix}total_revenue"),
+        _money_total("cart").alias(f"{prefix}total_cart_value"),
+        _money_total("revenue").alias(f"{prefix}total_revenue"),
         F.sum("events").alias(f"{prefix}total_events"),
         F.count_if(F.col("converted") & F.col("id").isNotNull()).alias(f"{prefix}converted_sessions"),
         (F.sum("duration").cast("double") / F.nullif(F.sum("durations"), F.lit(0)))

@@ -9,9 +9,9 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators.reconcile import restatement_breakdown, restatement_stats, session_deltas
+from tidemark.operators.reconcile import restatement_audit, restatement_breakdown, restatement_stats, session_deltas
 from tidemark.session import spark_session
-from tidemark.sinks.files import write_restatement_detail, write_summary
+from tidemark.sinks.files import write_audit, write_restatement_detail, write_summary
 from tidemark.sources.files import (
     day_path,
     snapshot_text,
@@ -24,7 +24,8 @@ from tidemark.sources.files import (
 def run(
     spark: SparkSession, batch_path: str, realtime_path: str, output_path: str, day: str, flip_first: bool = False
 ) -> DataFrame:
-    """Detail and summary are written; the breakdown by kind is returned.
+    """Simple audit (beside the sessions), detail and summary are written; the breakdown
+    by kind is returned.
 
     The summary reads the written detail, so the joins run once and a lost
     executor costs a read, not a recomputation.
@@ -32,6 +33,7 @@ def run(
     links = stored_links(spark, f"{batch_path.rstrip('/')}-links", day).drop("year", "month", "day")
     text = snapshot_text(spark, f"{realtime_path.rstrip('/')}/realtime-sessions", day)
     speed = speed_from_snapshot(snapshot_typed(text))
+    write_audit(restatement_audit(speed, links), batch_path, day)
     write_restatement_detail(session_deltas(links, speed, flip_first=flip_first), output_path, day)
     deltas = spark.read.parquet(day_path(output_path, day))
     write_summary(restatement_stats(deltas), output_path, day)

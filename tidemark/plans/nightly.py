@@ -33,7 +33,7 @@ SEEN = T.StructType([T.StructField("event_id", T.StringType())])
 
 
 def arrived_events(spark: SparkSession, raw_path: str, days: list[str], after_hours: int = 0) -> DataFrame:
-    """Clean events of the arrival days and of the first hours behind each."""
+    """Clean events of the arrival days and of the first hours behind each, repeats included."""
     folders = sorted({d for day in days for d in days_around(day, 0, after_hours)})
     rows = readable(raw_events(spark, raw_path, folders))
     hour = F.make_timestamp("year", "month", "day", "hour", F.lit(0), F.lit(0))
@@ -41,7 +41,7 @@ def arrived_events(spark: SparkSession, raw_path: str, days: list[str], after_ho
     for day in days:
         midnight = F.lit(day).cast("date").cast("timestamp")
         near |= (hour >= midnight) & (hour < midnight + F.make_dt_interval(hours=F.lit(24 + after_hours)))
-    return dedup_events(timed_events(valid_events(canonical_events(rows.where(near)))))
+    return timed_events(valid_events(canonical_events(rows.where(near))))
 
 
 def _texts(df: DataFrame) -> list[str]:
@@ -52,9 +52,9 @@ def _texts(df: DataFrame) -> list[str]:
 def take_in(spark: SparkSession, state: RunStore, events: DataFrame, timeout: int = SESSION_TIMEOUT_SECONDS) -> RunStore:
     """Adds the events that the state has not seen; returns the state after its commit."""
     day = iv.day_of(F.col("effective_time"))
-    came = stored(events.select("event_id", "user_id", "session_id", "event_type", "price", "is_late_arrival", "effective_time"), "came")
+    came = stored(events.select("event_id", "arrival_time", "user_id", "session_id", "event_type", "price", "is_late_arrival", "effective_time"), "came")
     seen = state.read("seen", SEEN, _texts(came.select(day)))
-    fresh = stored(came.join(seen, "event_id", "left_anti"), "fresh")
+    fresh = stored(dedup_events(came).join(seen, "event_id", "left_anti"), "fresh")
     if fresh.isEmpty():
         return state
     new, new_ids = iv.event_intervals(fresh, timeout)

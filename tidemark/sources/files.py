@@ -40,6 +40,21 @@ def days_glob(base: str, days: list[str]) -> str:
     return f"{base.rstrip('/')}/{{{','.join(parts)}}}"
 
 
+def days_from_to(first: str, last: str) -> list[str]:
+    begin, end = Date.fromisoformat(first), Date.fromisoformat(last)
+    return [(begin + timedelta(days=i)).isoformat() for i in range((end - begin).days + 1)]
+
+
+def events_between(spark: SparkSession, base: str, first: str, last: str) -> DataFrame:
+    """NDJSON events of a range of days whose paths follow from the range: each day's
+    folder is asked for by name, none is looked for; missing days are empty."""
+    system = spark._jvm.org.apache.hadoop.fs.Path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    there = [p for p in (day_path(base, d) for d in days_from_to(first, last)) if system.exists(spark._jvm.org.apache.hadoop.fs.Path(p))]
+    if not there:
+        return spark.createDataFrame([], T.StructType([*RAW_EVENT.fields, *[T.StructField(k, T.IntegerType()) for k in ("year", "month", "day", "hour")]]))
+    return readable(json_lines(spark, base, there, RAW_EVENT))
+
+
 def days_around(day: str, before_hours: int, after_hours: int) -> list[str]:
     """The day itself plus the days its look-back and look-ahead reach into."""
     d = Date.fromisoformat(day)
@@ -48,7 +63,7 @@ def days_around(day: str, before_hours: int, after_hours: int) -> list[str]:
     return [(first + timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
 
 
-def json_lines(spark: SparkSession, base: str, path: str, schema: T.StructType) -> DataFrame:
+def json_lines(spark: SparkSession, base: str, path: str | list[str], schema: T.StructType) -> DataFrame:
     """NDJSON with fixed fields, plus the partition columns of the folders.
 
     Lines that are no JSON keep their text in ``_corrupt_record``. The lines

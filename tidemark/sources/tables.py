@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from tidemark.schemas import BATCH_SESSION, RAW_EVENT, SPEED_SNAPSHOT
+from tidemark.sources.files import day_path, days_from_to
 
 RESTATEMENT_AUDIT = T.StructType([
     T.StructField("session_id", T.StringType()),
@@ -42,10 +43,13 @@ LAYOUTS = {
 ROUTED = ("raw_events", "late_arrivals")
 
 
-def create_table(spark: SparkSession, name: str, root: str, database: str = "default", batches: bool = False) -> None:
+def create_table(
+    spark: SparkSession, name: str, root: str, database: str = "default", batches: bool = False, days: tuple[str, str] | None = None,
+) -> None:
     """External table over a stored layout; its partitions are registered from
-    the folders, so that a query on them lists only what it reads. ``batches``
-    is for stores of the streaming and replay jobs, whose hours hold batches."""
+    the folders, so that a query on them lists only what it reads, or with a range of
+    ``days`` by name, without any listing. ``batches`` is for stores of the streaming
+    and replay jobs, whose hours hold batches."""
     fmt, columns, partitions, folder = LAYOUTS[name]
     if batches and name in ROUTED:
         partitions = (*partitions, ("batch_id", "BIGINT"))
@@ -57,6 +61,9 @@ def create_table(spark: SparkSession, name: str, root: str, database: str = "def
         f"PARTITIONED BY ({', '.join(key for key, _ in partitions)}) "
         f"LOCATION '{root.rstrip('/')}/{folder}'"
     )
+    if days is not None:
+        add_days(spark, name, root, *days, database)
+        return
     refresh_partitions(spark, name, database)
 
 
@@ -65,6 +72,24 @@ def refresh_partitions(spark: SparkSession, name: str, database: str = "default"
     spark.sql(f"REFRESH TABLE `{database}`.`{name}`")
 
 
+def add_days(spark: SparkSession, name: str, root: str, first: str, last: str, database: str = "default") -> None:
+    """Registers the day (or hour) partitions of a range by name: paths follow from the
+    range, so the store is not listed; days without a folder read as empty."""
+    _, _, partitions, folder = LAYOUTS[name]
+    hours = range(24) if partitions == _HOURS else (None,)
+    clauses = []
+    for day in days_from_to(first, last):
+        path = day_path(f"{root.rstrip('/')}/{folder}", day) if partitions != LAYOUTS["realtime_sessions_raw"][2] else f"{root.rstrip('/')}/{folder}/date_partition={day}"
+        year, month, number = (int(p) for p in day.split("-"))
+        for hour in hours:
+            spec = f"date_partition='{day}'" if partitions == LAYOUTS["realtime_sessions_raw"][2] else f"year={year}, month={month}, day={number}"
+            spec, place = (spec, path) if hour is None else (f"{spec}, hour={hour}", f"{path}/hour={hour:02d}")
+            clauses.append(f"PARTITION ({spec}) LOCATION '{place}'")
+    for i in range(0, len(clauses), 1000):
+        spark.sql(f"ALTER TABLE `{database}`.`{name}` ADD IF NOT EXISTS {' '.join(clauses[i:i + 1000])}")
+    spark.sql(f"REFRESH TABLE `{database}`.`{name}`")
+
+
 def create_tables(spark: SparkSession, root: str, database: str = "default", batches: bool = False) -> None:
     for name in LAYOUTS:
         create_table(spark, name, root, database, batches)
