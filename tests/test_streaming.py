@@ -203,13 +203,14 @@ def test_folded_state(spark, tmp_path, monkeypatch):
     state_table.fold_changes(spark, path)
     assert state_table._base(spark, path).number == folded
     write = state_table.upsert_batch(path, compact_every=1)
-    again = history.where("batch_id = 1").drop("batch_id")
-    write(spark.createDataFrame(again.collect(), again.schema), 1)
+    schema = history.drop("batch_id").schema
+    again, one = history.where("batch_id = 1").drop("batch_id").collect(), history.where("session_id = 's1'").drop("batch_id").collect()
+    write(spark.createDataFrame(again, schema), 1)
     assert facts(state_table.current_state(spark, path)) == want and state_table._base(spark, path).number == folded
     with monkeypatch.context() as lost:
         lost.setattr("tidemark.sinks.manifest.Change.commit", lambda self: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError):
-            write(history.where("session_id = 's1'").drop("batch_id"), 99)
+            write(spark.createDataFrame(one, schema), 99)
     one = state_table.session_state(spark, path, "s1")
     assert facts(one) == [w for w in want if w[0] == "s1"]
     paths = [f for f in one.inputFiles() if "/_base/" in f]
