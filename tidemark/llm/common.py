@@ -12,6 +12,9 @@ from tidemark.session import scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of an Arrow batch where each holds a text or a set.
+LONG_ROWS = 1000
 #: A word is a run of anything but the ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -21,19 +24,27 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     """``df`` written once to the shared scratch folder and read back.
 
     What is read is a plain file scan: its lineage is cut, lost executors cost
-    one task, and AQE can split its hot keys.
+    one task, and AQE can split its hot keys. ``batch_rows`` bounds the Arrow
+    batches of this one write, for rows that hold whole texts or sets; the session's
+    own setting is back before the call returns.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_BATCH)
+    try:
+        if batch_rows:
+            spark.conf.set(_BATCH, str(batch_rows))
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def in_slices(function: Callable, rows: int = 1000) -> Callable:
+def in_slices(function: Callable, rows: int = LONG_ROWS) -> Callable:
     """``function`` over Arrow batches of at most ``rows`` rows each: texts are long,
     and what a task derives from one batch has to stay small. The session's own
     batch size is left alone."""

@@ -12,7 +12,7 @@ def _print(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, batch_rows: int | None = None) -> DataFrame:
     """Rows (node, root) for every node of ``edges`` (columns a, b, any order):
     ``root`` is the smallest node that can be reached.
 
@@ -20,9 +20,10 @@ def components(edges: DataFrame) -> DataFrame:
     then its smaller ones (small star); the number of rounds grows with the
     logarithm of the longest path. Both sides of a join are stored first, so AQE
     can split the neighbours of a hub. Loops and repeated edges are harmless.
+    ``batch_rows`` is for edges that are made out of long rows.
     """
     ordered = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where(F.col("a") != F.col("b")).distinct()
-    now = stored(ordered, "star")
+    now = stored(ordered, "star", batch_rows)
     before = _print(now)
     if not before[0]:
         return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import in_slices, stored
+from tidemark.llm.common import LONG_ROWS, in_slices, stored
 from tidemark.llm.graph import components
 from tidemark.llm.shingles import U, mixed, shingle_set
 
@@ -435,11 +435,11 @@ def linked_classes(documents: DataFrame, size: int, percent: int) -> tuple[DataF
     with links; two sets have one root if a chain of links joins them."""
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
-    profiles = stored(docs.mapInArrow(in_slices(_profiles(size)), "doc_id long, text_key long, n_shingles long, node binary, short long, part int, counts binary"), "shingle-profiles")
+    profiles = stored(docs.mapInArrow(in_slices(_profiles(size)), "doc_id long, text_key long, n_shingles long, node binary, short long, part int, counts binary"), "shingle-profiles", LONG_ROWS)
     rows = profiles.where("part IS NULL").select("doc_id", "text_key", "n_shingles", "node", "short")
     copies = stored(rows.where("node IS NOT NULL").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("held"), F.max("short").alias("short")), "shingle-classes")
 
-    groups = stored(components(candidate_links(docs, frequent_cells(profiles), size, percent)), "candidates")
+    groups = stored(components(candidate_links(docs, frequent_cells(profiles), size, percent), LONG_ROWS), "candidates")
     possible = spark.sparkContext.broadcast(_possible(groups))
     sets = docs.select("text").mapInArrow(in_slices(_candidate_sets(size, possible)), "node binary, shingles binary").dropDuplicates(["node"])
     known = copies.join(groups.withColumnRenamed("node", "short"), "short").drop("short")
@@ -449,7 +449,7 @@ def linked_classes(documents: DataFrame, size: int, percent: int) -> tuple[DataF
         "group", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "whole", "block", "node", "copies", "shingles",
     )
     ordered = pairs.repartition("group", "bi", "bj").sortWithinPartitions("group", "bi", "bj")
-    found = stored(ordered.mapInArrow(in_slices(_verified(percent)), "whole boolean, node binary, root binary, links long"), "verified")
+    found = stored(ordered.mapInArrow(in_slices(_verified(percent)), "whole boolean, node binary, root binary, links long"), "verified", LONG_ROWS)
     parts = components(found.where("NOT whole").select(F.col("node").alias("a"), F.col("root").alias("b")))
     linked = found.groupBy("node").agg(F.sum("links").alias("links"), F.min(F.when(F.col("whole"), F.col("root"))).alias("one"))
     joined = linked.join(parts.withColumnRenamed("root", "far"), "node", "left")

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import in_slices
+from tidemark.llm.common import LONG_ROWS, in_slices, stored
 
 HELD_OUT = 2
 FOLDS = 4
@@ -418,8 +418,9 @@ def fitted(documents: DataFrame, labels: DataFrame, settings: Settings = Setting
     return model
 
 
-def scored(documents: DataFrame, model: Model) -> DataFrame:
-    """Rows (row, score): the input's row as one struct, so that no name can clash, and its text's score."""
+def scored(documents: DataFrame, model: Model, keep: list[Column] | None = None) -> DataFrame:
+    """Rows (row, score): what to ``keep`` of the input's row (all) as one struct, so that
+    no name can clash, and its text's score."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -427,7 +428,7 @@ def scored(documents: DataFrame, model: Model) -> DataFrame:
             scores = shared.value.scores(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["row", "score"])
 
-    rows = documents.select(F.struct(*documents.columns).alias("row"), "text")
+    rows = documents.select(F.struct(*(keep or documents.columns)).alias("row"), "text")
     return rows.mapInArrow(in_slices(run), T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())]))
 
 
@@ -439,5 +440,11 @@ def judged(documents: DataFrame, labels: DataFrame, settings: Settings = Setting
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Rows whose text is not predicted toxic, all columns as they came."""
-    return scored(documents, fitted(documents, labels, settings)).where(F.col("score") < THRESHOLD).select("row.*")
+    """Rows whose text is not predicted toxic, all columns as they came. A score depends
+    on the text alone, so only two hashes of each toxic text come back from Python."""
+    model = fitted(documents, labels, settings)
+    keys = [F.xxhash64("text").alias("first_key"), F.xxhash64(F.lit(1), "text").alias("second_key")]
+    texts = scored(documents.select("text"), model, [*keys]).where(F.col("score") >= THRESHOLD)
+    toxic = stored(texts.select("row.first_key", "row.second_key").distinct(), "toxic-texts", LONG_ROWS)
+    rows = documents.select(F.struct(*documents.columns).alias("row"), *keys)
+    return rows.join(toxic, ["first_key", "second_key"], "left_anti").select("row.*")
