@@ -106,3 +106,20 @@ def test_unfit_vocabularies_are_refused():
         tc.Counter([("a", -0.5)])
     with pytest.raises(ValueError):
         tc.Counter([("a▁b", -1.0)])
+
+
+def test_word_ids_are_the_tokenizers(ids):
+    import random
+
+    rng, words = random.Random(8), tr.WordIds(WORDS, 2)
+    alphabet = [*" \n'.,!-_<|>09aBZzéÉßøÿ×½ª́\t\x1c\x85 ", "'s", "'LL", "don't", "<|endoftext|>", "中", "word", "İ", "ﬁ", "</w>", "%%%", "가"]
+    texts = ["".join(rng.choices(alphabet, k=rng.randrange(16))) for _ in range(5000)]
+    for text, got in zip(texts, words.encode_all(texts)):
+        assert np.frombuffer(got, "<u2").tolist() == ids(text)[:-1], text
+
+
+def test_large_ids_beside_missing_ones(spark):
+    big = 2**53 + 1
+    docs = frame(spark, [(big, "a b"), (None, "c"), (big + 2, "d")]).coalesce(1)
+    assert {r.doc_id for r in tr.record_digests(docs, WORDS, 1).collect()} == {big, None, big + 2}
+    assert {r.doc_id for r in tc.token_counts(docs, PIECES).collect()} == {big, None, big + 2}

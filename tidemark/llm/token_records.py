@@ -19,18 +19,20 @@ fit raises an error.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import LONG_ROWS, in_slices, stored
 from tidemark.session import scratch_path
 
 MASK_DELTA = 0xA282EAD8
@@ -38,7 +40,9 @@ CRC32C_POLYNOMIAL = 0x82F63B78
 ROW = 64
 #: Words remembered per worker; with their ids they take about 140 MB at most.
 CACHED_WORDS = 700_000
+CACHED_PIECES = 400_000
 TEXTS = 1000
+JOINED = 2000
 READ_BYTES = 8 << 20
 
 
@@ -114,15 +118,25 @@ class WordIds(dict):
     """Blank-separated word to its ids as bytes, filled on demand.
 
     The tokenizer drops blanks and never looks across them, so a text's ids are
-    its words' ids end to end.
+    its words' ids end to end. It also cuts words into pieces before it merges
+    anything (letters, single digits, marks), so a word of plain Latin letters, digits
+    and marks has its pieces' ids; unknown pieces, far fewer than unknown words, go
+    to the tokenizer in one text, where each ends with a token that ends a word.
     """
 
+    _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+    _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^a-zà-öø-ÿß0-9]+")
+
     def __init__(self, path: str, width: int) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = "<u2" if width == 2 else "<u4"
+        self.width = width
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self.met = np.zeros(1 << 23, bool)
+        self.pieces: dict[str, bytes] = {}
         self[""] = b""
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
@@ -130,18 +144,13 @@ class WordIds(dict):
         return [ids for i in range(0, len(texts), TEXTS) for ids in self._encode_some(texts[i:i + TEXTS])]
 
     def _encode_some(self, texts: list[str]) -> list[bytes]:
-        """Unknown words of all texts go to the tokenizer in one call. A word stays
-        remembered from its second appearance on: most words appear only once,
-        and would push out the others."""
+        """Unknown words of all texts at once. A word stays remembered from its second
+        appearance on: most words appear only once, and would push out the others."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
         missing = list(set().union(*split).difference(self))
         once = []
         if missing:
-            done = self.tokenizer.encode(missing, is_pretokenized=True, add_special_tokens=False)
-            ids = np.asarray(done.ids, self.kind).tobytes()
-            width = np.dtype(self.kind).itemsize
-            ends = (np.searchsorted(np.asarray(done.word_ids, np.int64), np.arange(1, len(missing) + 1)) * width).tolist()
-            self.update(zip(missing, [ids[a:b] for a, b in zip([0, *ends], ends)]))
+            self._learn(missing)
             met = np.fromiter(map(hash, missing), np.int64, len(missing)) & (len(self.met) - 1)
             once = [missing[i] for i in np.flatnonzero(~self.met[met]).tolist()]
             self.met[met] = True
@@ -154,6 +163,34 @@ class WordIds(dict):
             self.met[:] = False
         return out
 
+    def _learn(self, missing: list[str]) -> None:
+        plain, piece = self._PLAIN.fullmatch, self._PIECE.findall
+        simple = [w for w in missing if plain(w) and "<|" not in w]
+        cut = [piece(w.lower()) for w in simple]
+        unknown = list(set().union(*cut).difference(self.pieces))
+        if len(self.pieces) + len(unknown) > CACHED_PIECES:
+            self.pieces.clear()
+            unknown = list(set().union(*cut))
+        odd = set(missing).difference(simple)
+        for i in range(0, len(unknown), JOINED):
+            some = unknown[i:i + JOINED]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.kind)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(some):
+                raise ValueError("the tokenizer cuts plain words otherwise than into letters, digits and marks")
+            self._keep(self.pieces, some, ids.tobytes(), ends)
+        known = self.pieces.__getitem__
+        self.update(zip(simple, [known(c[0]) if len(c) == 1 else b"".join(map(known, c)) for c in cut]))
+        if odd:
+            words = list(odd)
+            done = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+            ends = np.searchsorted(np.asarray(done.word_ids, np.int64), np.arange(1, len(words) + 1))
+            self._keep(self, words, np.asarray(done.ids, self.kind).tobytes(), ends)
+
+    def _keep(self, where: dict, words: list[str], ids: bytes, ends: np.ndarray) -> None:
+        bounds = (ends * self.width).tolist()
+        where.update(zip(words, [ids[a:b] for a, b in zip([0, *bounds], bounds)]))
+
 
 _encoders: dict[tuple[str, int], WordIds] = {}
 
@@ -185,7 +222,7 @@ INDEX = T.StructType([
 
 
 def _writer(folder: str, tokenizer_path: str, width: int, end_id: int) -> Callable:
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, crc32c = encoder(tokenizer_path, width), Crc32c()
         end = end_id.to_bytes(width, "little")
         context = TaskContext.get()
@@ -193,26 +230,25 @@ def _writer(folder: str, tokenizer_path: str, width: int, end_id: int) -> Callab
         out, offset, record = None, 0, 0
         try:
             for batch in batches:
-                if not len(batch):
-                    continue
                 if out is None:
                     system, root = opened(folder)
                     system.create_dir(root, recursive=True)
                     out = system.open_output_stream(f"{root}/{name}")
-                payloads = [p + end for p in ids_of.encode_all(batch["text"].tolist())]
-                sizes = np.fromiter(map(len, payloads), np.int64, len(payloads))
+                payloads = [p + end for p in ids_of.encode_all(batch.column(1).to_pylist())]
+                n = len(payloads)
+                sizes = np.fromiter(map(len, payloads), np.int64, n)
                 heads = sizes.astype("<u8")
-                head_sums = masked(crc32c(heads.view(np.uint8), np.full(len(sizes), 8)))
+                head_sums = masked(crc32c(heads.view(np.uint8), np.full(n, 8)))
                 sums = masked(crc32c(np.frombuffer(b"".join(payloads), np.uint8), sizes))
                 for size, head_sum, payload, check in zip(sizes.tolist(), head_sums.tolist(), payloads, sums.tolist()):
                     out.write(struct.pack("<QI", size, head_sum) + payload + struct.pack("<I", check))
                 starts = offset + np.cumsum(sizes + 16) - (sizes + 16)
-                yield pd.DataFrame({
-                    "doc_id": batch["doc_id"].astype("Int64"), "shard": context.partitionId(), "file": name, "record": record + np.arange(len(sizes)),
-                    "offset": starts, "n_tokens": sizes // width, "width": width,
-                })
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0), pa.array(np.full(n, context.partitionId(), np.int32)), pa.array([name] * n, pa.string()),
+                    pa.array(record + np.arange(n)), pa.array(starts), pa.array(sizes // width), pa.array(np.full(n, width, np.int32)),
+                ], INDEX.names)
                 offset += int((sizes + 16).sum())
-                record += len(sizes)
+                record += n
         finally:
             if out is not None:
                 out.close()
@@ -224,18 +260,18 @@ def write_records(documents: DataFrame, tokenizer_path: str, end_id: int) -> tup
     """Encodes and writes all texts; returns the folder and the stored index."""
     folder = scratch_path(documents.sparkSession, "records")
     width = id_width(tokenizer_path, end_id)
-    rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ordered = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    return folder, stored(ordered.mapInPandas(_writer(folder, tokenizer_path, width, end_id), INDEX), "records-index")
+    return folder, stored(ordered.mapInArrow(in_slices(_writer(folder, tokenizer_path, width, end_id)), INDEX), "records-index", LONG_ROWS)
 
 
-def with_starts(index: DataFrame) -> DataFrame:
-    """Adds ``start``, the number of ids before each record in file order. Only
-    one sum per file meets in a single task."""
-    sums = index.groupBy("shard").agg(F.sum("n_tokens").alias("held"))
+def with_starts(records: DataFrame, held: str = "n_tokens") -> DataFrame:
+    """Adds ``start``, the number of ids before each record in file order, summed over
+    column ``held``. Only one sum per file meets in a single task."""
+    sums = records.groupBy("shard").agg(F.sum(held).alias("held"))
     before = sums.select("shard", (F.sum("held").over(Window.orderBy("shard")) - F.col("held")).alias("before"))
-    inside = F.sum("n_tokens").over(Window.partitionBy("shard").orderBy("record")) - F.col("n_tokens")
-    return index.withColumn("inside", inside).join(before, "shard").withColumn("start", F.col("before") + F.col("inside")).drop("before", "inside")
+    inside = F.sum(held).over(Window.partitionBy("shard").orderBy("record")) - F.col(held)
+    return records.withColumn("inside", inside).join(before, "shard").withColumn("start", F.col("before") + F.col("inside")).drop("before", "inside")
 
 
 def checked_payloads(raw: bytes, crc32c: Crc32c) -> list[bytes]:
@@ -258,51 +294,48 @@ def checked_payloads(raw: bytes, crc32c: Crc32c) -> list[bytes]:
     return found
 
 
-def _runs(batch: pd.DataFrame) -> Iterator[tuple[int, int]]:
+def _runs(name: list[str], offset: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int]]:
     """Index ranges of rows whose records lie end to end, READ_BYTES at most or one record."""
-    size = (batch["n_tokens"] * batch["width"] + 16).to_numpy()
-    offset, name = batch["offset"].to_numpy(), batch["file"].to_numpy()
     begin, held = 0, 0
-    for i in range(len(batch)):
+    for i in range(len(name)):
         if i > begin and (name[i] != name[i - 1] or offset[i] != offset[i - 1] + size[i - 1] or held + size[i] > READ_BYTES):
             yield begin, i
             begin, held = i, 0
         held += size[i]
-    if len(batch):
-        yield begin, len(batch)
+    if name:
+        yield begin, len(name)
 
 
 def read_records(folder: str, index: DataFrame, columns: list[str], derive: Callable, fields: list[T.StructField]) -> DataFrame:
     """Reads the records of ``index`` in its order. Rows have the index's
     ``columns`` and what ``derive(ids)`` returns for ``fields``."""
     schema = T.StructType([index.schema[c] for c in columns] + fields)
-    names = [f.name for f in fields]
+    kinds = [to_arrow_type(f.dataType) for f in fields]
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crc32c, files = Crc32c(), {}
         system, root = opened(folder)
         try:
             for batch in batches:
+                name, width = batch.column("file").to_pylist(), batch.column("width").to_numpy()
+                offset = batch.column("offset").to_numpy()
+                size = batch.column("n_tokens").to_numpy() * width + 16
                 rows = []
-                for begin, end in _runs(batch):
-                    first, last = batch.iloc[begin], batch.iloc[end - 1]
-                    if first["file"] not in files:
+                for begin, end in _runs(name, offset, size):
+                    if name[begin] not in files:
                         for f in files.values():
                             f.close()
-                        files = {first["file"]: system.open_input_file(f"{root}/{first['file']}")}
-                    length = int(last["offset"] + last["n_tokens"] * last["width"] + 16 - first["offset"])
-                    raw = files[first["file"]].read_at(length, int(first["offset"]))
-                    kind = f"<u{int(first['width'])}"
-                    rows += [derive(np.frombuffer(p, kind)) for p in checked_payloads(raw, crc32c)]
-                out = batch[columns].reset_index(drop=True)
-                out[names] = pd.DataFrame(rows, columns=names, index=out.index)
-                yield out
+                        files = {name[begin]: system.open_input_file(f"{root}/{name[begin]}")}
+                    raw = files[name[begin]].read_at(int(offset[end - 1] + size[end - 1] - offset[begin]), int(offset[begin]))
+                    rows += [derive(np.frombuffer(p, f"<u{int(width[begin])}")) for p in checked_payloads(raw, crc32c)]
+                found = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], *found], schema.names)
         finally:
             for f in files.values():
                 f.close()
 
     needed = list(dict.fromkeys([*columns, "file", "offset", "n_tokens", "width"]))
-    return index.select(*needed).mapInPandas(read, schema)
+    return index.select(*needed).mapInArrow(read, schema)
 
 
 def _digest(ids: np.ndarray) -> tuple[int, int]:
@@ -314,5 +347,5 @@ def record_digests(documents: DataFrame, tokenizer_path: str, end_id: int) -> Da
     the stream, its number of ids and their CRC-32."""
     folder, index = write_records(documents, tokenizer_path, end_id)
     fields = [T.StructField("read_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())]
-    read = read_records(folder, with_starts(index), ["doc_id", "start"], _digest, fields)
-    return read.withColumnRenamed("read_tokens", "n_tokens")
+    read = stored(read_records(folder, index, ["doc_id", "shard", "record"], _digest, fields), "records-read")
+    return with_starts(read, "read_tokens").select("doc_id", "start", F.col("read_tokens").alias("n_tokens"), "ids_crc32")
