@@ -133,3 +133,23 @@ def test_judged_rows_and_folds(spark):
     assert kept.columns == docs.columns and kept.count() == sum(r.predicted == 0 for r in got)
     assert tox.judged(docs.limit(0), labels).count() == 0
     assert {r.score for r in tox.judged(docs, labels.limit(0)).collect()} == {float(tox._sigmoid(np.array(-30.0)))}
+
+
+def test_columns_with_inner_names_stay_as_they_came(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.llm import jaccard
+
+    rows = [(1, "you awful rotten wretch", "k", "x", 0.25, "r"), (2, "a calm day at the lake with friends", "q", None, None, "s"),
+            (2, "a calm day at the lake with friends", "q", "y", None, "s"), (3, None, "n", "z", 1.0, "t"), (3, None, "n", "z", 1.0, "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, llm_text_key string, llm_turn string, llm_toxicity double, `row` string")
+    docs = docs.withColumn("first_key", F.lit("f")).withColumn("id", F.lit(7)).withColumn("key", F.lit("k")).withColumn("turn", F.lit(0.5))
+    kept = tox.without_toxic(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int"))
+    assert kept.columns == docs.columns and kept.exceptAll(docs).count() == 0
+    one = jaccard.one_of_each_group(docs)
+    assert one.columns == docs.columns and one.exceptAll(docs).count() == 0
+    assert sorted((r.doc_id, r.llm_turn or "") for r in one.collect()) == [(1, "x"), (2, ""), (3, "z"), (3, "z")]
+    big = 2**53 + 1
+    wide = spark.createDataFrame([(big, "five words stand here now"), (None, "others are in this one"), (big + 2, "and again others over there")], "doc_id long, text string")
+    assert {r.doc_id for r in jaccard.one_of_each_group(wide).collect()} == {big, None, big + 2}
+    assert {r.doc_id for r in jaccard.jaccard_components(wide, 3, 90).collect()} == {big, None, big + 2}
