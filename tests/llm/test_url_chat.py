@@ -83,3 +83,18 @@ def test_digests_of_awkward_conversations(spark):
     assert got[None].n_turns == 1 and got[None].loss_chars == 0 and got[None].turns_sha256 == hashlib.sha256(b"\n\n").hexdigest()
     assert got[3].n_turns == 3 and got[3].loss_sha256 == hashlib.sha256(b"firstxx").hexdigest()
     assert chat.digests(chat.formatted(conversations(spark, rows).limit(0))).count() == 0
+
+
+def test_loss_text_is_cut_by_the_masks_of_exploded_examples(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(1, 0, "user", "hi <#> \\"), (1, 1, "assistant", "é <b> #1 \\l"), (1, 2, "assistant", None), (1, 3, "assistant", "end"), (2, 0, "user", "none")]
+    chats = chat.formatted(conversations(spark, rows))
+    right = {r.conv_id: (r.loss_chars, r.loss_sha256) for r in chat.digests(chats).collect()}
+    told = "é <b> #1 \\lend"
+    assert right[1] == (len(told), __import__("hashlib").sha256(told.encode()).hexdigest()) and right[2][0] == 0
+    for field in ("context_chars", "reply_chars"):
+        shifted = chats.withColumn("examples", F.transform("examples", lambda e: e.withField(field, e[field] + 1)))
+        assert {r.conv_id: r.loss_sha256 for r in chat.digests(shifted).collect()}[1] != right[1][1]
+    plan = chat.digests(chats)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == chats._jdf.queryExecution().executedPlan().toString().count("Exchange") and "Generate" in plan

@@ -106,16 +106,32 @@ def read_back(chats: DataFrame) -> DataFrame:
         ),
     )
     return chats.select("conv_id", "formatted", "examples", parsed.alias("turns")).select(
-        "conv_id", "formatted", "turns", F.transform("examples", lambda e: F.get("turns", e["turn_index"])["text"]).alias("trained"),
+        "conv_id", "formatted", "examples", "turns", F.transform("examples", lambda e: F.get("turns", e["turn_index"])["text"]).alias("trained"),
     )
 
 
+def trained_texts(chats: DataFrame, keep: list[str]) -> DataFrame:
+    """Each example's reply, cut out of the formatted text by the example's own offsets
+    and unescaped: the columns to ``keep``, example and target. A conversation
+    without examples has one row without a target."""
+    one = chats.select(*keep, "formatted", F.posexplode_outer("examples").alias("example", "span"))
+    target = F.expr("substring(formatted, CAST(span.context_chars AS INT) + 1, CAST(span.reply_chars AS INT))")
+    return one.select(*keep, "example", unescaped(target).alias("target"))
+
+
 def digests(chats: DataFrame) -> DataFrame:
-    """What :func:`read_back` finds, as counts and SHA-256 digests."""
+    """Counts and SHA-256 digests of the turns that :func:`read_back` finds and of all
+    text under the loss masks of the exploded examples, in order. Examples stay in the
+    partition of their conversation, so bringing them together needs no exchange."""
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    trained = F.array_join("trained", "")
-    return read_back(chats).select(
-        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
-        F.length(trained).cast("long").alias("loss_chars"), F.sha2(trained, 256).alias("loss_sha256"),
+    whole = read_back(chats).select(
+        "conv_id", "formatted", "examples", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+    keep = ["conv_id", "n_turns", "turns_sha256", "formatted_chars"]
+    replies = F.array_sort(F.collect_list(F.when(F.col("example").isNotNull(), F.struct("example", "target"))))
+    gathered = trained_texts(whole, keep).groupBy(*keep).agg(F.array_join(F.transform(replies, lambda r: r["target"]), "").alias("trained"))
+    return gathered.select(
+        "conv_id", "n_turns", "turns_sha256", F.length("trained").cast("long").alias("loss_chars"),
+        F.sha2("trained", 256).alias("loss_sha256"), "formatted_chars",
+    )
