@@ -111,3 +111,17 @@ def test_overlapping_sources(spark):
     docs = frame(spark, rows).withColumn("m", F.expr("CASE doc_id % 3 WHEN 0 THEN array('a') WHEN 1 THEN array('b', 'a') ELSE array('b') END"))
     plan = mixing.plan_mix(mixing.keyed(docs, F.col("m"), "t").cache())
     assert set(plan.rest) == {'["a"]', '["a","b"]', '["b"]'} and plan.sizes == {"a": 1500, "b": 1500}
+
+
+def test_neighbours_equal_brute_force(spark):
+    rows = AWKWARD + [(i, prose(i % 7, 300) if i % 3 else edited(prose(i % 7, 300), i, 1 + i % 4)) for i in range(80)]
+    got = simhash.edit_neighbours(frame(spark, rows), F.col("doc_id") % 20 == 0).collect()
+    prints = {int(r.fingerprint, 16) for r in got}
+    assert len(got) == len(rows) and "print" not in got[0].asDict()
+    for r in got:
+        if r.doc_id is None or r.doc_id % 20:
+            assert r.near_prints is None
+        else:
+            own = int(r.fingerprint, 16)
+            assert r.near_prints == sum(0 < bin(own ^ p).count("1") <= 3 for p in prints)
+    assert any(r.near_prints for r in got)

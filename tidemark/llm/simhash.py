@@ -103,8 +103,8 @@ def with_next(documents: DataFrame) -> DataFrame:
 
 
 def edit_likeness(documents: DataFrame) -> DataFrame:
-    """Fingerprints of each text and of its edited form (its last quarter
-    replaced by the beginning of the next text), and their likeness."""
+    """Fingerprints of each text (also as a number, ``print``) and of its edited form (its
+    last quarter replaced by the beginning of the next text), and their likeness."""
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(
@@ -124,7 +124,7 @@ def edit_likeness(documents: DataFrame) -> DataFrame:
         *keys, "form", "fingerprint", F.lead("fingerprint", 1).over(order).alias("edited_print"), F.lead("fingerprint", 2).over(order).alias("next_print"),
     ).where(~F.col("ghost") & (F.col("form") == 0))
     return lined.select(
-        "doc_id", "n_chars", "edited_sha256", as_hex(F.col("fingerprint")).alias("fingerprint"), as_hex(F.col("edited_print")).alias("edited_fingerprint"),
+        "doc_id", "n_chars", "edited_sha256", F.col("fingerprint").alias("print"), as_hex(F.col("fingerprint")).alias("fingerprint"), as_hex(F.col("edited_print")).alias("edited_fingerprint"),
         likeness(F.col("fingerprint"), F.col("edited_print")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("next_print")).alias("near_next"),
     )
 
@@ -156,3 +156,15 @@ def within_radius(queries: DataFrame, prints: DataFrame, radius: int = 3) -> Dat
     pairs = tables(queries, "asked").join(tables(prints, "found"), ["table", "bits"])
     distance = F.bit_count(F.col("asked").bitwiseXOR(F.col("found")))
     return pairs.where(distance <= radius).select("asked", "found", distance.alias("distance")).distinct()
+
+
+def edit_neighbours(documents: DataFrame, asked: Column, radius: int = 3) -> DataFrame:
+    """:func:`edit_likeness` with ``near_prints``: for rows that are ``asked`` for, how many
+    other fingerprints of the table lie within ``radius``; null for all others. Equal
+    fingerprints are one, so a group of copies is looked up once."""
+    rows = stored(edit_likeness(documents), "fingerprints")
+    prints = rows.select(F.col("print").alias("fingerprint"))
+    pairs = within_radius(rows.where(asked).select(F.col("print").alias("fingerprint")), prints, radius)
+    near = pairs.groupBy("asked").agg(F.count_if(F.col("distance") > 0).alias("found"))
+    known = rows.join(near, rows["print"] == near["asked"], "left")
+    return known.withColumn("near_prints", F.when(asked, F.coalesce("found", F.lit(0)))).drop("print", "asked", "found")
