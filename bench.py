@@ -21,7 +21,7 @@ HEADLINE = (
     " batch_session_facts batch_sessions session_links sessionized_events event_gaps session_event_paths"
     " session_window_sessions speed_sessions cart_totals_with_removals restatement_audit session_deltas"
     " restatement_breakdown top_restated restatement_detail late_event_match accuracy_comparison"
-    " late_rate_by_hour throughput_by_window lag_by_minute lag_alarm"
+    " late_rate_by_hour throughput_by_window lag_by_minute lag_alarm raw_events_scan session_boundaries session_id_chunks"
 ).split()
 
 
