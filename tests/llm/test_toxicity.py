@@ -135,7 +135,9 @@ def test_judged_rows_and_folds(spark):
     assert {r.score for r in tox.judged(docs, labels.limit(0)).collect()} == {float(tox._sigmoid(np.array(-30.0)))}
 
 
-def test_columns_with_inner_names_stay_as_they_came(spark):
+@pytest.mark.parametrize("broadcast", [2_000_000, 0])
+def test_columns_with_inner_names_stay_as_they_came(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(tox, "BROADCAST_TEXTS", broadcast)
     from pyspark.sql import functions as F
 
     from tidemark.llm import jaccard

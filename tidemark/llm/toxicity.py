@@ -40,6 +40,7 @@ from tidemark.llm.common import LONG_ROWS, in_slices, stored
 HELD_OUT = 2
 FOLDS = 4
 THRESHOLD = 0.3
+BROADCAST_TEXTS = 2_000_000
 CACHED_WORDS = 120_000
 CHUNK = 2048
 _WORD = re.compile(r"[^\W\d_]+")
@@ -446,5 +447,7 @@ def without_toxic(documents: DataFrame, labels: DataFrame, settings: Settings =
     keys = [F.xxhash64("text").alias("first_key"), F.xxhash64(F.lit(1), "text").alias("second_key")]
     texts = scored(documents.select("text"), model, [*keys]).where(F.col("score") >= THRESHOLD)
     toxic = stored(texts.select("row.first_key", "row.second_key").distinct(), "toxic-texts", LONG_ROWS)
+    # 16 bytes a text; more of them than this are joined by a shuffle instead.
+    toxic = F.broadcast(toxic) if toxic.count() <= BROADCAST_TEXTS else toxic
     rows = documents.select(F.struct(*documents.columns).alias("row"), *keys)
     return rows.join(toxic, ["first_key", "second_key"], "left_anti").select("row.*")
