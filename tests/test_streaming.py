@@ -222,3 +222,24 @@ def test_folded_state(spark, tmp_path, monkeypatch):
 def test_boundary(spark, tmp_path, seconds, closed):
     history = replay(spark, tmp_path, [[ev(1, 0)], [ev(2, seconds // 60, seconds % 60)]])
     assert history.filter("status = 'closed'").count() == closed
+
+
+def test_one_state_row_per_bucket(spark, tmp_path, monkeypatch):
+    """Ids of one bucket share a state row and a call; the sessions are the same."""
+    monkeypatch.setattr(sessionizer, "STATE_BUCKETS", 1)
+    folder, cp = str(tmp_path / "in"), str(tmp_path / "cp")
+    write_batch(folder, 0, [ev(i, 0, session_id=f"s{i}") for i in range(40)])
+    write_batch(folder, 1, [ev(90, 20, session_id="s1"), ev(91, 50, session_id="s2"), ev(92, 200, session_id="late")])
+    write_batch(folder, 2, [ev(93, 330, session_id="late")])
+    query = state_table.start_upserts(
+        sessionizer.session_updates(clean(file_events(spark, folder, max_files=1))), str(tmp_path / "state"), cp, available_now=True)
+    finish(query)
+    rows = state_table.state_changes(spark, str(tmp_path / "state")).collect()
+    state = [p["stateOperators"][0]["numRowsTotal"] for p in map(lambda p: json.loads(p.json), query.recentProgress) if p["stateOperators"]]
+    # The bucket's row, and its timer in two indexes.
+    assert max(state) <= 3
+    held = {r.session_id: r for r in state_table.latest_state(state_table.state_changes(spark, str(tmp_path / "state"))).collect()}
+    assert len(held) == 41 and held["s1"].event_count == 2 and held["s2"].event_count == 1
+    assert sorted((r.session_id, r.event_count) for r in rows if r.status == "closed") == [("late", 1), ("s2", 1)]
+    expired = sorted(r.session_id for r in rows if r.status == "expired")
+    assert expired == sorted(f"s{i}" for i in range(40))
