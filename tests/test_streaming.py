@@ -243,3 +243,14 @@ def test_one_state_row_per_bucket(spark, tmp_path, monkeypatch):
     assert sorted((r.session_id, r.event_count) for r in rows if r.status == "closed") == [("late", 1), ("s2", 1)]
     expired = sorted(r.session_id for r in rows if r.status == "expired")
     assert expired == sorted(f"s{i}" for i in range(40))
+
+
+def test_a_fold_in_a_stream_writes_one_file_per_bucket(spark, tmp_path):
+    """Spark turns AQE off inside a stream, and with it the hint that gathers each bucket."""
+    path, session = str(tmp_path / "state"), spark.newSession()
+    session.conf.set("spark.sql.adaptive.enabled", "false")
+    facts = "CAST(id % 500 AS string) AS session_id, 'active' AS status, timestamp_seconds(id) AS session_start, id AS event_count"
+    state_table.upsert_batch(path, compact_every=1)(session.range(0, 2000, 1, 4).selectExpr(*facts.split(", ")), 0)
+    files = [f for _, _, names in os.walk(os.path.join(path, "_base", "state")) for f in names if f.endswith(".parquet")]
+    assert 0 < len(files) <= state_table.BUCKETS
+    assert state_table.current_state(session, path).count() == 500

@@ -100,7 +100,11 @@ class Change:
     def _write(self, table: str, rows: DataFrame, part) -> list[str]:
         """Writes the rows by the text of column ``part``; returns the parts that exist now."""
         path = f"{self.store.base}/{table}/run={self.number}"
-        rows.withColumn("part", part.cast("string")).hint("rebalance", "part").write.mode("overwrite").partitionBy("part").parquet(path)
+        dealt = rows.withColumn("part", part.cast("string"))
+        # Inside a stream AQE is off and Spark drops the hint: every task would write every part.
+        adaptive = dealt.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+        dealt = dealt.hint("rebalance", "part") if adaptive else dealt.repartition("part")
+        dealt.write.mode("overwrite").partitionBy("part").parquet(path)
         folder, system = _folder(self.store.spark, path)
         names = [s.getPath().getName() for s in system.listStatus(folder)]
         return sorted(n.removeprefix("part=") for n in names if n.startswith("part="))
