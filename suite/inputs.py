@@ -17,6 +17,7 @@ from tidemark.session import scratch_path
 from tidemark.sinks import files as sink
 
 SIX_HOURS = 21600
+ROW_GROUP_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -212,13 +213,14 @@ def _land_columnar(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 def _in_steps(rows: DataFrame, path: str, files: int = 5) -> None:
     """Files that hold equal spans of arrival time, written one after the other: as
-    many micro-batches of a stream."""
+    many micro-batches of a stream. All tasks prepare a file's rows, which one only
+    writes, in row groups that several tasks can read."""
     at = F.unix_micros(F.col("arrival_time").cast("timestamp"))
     low, high = rows.agg(F.min(at), F.max(at)).first()
     step = (high - low) // files + 1
     for i in range(files):
         part = rows.where((at >= low + i * step) & (at < low + (i + 1) * step))
-        sink.raw_text(part).coalesce(1).write.mode("append").parquet(path)
+        sink.raw_text(part).repartition(1).write.mode("append").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
 
 
 def _land_arrivals(spark: SparkSession, sf_dir: str, path: str) -> None:

@@ -254,3 +254,17 @@ def test_a_fold_in_a_stream_writes_one_file_per_bucket(spark, tmp_path):
     files = [f for _, _, names in os.walk(os.path.join(path, "_base", "state")) for f in names if f.endswith(".parquet")]
     assert 0 < len(files) <= state_table.BUCKETS
     assert state_table.current_state(session, path).count() == 500
+
+
+def test_steps_can_be_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    """One file per micro-batch, but in row groups that tasks can share."""
+    import pyarrow.parquet as pq
+
+    from suite import inputs
+
+    monkeypatch.setattr(inputs, "ROW_GROUP_BYTES", 1 << 16, raising=False)
+    rows, path = inputs.raw_events(spark, "/root/testdata/sf0.01"), tmp_path / "steps"
+    inputs._in_steps(rows, str(path))
+    files = [pq.ParquetFile(f) for f in path.glob("*.parquet")]
+    assert len(files) == 5 and sum(f.metadata.num_rows for f in files) == rows.count()
+    assert min(f.num_row_groups for f in files) > 1
