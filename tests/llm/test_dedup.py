@@ -172,3 +172,47 @@ def test_column_rounds_find_exactly_the_shared_strings():
     held = Counter((g, at, d[at + a:at + a + length]) for g, d, a in rows for at in range(-a, 1) if at + a + length <= len(d))
     want = {(i, at) for i, (g, d, a) in enumerate(rows) for at in range(-a, 1) if at + a + length <= len(d) and held[g, at, d[at + a:at + a + length]] > 1}
     assert got == want
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_bitmaps_let_every_link_pass_and_part_unlike_sets(percent):
+    rng = np.random.default_rng(percent)
+    sets = []
+    for n in (1, 3, 40, 200, 255, 256, 300, 1100, 5000):
+        base = np.unique(rng.integers(0, 1 << 63, n, U))
+        sets += [base] + [np.unique(np.concatenate([base[int(n * cut):], rng.integers(0, 1 << 63, int(n * more), U)])) for cut, more in ((0.05, 0), (0, 0.1), (0.1, 0.1), (0.25, 0), (0.4, 0.4))]
+    sets = [s for s in sets if len(s)]
+    rows = [(len(s), jaccard.bitmap_of(s)) for s in sets]
+    linked = {(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if 100 * len(np.intersect1d(a, b)) >= percent * len(np.union1d(a, b))}
+    passed = {(i, j) for left, right in jaccard._similar_bitmaps(rows, rows, percent) for i, j in zip(left.tolist(), right.tolist())}
+    exact = {(i, j) for left, right in jaccard._linked_pairs(sets, sets, percent) for i, j in zip(left.tolist(), right.tolist())}
+    assert linked <= passed and {p for p in exact if p[0] != p[1]} == {p for p in linked if p[0] != p[1]}
+    # one cell per shingle parts sets without common shingles from about two thirds on
+    unlike = [k for k in range(len(sets)) if len(sets[k]) > 150 and percent >= 80]
+    assert not {(i, j) for i, j in passed if i in unlike and j in unlike and not len(np.intersect1d(sets[i], sets[j]))}
+
+
+def test_tokens_of_a_task_travel_in_one_row_per_bucket(spark):
+    docs = frame(spark, [(i, prose(i, 60)) for i in range(200)] + [(300, prose(7, 60)), (301, edited(prose(7, 60), 1, 1))]).coalesce(1)
+    heavy = np.zeros(1 << jaccard.SKETCH_BITS, bool)
+    bits = spark.sparkContext.broadcast(np.packbits(heavy).tobytes())
+    rows = docs.select("text").mapInArrow(jaccard._meetings(3, 80, bits, 16), "bucket int, tokens array<long>, nodes array<long>, hubs array<long>").collect()
+    assert len(rows) <= 2 * 16 and sum(len(r.tokens) for r in rows) > 100 * len(rows)
+    assert all(np.uint64(t % (1 << 64)) % 16 == r.bucket for r in rows if not r.hubs for t in r.tokens)
+    text = {jaccard.short(jaccard.node_of(shingle_set(prose(i, 60).encode(), 3))) for i in (7,)}
+    links = jaccard.candidate_links(docs, heavy, 3, 80).collect()
+    assert any(r.a in text or r.b in text for r in links)
+
+
+@pytest.mark.parametrize("rows,shuffled", [(jaccard.BROADCAST_ROWS, False), (0, True)])
+def test_dropped_documents_are_taken_out_without_a_shuffle_of_texts(spark, monkeypatch, rows, shuffled):
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", rows)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = jaccard.one_of_each_group(frame(spark, [(i, prose(i // 2, 60)) for i in range(20)]))
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert (plan.count("BroadcastHashJoin") == 0) == shuffled
+        assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 20, 2))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

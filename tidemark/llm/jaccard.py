@@ -21,10 +21,14 @@ level finds them: no link is lost.
 
 Documents that share a token form a group. Tokens met more than once are linked
 inside the task first, so a token of a third of all documents leaves each task
-once. Components of these links are the candidates; the sets of candidates
-(each once) are compared exactly, in blocks of bounded size. Blocks are ordered
-by set size, and a set goes only to blocks that hold a size it can link with.
-Only true links make the final components.
+once. Components of these links are the candidates. A bitmap filter comes first:
+every set has one bit per cell of its hash space (as many cells as shingles, at
+least), set where it holds an odd number of shingles. A shingle that only one of
+two sets holds turns one bit over, so two sets whose bitmaps differ in more bits
+than linked sets may differ in shingles don't link. Sets that keep a partner
+(each once) are compared exactly. Both comparisons run in blocks of bounded size,
+ordered by set size, and a set goes only to blocks that hold a size it can link
+with. Only true links make the final components.
 
 Defined cases: a null, empty or blank text has no shingles and links with
 nothing; fewer words than a shingle make one shingle of the whole sequence;
@@ -58,7 +62,13 @@ CHUNK = 1 << 18
 BLOOM_BITS = 25
 #: Shingles in one block of candidates: 16 MB of hashes.
 BLOCK_SHINGLES = 2_000_000
+#: The same for bitmaps: a 64th of the hashes, 4 MB.
+BITMAP_SHINGLES = 32_000_000
 DENSE_CELLS = 1_000_000
+#: Tokens that one task sends to one of ``buckets`` tasks travel as one row.
+LEAST_BUCKETS, MOST_BUCKETS = 32, 256
+#: Up to so many dropped documents (16 bytes each) are broadcast, so that texts are not shuffled.
+BROADCAST_ROWS = 2_000_000
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes | None]:
@@ -84,30 +94,39 @@ def text_key() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
+def bitmap_of(values: np.ndarray) -> bytes:
+    """Per cell of the lowest bits, whether an odd number of shingles falls into it.
+    A bitmap of half as many cells is the exclusive or of both halves."""
+    cells = 1 << max(8, (len(values) - 1).bit_length())
+    odd = np.bincount((values & U(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(bool)).tobytes()
+
+
 # --- classes and sketch -------------------------------------------------------------
 def _profiles(size: int) -> Callable:
-    """Rows (doc_id, text_key, n_shingles, node, short) and, at the task's end, parts of its sketch."""
+    """Rows (doc_id, text_key, n_shingles, node, short, bitmap) and, at the task's end, parts of its sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
-        names = ["doc_id", "text_key", "n_shingles", "node", "short", "part", "counts"]
+        names = ["doc_id", "text_key", "n_shingles", "node", "short", "bitmap", "part", "counts"]
         for batch in batches:
-            counts, nodes, cells = [], [], []
+            counts, nodes, bitmaps, cells = [], [], [], []
             for text in _texts(batch):
                 values = shingle_set(text, size)
                 counts.append(len(values))
                 nodes.append(node_of(values) if len(values) else None)
+                bitmaps.append(bitmap_of(values) if len(values) else None)
                 cells.append(values >> U(64 - SKETCH_BITS))
             if cells:
                 sketch += np.bincount(np.concatenate(cells).astype(np.int64), minlength=len(sketch)).astype(np.uint32)
             n = len(counts)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("text_key"), pa.array(counts, pa.int64()), pa.array(nodes, pa.binary()),
-                pa.array([None if x is None else short(x) for x in nodes], pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
+                pa.array([None if x is None else short(x) for x in nodes], pa.int64()), _binaries(bitmaps), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
             ], names)
         if sketch.any():
             cut = [zlib.compress(part.tobytes(), 1) for part in np.split(sketch, SKETCH_PARTS)]
             yield pa.RecordBatch.from_arrays([
-                *[pa.nulls(len(cut), pa.int64())] * 3, pa.nulls(len(cut), pa.binary()), pa.nulls(len(cut), pa.int64()),
+                *[pa.nulls(len(cut), pa.int64())] * 3, pa.nulls(len(cut), pa.binary()), pa.nulls(len(cut), pa.int64()), pa.nulls(len(cut), pa.binary()),
                 pa.array(range(len(cut)), pa.int32()), pa.array(cut, pa.binary()),
             ], names)
 
@@ -200,9 +219,11 @@ def group_tokens(values: np.ndarray, heavy: np.ndarray, percent: int) -> np.ndar
     return np.concatenate(out)
 
 
-def _meetings(size: int, percent: int, heavy_bits) -> Callable:
-    """Rows (token, node, hub). Inside a task, documents with one token are linked
-    to the smallest of them (hub set); that one alone goes on under the token."""
+def _meetings(size: int, percent: int, heavy_bits, buckets: int) -> Callable:
+    """Rows (bucket, tokens, nodes, hubs) of parallel lists. Inside a task, documents with
+    one token are linked to the smallest of them (hubs set); that one alone goes
+    on under the token. A bucket holds all of a token, and its lists are in the order of
+    the nodes: a token takes 10 to 16 bytes of the shuffle, 28 as a row of its own."""
     def linked(tokens: np.ndarray, at: np.ndarray, names: np.ndarray) -> pa.RecordBatch:
         order = np.lexsort((names[at], tokens))
         tokens, at = tokens[order], at[order]
@@ -211,11 +232,20 @@ def _meetings(size: int, percent: int, heavy_bits) -> Callable:
         hub = at[np.maximum.accumulate(np.where(first, np.arange(len(tokens)), 0))]
         inner = ~first & (hub != at)
         pairs = np.unique(np.stack([at[inner], hub[inner]], 1), axis=0) if inner.any() else np.zeros((0, 2), np.int64)
-        token = np.concatenate([tokens[first].view(np.int64), names[pairs[:, 0]]])
-        node = names[np.concatenate([at[first], pairs[:, 0]])]
-        hub = np.concatenate([np.zeros(int(first.sum()), np.int64), names[pairs[:, 1]]])
-        alone = np.arange(len(hub)) < int(first.sum())
-        return pa.RecordBatch.from_arrays([pa.array(token), pa.array(node), pa.array(hub, mask=alone)], ["token", "node", "hub"])
+        at = at[first]
+        place = (tokens[first] % U(buckets)).astype(np.int64)
+        order = np.lexsort((at, place))
+        alone = packed(place[order], tokens[first][order].view(np.int64), names[at[order]], None)
+        order = np.argsort(pairs[:, 0] % buckets, kind="stable")
+        node, hub = names[pairs[order, 0]], names[pairs[order, 1]]
+        return pa.concat_batches([alone, packed(pairs[order, 0] % buckets, node, node, hub)])
+
+    def packed(place: np.ndarray, tokens: np.ndarray, nodes: np.ndarray, hubs: np.ndarray | None) -> pa.RecordBatch:
+        held = np.flatnonzero(np.r_[True, place[1:] != place[:-1]]) if len(place) else np.zeros(0, np.int64)
+        ends = pa.array(np.append(held, len(place)), pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (tokens, nodes)]
+        hubs = pa.ListArray.from_arrays(pa.array(np.zeros(len(held) + 1), pa.int32()), pa.array([], pa.int64())) if hubs is None else pa.ListArray.from_arrays(ends, pa.array(hubs))
+        return pa.RecordBatch.from_arrays([pa.array(place[held].astype(np.int32)), *lists, hubs], ["bucket", "tokens", "nodes", "hubs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy = np.unpackbits(np.frombuffer(heavy_bits.value, np.uint8)).astype(bool)
@@ -246,9 +276,13 @@ def _meetings(size: int, percent: int, heavy_bits) -> Callable:
 
 def candidate_links(documents: DataFrame, heavy: np.ndarray, size: int, percent: int) -> DataFrame:
     """Edges (a, b) whose components hold every pair that may link."""
-    bits = documents.sparkSession.sparkContext.broadcast(np.packbits(heavy).tobytes())
-    met = documents.select("text").mapInArrow(in_slices(_meetings(size, percent, bits)), "token long, node long, hub long")
-    group = Window.partitionBy("token").orderBy(F.col("hub").isNotNull(), "node")
+    spark = documents.sparkSession
+    bits = spark.sparkContext.broadcast(np.packbits(heavy).tobytes())
+    buckets = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), LEAST_BUCKETS), MOST_BUCKETS)
+    lists = documents.select("text").mapInArrow(in_slices(_meetings(size, percent, bits, buckets)), "bucket int, tokens array<long>, nodes array<long>, hubs array<long>")
+    met = lists.repartition("bucket").select("bucket", F.explode(F.arrays_zip("tokens", "nodes", "hubs")).alias("x")).select(
+        "bucket", F.col("x.tokens").alias("token"), F.col("x.nodes").alias("node"), F.col("x.hubs").alias("hub"))
+    group = Window.partitionBy("bucket", "token").orderBy(F.col("hub").isNotNull(), "node")
     smallest = F.first(F.when(F.col("hub").isNull(), F.col("node"))).over(group)
     return met.select(F.col("node").alias("a"), F.coalesce("hub", smallest).alias("b")).where("a != b").distinct()
 
@@ -304,24 +338,60 @@ def _candidate_sets(size: int, possible) -> Callable:
     return run
 
 
+def _similar_bitmaps(left: list[tuple[int, bytes]], right: list[tuple[int, bytes]], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of (size, bitmap) that may link, a few rows of left at a time.
+    Bitmaps of different lengths are folded to the shorter one."""
+    def levels(rows: list[tuple[int, bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        sizes, lengths = np.array([r[0] for r in rows], np.int64), np.array([len(r[1]) for r in rows], np.int64)
+        for length in np.unique(lengths).tolist():
+            at = np.flatnonzero(lengths == length)
+            yield at, sizes[at], np.frombuffer(b"".join([rows[k][1] for k in at]), np.uint64).reshape(len(at), -1)
+
+    def folded(bits: np.ndarray, words: int) -> np.ndarray:
+        return np.bitwise_xor.reduce(bits.reshape(len(bits), -1, words), axis=1)
+
+    others = list(levels(right))
+    for at_l, sizes_l, bits_l in levels(left):
+        for at_r, sizes_r, bits_r in others:
+            if 100 * sizes_l.max() < percent * sizes_r.min() or 100 * sizes_r.max() < percent * sizes_l.min():
+                continue
+            words = min(bits_l.shape[1], bits_r.shape[1])
+            mine, theirs = folded(bits_l, words), np.ascontiguousarray(folded(bits_r, words).T)
+            step = max(1, DENSE_CELLS // len(at_r))
+            for a in range(0, len(at_l), step):
+                some = mine[a:a + step]
+                differ = np.zeros((len(some), len(at_r)), np.int32)
+                for w in range(words):
+                    differ += np.bitwise_count(some[:, w, None] ^ theirs[w])
+                i, j = np.nonzero((100 + percent) * differ.astype(np.int64) <= (100 - percent) * (sizes_l[a:a + step, None] + sizes_r))
+                yield at_l[i + a], at_r[j]
+
+
 def _linked_pairs(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs (into left, into right) that link, a few rows of left at a time."""
+    """Index pairs (into left, into right) that link, a few rows of left at a time.
+    Between the sets of one list, a shingle that only one of them holds is left out."""
     if not left or not right:  # a block number that no set has
         return
     sizes_l, sizes_r = np.array([len(v) for v in left]), np.array([len(v) for v in right])
-    shared = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)))
+    if left is right:
+        flat = np.sort(np.concatenate(left))
+        shared = np.unique(flat[1:][flat[1:] == flat[:-1]])
+        del flat
+    else:
+        shared = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
+
     def columns(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        flat = np.concatenate(sets)
-        row = np.repeat(np.arange(len(sets)), [len(v) for v in sets])
-        at = np.searchsorted(shared, flat)
-        at[at == len(shared)] = 0
-        keep = shared[at] == flat if len(shared) else np.zeros(len(flat), bool)
-        return row[keep], at[keep]
+        found = []
+        for values in sets:
+            at = np.searchsorted(shared, values)
+            at[at == len(shared)] = 0
+            found.append(at[shared[at] == values].astype(np.int32))
+        return np.repeat(np.arange(len(sets), dtype=np.int32), [len(f) for f in found]), np.concatenate(found)
 
     if not len(shared):
         return
     row_l, col_l = columns(left)
-    row_r, col_r = columns(right)
+    row_r, col_r = (row_l, col_l) if left is right else columns(right)
     begin_l = np.searchsorted(row_l, np.arange(len(left) + 1))
     by_column = np.argsort(col_r, kind="stable")
     sorted_columns = col_r[by_column]
@@ -365,20 +435,56 @@ def _smallest_roots(n: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.nd
             return root
 
 
+def _members(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple[bool, list[tuple], list[tuple]]]:
+    """Per (group, bi, bj) of rows sorted by them: whether the group is one block, and the rows
+    of ``columns`` in both blocks; one list if it is the same block."""
+    def halves() -> tuple[bool, list[tuple], list[tuple]]:
+        _, bi, bj, whole = key
+        left = [m[1:] for m in members if m[0] == bi]
+        return whole, left, left if bi == bj else [m[1:] for m in members if m[0] == bj]
+
+    key, members = None, []
+    for batch in batches:
+        for group, bi, bj, whole, *row in zip(*[batch.column(c).to_pylist() for c in ("group", "bi", "bj", "whole", "block", *columns)]):
+            if key != (group, bi, bj, whole):
+                if members:
+                    yield halves()
+                key, members = (group, bi, bj, whole), []
+            members.append(tuple(row))
+    if members:
+        yield halves()
+
+
+def _alike(percent: int) -> Callable:
+    """Rows (a, b): links between names whose components hold every pair that the bitmaps let pass."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, left, right in _members(batches, ("short", "held", "bitmap")):
+            everyone = left if left is right else left + right
+            names = np.array([m[0] for m in everyone], np.int64)
+            found, shift = [], 0 if left is right else len(left)
+            for i, j in _similar_bitmaps([m[1:] for m in left], [m[1:] for m in right], percent):
+                root = _smallest_roots(len(everyone), [(i, j + shift)])
+                moved = np.flatnonzero(root != np.arange(len(root)))
+                found.append((moved, root[moved]))
+            root = _smallest_roots(len(everyone), found)
+            moved = np.flatnonzero(root != np.arange(len(root)))
+            yield pa.RecordBatch.from_arrays([pa.array(names[moved]), pa.array(names[root[moved]])], ["a", "b"])
+
+    return run
+
+
 def _verified(percent: int) -> Callable:
     """Rows sorted by (group, bi, bj) to (group, whole, node, root, links): the
     components inside one pair of blocks and the weight each node links with."""
-    def links(key, members: list[tuple]) -> pa.RecordBatch:
-        _, bi, bj, whole = key
-        left = [m for m in members if m[0] == bi]
-        right = left if bi == bj else [m for m in members if m[0] == bj]
-        everyone = left if bi == bj else left + right
-        shift = 0 if bi == bj else len(left)
+    def links(whole: bool, left: list[tuple], right: list[tuple]) -> pa.RecordBatch:
+        everyone = left if left is right else left + right
+        shift = 0 if left is right else len(left)
         weight = np.zeros(len(everyone), np.int64)
-        copies = np.array([m[2] for m in everyone], np.int64)
+        copies = np.array([m[1] for m in everyone], np.int64)
         found = []
-        for i, j in _linked_pairs([m[3] for m in left], [m[3] for m in right], percent):
-            if bi == bj:
+        sets = [np.frombuffer(m[2], U) for m in left]
+        for i, j in _linked_pairs(sets, sets if left is right else [np.frombuffer(m[2], U) for m in right], percent):
+            if left is right:
                 other = i != j
                 i, j = i[other], j[other]
                 np.add.at(weight, i, copies[j])
@@ -391,30 +497,21 @@ def _verified(percent: int) -> Callable:
         root = _smallest_roots(len(everyone), found)
         kept = np.flatnonzero((root != np.arange(len(root))) | (weight > 0))
         return pa.RecordBatch.from_arrays([
-            pa.array([whole] * len(kept), pa.bool_()), _binaries([everyone[k][1] for k in kept]),
-            _binaries([everyone[root[k]][1] for k in kept]), pa.array(weight[kept], pa.int64()),
+            pa.array([whole] * len(kept), pa.bool_()), _binaries([everyone[k][0] for k in kept]),
+            _binaries([everyone[root[k]][0] for k in kept]), pa.array(weight[kept], pa.int64()),
         ], ["whole", "node", "root", "links"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, members = None, []
-        for batch in batches:
-            rows = zip(*[batch.column(c).to_pylist() for c in ("group", "bi", "bj", "whole", "block", "node", "copies", "shingles")])
-            for group, bi, bj, whole, block, node, copies, shingles in rows:
-                if key != (group, bi, bj, whole):
-                    if members:
-                        yield links(key, members)
-                    key, members = (group, bi, bj, whole), []
-                members.append((block, node, copies, np.frombuffer(shingles, U)))
-        if members:
-            yield links(key, members)
+        for whole, left, right in _members(batches, ("node", "copies", "shingles")):
+            yield links(whole, left, right)
 
     return run
 
 
-def placed_blocks(known: DataFrame) -> DataFrame:
+def placed_blocks(known: DataFrame, shingles: int | None = None) -> DataFrame:
     """``known`` (root, node, held) with the block of each set: sets of a candidate component in order of size."""
     line = Window.partitionBy("root").orderBy("held", "node").rowsBetween(Window.unboundedPreceding, 0)
-    return known.withColumn("block", F.floor(F.sum("held").over(line) / BLOCK_SHINGLES).cast("int"))
+    return known.withColumn("block", F.floor(F.sum("held").over(line) / (shingles or BLOCK_SHINGLES)).cast("int"))
 
 
 def block_pairs(placed: DataFrame, percent: int) -> DataFrame:
@@ -429,27 +526,33 @@ def block_pairs(placed: DataFrame, percent: int) -> DataFrame:
     return placed.join(last, "root").join(reach, ["root", "held"]).withColumnRenamed("root", "group")
 
 
+def paired(placed: DataFrame, percent: int, sets: DataFrame | None = None) -> DataFrame:
+    """Sets once for each pair of blocks they belong to, pairs of blocks in one task each."""
+    reach = block_pairs(placed, percent)
+    reach = reach if sets is None else reach.join(sets, "node")
+    blocks = [F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj")]
+    rows = reach.select("*", F.explode(F.sequence("low", "high")).alias("other")).select("*", *blocks).drop("low", "high", "other")
+    return rows.repartition("group", "bi", "bj").sortWithinPartitions("group", "bi", "bj")
+
+
 def linked_classes(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(rows, classes). Rows: doc_id, text_key, n_shingles, node per document. Classes: node,
     root, links and copies for each distinct set with more than one document or
     with links; two sets have one root if a chain of links joins them."""
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
-    profiles = stored(docs.mapInArrow(in_slices(_profiles(size)), "doc_id long, text_key long, n_shingles long, node binary, short long, part int, counts binary"), "shingle-profiles", LONG_ROWS)
-    rows = profiles.where("part IS NULL").select("doc_id", "text_key", "n_shingles", "node", "short")
-    copies = stored(rows.where("node IS NOT NULL").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("held"), F.max("short").alias("short")), "shingle-classes")
-
-    groups = stored(components(candidate_links(docs, frequent_cells(profiles), size, percent), LONG_ROWS), "candidates")
+    profiles = stored(docs.mapInArrow(in_slices(_profiles(size)), "doc_id long, text_key long, n_shingles long, node binary, short long, bitmap binary, part int, counts binary"), "shingle-profiles", LONG_ROWS)
+    rows = profiles.where("part IS NULL").select("doc_id", "text_key", "n_shingles", "node", "short", "bitmap")
+    copies = stored(rows.where("node IS NOT NULL").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("held"), F.max("short").alias("short"), F.max("bitmap").alias("bitmap")), "shingle-classes", LONG_ROWS)
+
+    met = components(candidate_links(docs, frequent_cells(profiles), size, percent), LONG_ROWS).withColumnRenamed("node", "short")
+    known = copies.join(met, "short").select("root", "node", "short", "held", "bitmap")
+    alike = paired(placed_blocks(known, BITMAP_SHINGLES), percent).mapInArrow(in_slices(_alike(percent)), "a long, b long")
+    groups = stored(components(alike, LONG_ROWS), "candidates")
     possible = spark.sparkContext.broadcast(_possible(groups))
     sets = docs.select("text").mapInArrow(in_slices(_candidate_sets(size, possible)), "node binary, shingles binary").dropDuplicates(["node"])
-    known = copies.join(groups.withColumnRenamed("node", "short"), "short").drop("short")
-    pairs = block_pairs(placed_blocks(known), percent).join(sets, "node").select(
-        "group", F.explode(F.sequence("low", "high")).alias("other"), "whole", "block", "node", "copies", "shingles",
-    ).select(
-        "group", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "whole", "block", "node", "copies", "shingles",
-    )
-    ordered = pairs.repartition("group", "bi", "bj").sortWithinPartitions("group", "bi", "bj")
-    found = stored(ordered.mapInArrow(in_slices(_verified(percent)), "whole boolean, node binary, root binary, links long"), "verified", LONG_ROWS)
+    known = copies.join(groups.withColumnRenamed("node", "short"), "short").select("root", "node", "held", "copies")
+    found = stored(paired(placed_blocks(known), percent, sets).mapInArrow(in_slices(_verified(percent)), "whole boolean, node binary, root binary, links long"), "verified", LONG_ROWS)
     parts = components(found.where("NOT whole").select(F.col("node").alias("a"), F.col("root").alias("b")))
     linked = found.groupBy("node").agg(F.sum("links").alias("links"), F.min(F.when(F.col("whole"), F.col("root"))).alias("one"))
     joined = linked.join(parts.withColumnRenamed("root", "far"), "node", "left")
@@ -482,6 +585,7 @@ def one_of_each_group(documents: DataFrame, size: int = 5, percent: int = 80) ->
     members = stored(members.select("root", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key").alias("who")), "members")
     kept = members.groupBy("root").agg(F.min("who").alias("who"))
     dropped = stored(members.join(kept, ["root", "who"], "left_anti").select("who.doc_id", "who.text_key").distinct(), "dropped")
+    dropped = F.broadcast(dropped) if dropped.count() <= BROADCAST_ROWS else dropped
     # The same (id, text) more than once, with words: of these rows alone all columns are brought together.
     repeated = rows.where("node IS NOT NULL").groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     repeated = stored(repeated.select("doc_id", "text_key"), "repeated")
