@@ -123,3 +123,19 @@ def test_large_ids_beside_missing_ones(spark):
     docs = frame(spark, [(big, "a b"), (None, "c"), (big + 2, "d")]).coalesce(1)
     assert {r.doc_id for r in tr.record_digests(docs, WORDS, 1).collect()} == {big, None, big + 2}
     assert {r.doc_id for r in tc.token_counts(docs, PIECES).collect()} == {big, None, big + 2}
+
+
+def test_unknown_pieces_go_to_the_model_alone_and_read_as_the_tokenizer_reads():
+    path = str(public_tokenizers.path("word_bpe_49k.json"))
+    words = tr.WordIds(path, 2)
+    calls = []
+    words.tokenizer, plain = type("Counted", (), {"model": words.tokenizer.model, "encode_batch_fast": lambda self, *a, **k: calls.append(a)})(), words.tokenizer
+    texts = ["Zwölf Größen, don't 'LL x1y22 é.É Àÿ!", "qxzv" * 9 + " a-b_c{d}~", ""]
+    got = words.encode_all(texts)
+    assert words.direct and not calls
+    assert [list(np.frombuffer(g, "<u2")) for g in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    words.tokenizer, words.direct = plain, False
+    words.pieces.clear()
+    words.clear()
+    words[""] = b""
+    assert words.encode_all(texts) == got

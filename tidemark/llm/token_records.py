@@ -23,6 +23,7 @@ import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -121,7 +122,9 @@ class WordIds(dict):
     its words' ids end to end. It also cuts words into pieces before it merges
     anything (letters, single digits, marks), so a word of plain Latin letters, digits
     and marks has its pieces' ids; unknown pieces, far fewer than unknown words, go
-    to the tokenizer in one text, where each ends with a token that ends a word.
+    to the tokenizer's model alone: in their bytes' letters they are as its normaliser
+    and cutter leave them. Where that does not hold for every such letter, they go to the
+    tokenizer in one text, where each ends with a token that ends a word.
     """
 
     _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
@@ -135,10 +138,20 @@ class WordIds(dict):
         self.width = width
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        hidden = sorted(set(range(256)).difference(shown))
+        self.letters = {**{b: b for b in shown}, **{b: 256 + k for k, b in enumerate(hidden)}}
+        probe = [c + d for c in map(chr, [*range(33, 127), *range(192, 256)]) if self._PLAIN.fullmatch(c) for d in ("", c)]
+        probe = [x for c in probe for x in self._PIECE.findall(c.lower())] + ["there", "ça", "1", "'ll", "?!..."]
+        self.direct = self._by_model(probe) == [self.tokenizer.encode(x, add_special_tokens=False).ids for x in probe]
         self.met = np.zeros(1 << 23, bool)
         self.pieces: dict[str, bytes] = {}
         self[""] = b""
 
+    def _by_model(self, pieces: list[str]) -> list[list[int]]:
+        tokens, letters = self.tokenizer.model.tokenize, self.letters
+        return [[t.id for t in tokens(p if p.isascii() else p.encode().decode("latin-1").translate(letters))] for p in pieces]
+
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, a few hundred texts at a time."""
         return [ids for i in range(0, len(texts), TEXTS) for ids in self._encode_some(texts[i:i + TEXTS])]
@@ -147,14 +160,15 @@ class WordIds(dict):
         """Unknown words of all texts at once. A word stays remembered from its second
         appearance on: most words appear only once, and would push out the others."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        missing = list(set().union(*split).difference(self))
+        found = [list(map(self.get, words)) for words in split]
+        missing = list({w for words, ids in zip(split, found) for w, x in zip(words, ids) if x is None})
         once = []
         if missing:
             self._learn(missing)
             met = np.fromiter(map(hash, missing), np.int64, len(missing)) & (len(self.met) - 1)
             once = [missing[i] for i in np.flatnonzero(~self.met[met]).tolist()]
             self.met[met] = True
-        out = [b"".join(map(self.__getitem__, w)) for w in split]
+        out = [b"".join([self[w] if x is None else x for w, x in zip(words, ids)]) for words, ids in zip(split, found)]
         for word in once:
             del self[word]
         if len(self) > CACHED_WORDS:
@@ -174,6 +188,11 @@ class WordIds(dict):
         odd = set(missing).difference(simple)
         for i in range(0, len(unknown), JOINED):
             some = unknown[i:i + JOINED]
+            if self.direct:
+                found = self._by_model(some)
+                ids = np.fromiter(chain.from_iterable(found), self.kind)
+                self._keep(self.pieces, some, ids.tobytes(), np.cumsum([len(f) for f in found]))
+                continue
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.kind)
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) != len(some):
