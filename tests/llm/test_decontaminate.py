@@ -1,3 +1,4 @@
+import numpy as np
 from helpers import AWKWARD, frame, prose
 from tidemark.llm import decontaminate as dec
 
@@ -112,3 +113,29 @@ def test_clean_documents_keep_all_columns(spark):
     assert sorted(map(repr, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(map(repr, [*AWKWARD, (1, "another text with the same id")]))
     assert dec.clean_documents(docs.limit(0), benchmark).count() == 0
     assert dec.contaminated(docs, benchmark.limit(0)).count() == 0
+
+
+def test_windows_of_eight_take_four_steps(monkeypatch):
+    from tidemark.llm import shingles
+
+    calls, real = [], shingles.mixed
+    monkeypatch.setattr(shingles, "mixed", lambda v: calls.append(1) or real(v))
+    tokens = np.random.default_rng(1).integers(0, 5, 4000, np.uint64)
+    for size in range(1, 10):
+        calls.clear()
+        hashes = shingles.window_hashes(tokens, size)
+        assert len(calls) <= 1 + (size - 1).bit_length()
+        named = {}
+        for k, h in enumerate(hashes.tolist()):
+            named.setdefault(tuple(tokens[k:k + size].tolist()), set()).add(h)
+        assert len(hashes) == 4001 - size and all(len(v) == 1 for v in named.values()) and len(named) == len(set(hashes.tolist()))
+    assert not len(shingles.window_hashes(tokens[:7], 8))
+
+
+def test_plain_words_take_the_short_way_to_the_same_entry(monkeypatch):
+    words = ["five", "Five.", "KG", "kg,", "in", "Hello", "hello!", "A", "Straße?", "ŉ", "ǅa", "don't", "x-y", "中文", "."]
+    short = [dec.Words()[w] for w in words]
+    monkeypatch.setattr(dec, "_special", {w: -1 for w in words})  # were it asked, it would show
+    assert dec.Words()["five"] != short[0]
+    long = [dec.Words()[w] for w in ["“" + w for w in words]]
+    assert short == long

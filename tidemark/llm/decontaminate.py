@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import in_slices, stored
-from tidemark.llm.shingles import U, mixed, runs
+from tidemark.llm.shingles import U, mixed, window_hashes
 
 WINDOW = 8
 LEAST_ITEM = 4
@@ -71,6 +71,8 @@ UNIT_WORDS = (
 ).split()
 
 _EDGE = "\"'`()[]{}<>.,;:!?…«»“”‘’*_#~|/\\"
+#: Marks that may close a word of the plain kind.
+_CLOSING = ",;.!?:"
 _NUMBER = re.compile(r"[+\-$€£]?\d[\d.,:/]*(?:%|st|nd|rd|th)?\Z")
 _VALUE = re.compile(r"([+\-$€£]?)(\d{1,3}(?:,\d{3})+|\d+)(\.\d+)?(%|st|nd|rd|th)?\Z")
 _DIGIT = re.compile(r"\d")
@@ -182,6 +184,12 @@ class Words(dict):
 
         if len(self) >= CACHED_WORDS:
             self.clear()
+        core = word[:-1] if word[-1] in _CLOSING else word
+        if core.isalpha() and (core.islower() or core.istitle()):  # most words: letters, at most one mark behind them
+            low = core.lower()
+            flags = _special.get(low, 0) | CAPITAL * core[0].isupper() | ENDS * (word[-1] in ".!?:")
+            value = self[word] = flags | (xxhash.xxh3_64_intdigest(low) & ~FLAGS)
+            return value
         plain = word.strip(_EDGE)
         low = plain.lower()
         flags = IS_NUMBER * _is_number(low) | MAY_BE_UNIT * (low in _units)
@@ -191,6 +199,7 @@ class Words(dict):
 
 
 _numbers, _units = frozenset(NUMBER_WORDS), frozenset(UNIT_WORDS)
+_special = {**{w: IS_NUMBER for w in NUMBER_WORDS}, **{w: MAY_BE_UNIT for w in UNIT_WORDS}}
 _spoken_values = _spoken()
 _words, _number_words = Words(), Numbers()
 
@@ -230,7 +239,7 @@ def _read(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def windows(tokens: np.ndarray, fill: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of the windows that count as evidence."""
-    hashes = runs(tokens, size)
+    hashes = window_hashes(tokens, size)
     if not len(hashes):
         return np.zeros(0, np.int64), hashes
     slots = np.concatenate([[0], np.cumsum(fill != 0)])
@@ -240,7 +249,7 @@ def windows(tokens: np.ndarray, fill: np.ndarray, size: int) -> tuple[np.ndarray
 
 def literal_windows(words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of all windows of literal words."""
-    hashes = runs(words, size) ^ LITERAL
+    hashes = window_hashes(words, size) ^ LITERAL
     return np.arange(len(hashes)), hashes
 
 

@@ -51,6 +51,20 @@ def runs(words: np.ndarray, size: int) -> np.ndarray:
     return mixed(out + U(size))
 
 
+def window_hashes(tokens: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size``, in order. Runs of double length are made of two
+    halves, and the last length of two that overlap: four steps for eight tokens."""
+    n = len(tokens) - size + 1
+    if n <= 0:
+        return np.zeros(0, U)
+    out, have = tokens, 1
+    while have < size:
+        step = min(have, size - have)
+        out = mixed(out[:len(out) - step] * _ODD[0] + out[step:] * _ODD[1] + U(have))
+        have += step
+    return mixed(out + U(size))
+
+
 def shingle_set(text: bytes | None, size: int) -> np.ndarray:
     """Sorted distinct runs of ``size`` words; the whole sequence if there are
     fewer words; nothing without words."""
