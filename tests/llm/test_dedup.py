@@ -216,3 +216,10 @@ def test_dropped_documents_are_taken_out_without_a_shuffle_of_texts(spark, monke
         assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 20, 2))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_small_blocks_of_bitmaps_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BITMAP_SHINGLES", 300)
+    rows = near_copies()
+    got = jaccard.jaccard_components(frame(spark, rows).repartition(3), 5, 80).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in got), key=repr) == brute_components(rows, 5, 80)
